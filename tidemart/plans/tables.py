@@ -80,3 +80,90 @@ def window_cols_sql(ts: str, seconds: int) -> str:
     return (f"strftime({start}, '%Y-%m-%d %H:%M:%S') AS stt, "
             f"strftime({start} + INTERVAL {seconds} SECOND, '%Y-%m-%d %H:%M:%S') AS edt, "
             f"strftime({start}, '%Y-%m-%d') AS cur_date")
+
+
+# ---- page log derived from `events` -------------------------------------------------
+# Test-data mapping (not source-system values): search words shown for click rows.
+SEARCH_WORDS = ["匡威帆布鞋", "衬衫", "心相印纸抽", "扫地机器人", "拯救者笔记本", "小米手机", "联想电脑", "维生素"]
+
+
+def page_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flat page log: one row per event with common fields, page fields and epoch-ms ``ts``.
+
+    Error events carry no page (value < 10) or an empty page object; users
+    whose id ends in 0 have no uid, in 1 an empty uid.
+    """
+    ev = table(spark, sf_dir, "events")
+    uid, et, val, eid = F.col("user_id"), F.col("event_type"), F.col("value"), F.col("event_id")
+    k = F.get_json_object("props", "$.k").cast("bigint")
+
+    def case(col, pairs, default=None):
+        expr = None
+        for v, out in pairs:
+            expr = F.when(col == v, F.lit(out)) if expr is None else expr.when(col == v, F.lit(out))
+        return expr.otherwise(F.lit(default)) if default is not None else expr
+
+    words = F.array(*[F.lit(w) for w in SEARCH_WORDS])
+    return ev.select(
+        eid.alias("event_id"), uid.alias("user_id"), F.col("ts").alias("ts_ntz"), et.alias("event_type"),
+        epoch_ms_of_ntz(F.col("ts")).alias("ts"),
+        F.concat(F.lit("mid_"), uid.cast("string")).alias("mid"),
+        F.when(uid % 10 == 0, F.lit(None).cast("string")).when(uid % 10 == 1, F.lit(""))
+         .otherwise(uid.cast("string")).alias("uid"),
+        F.when(eid % 3 == 0, F.lit("1")).otherwise(F.lit("0")).alias("is_new"),
+        (uid % 7).cast("string").alias("ar"),
+        case(uid % 4, [(0, "xiaomi"), (1, "oppo"), (2, "web")], "appstore").alias("ch"),
+        F.concat(F.lit("v2.1."), (uid % 3).cast("string")).alias("vc"),
+        case(uid % 5, [(0, "iOS 13.3.1"), (1, "Android 11.0"), (2, "Android"), (3, "HarmonyOS 3.0")], "iOS").alias("os"),
+        F.concat(F.lit("model_"), (uid % 6).cast("string")).alias("md"),
+        case(uid % 3, [(0, "Xiaomi"), (1, "iPhone")], "Huawei").alias("ba"),
+        F.concat(F.lit("sid_"), uid.cast("string"), F.lit("_"), (eid.cast("bigint") / 50).cast("bigint").cast("string"))
+         .alias("sid"),
+        ((et != "error") | (val >= 10)).alias("has_page"),
+        case(et, [("view", "good_detail"), ("click", "good_list"), ("purchase", "payment"), ("signup", "register")])
+        .alias("page_id"),
+        F.when(et == "click", F.lit("search")).when(et == "error", F.lit(None).cast("string"))
+         .when(val < 5, F.lit(None).cast("string")).otherwise(F.lit("home")).alias("last_page_id"),
+        F.when(et == "click", F.element_at(words, (k % len(SEARCH_WORDS) + 1).cast("int")))
+         .when(et.isin("view", "purchase"), k.cast("string")).alias("item"),
+        F.when(et == "click", F.lit("keyword")).when(et.isin("view", "purchase"), F.lit("sku_id")).alias("item_type"),
+        F.when(et == "error", F.lit(None).cast("bigint"))
+         .otherwise((val.cast("decimal(12,2)") * 1000).cast("bigint")).alias("during_time"),
+        val.alias("value"), k.alias("k"))
+
+
+def page_log_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The page log as JSON text (``value``), keyed by ``event_id``; null fields omitted."""
+    flat = page_log(spark, sf_dir)
+    common = F.struct(*[F.col(c) for c in ("ar", "ba", "ch", "is_new", "md", "mid", "os", "sid", "uid", "vc")])
+    page = F.when(F.col("has_page"), F.struct("page_id", "last_page_id", "item", "item_type", "during_time"))
+    return flat.select("event_id", F.to_json(F.struct(common.alias("common"), page.alias("page"), "ts")).alias("value"))
+
+
+_WORDS_SQL = "[" + ", ".join(f"'{w}'" for w in SEARCH_WORDS) + "]"
+PAGE_LOG_SQL = f"""
+SELECT event_id, user_id, ts AS ts_ntz, event_type, epoch_us(ts) // 1000 AS ts,
+       'mid_' || CAST(user_id AS VARCHAR) AS mid,
+       CASE WHEN user_id % 10 = 0 THEN NULL WHEN user_id % 10 = 1 THEN '' ELSE CAST(user_id AS VARCHAR) END AS uid,
+       CASE WHEN event_id % 3 = 0 THEN '1' ELSE '0' END AS is_new,
+       CAST(user_id % 7 AS VARCHAR) AS ar,
+       CASE user_id % 4 WHEN 0 THEN 'xiaomi' WHEN 1 THEN 'oppo' WHEN 2 THEN 'web' ELSE 'appstore' END AS ch,
+       'v2.1.' || CAST(user_id % 3 AS VARCHAR) AS vc,
+       CASE user_id % 5 WHEN 0 THEN 'iOS 13.3.1' WHEN 1 THEN 'Android 11.0' WHEN 2 THEN 'Android'
+            WHEN 3 THEN 'HarmonyOS 3.0' ELSE 'iOS' END AS os,
+       'model_' || CAST(user_id % 6 AS VARCHAR) AS md,
+       CASE user_id % 3 WHEN 0 THEN 'Xiaomi' WHEN 1 THEN 'iPhone' ELSE 'Huawei' END AS ba,
+       'sid_' || CAST(user_id AS VARCHAR) || '_' || CAST(event_id // 50 AS VARCHAR) AS sid,
+       (event_type <> 'error' OR value >= 10) AS has_page,
+       CASE event_type WHEN 'view' THEN 'good_detail' WHEN 'click' THEN 'good_list' WHEN 'purchase' THEN 'payment'
+            WHEN 'signup' THEN 'register' END AS page_id,
+       CASE WHEN event_type = 'click' THEN 'search' WHEN event_type = 'error' THEN NULL WHEN value < 5 THEN NULL
+            ELSE 'home' END AS last_page_id,
+       CASE WHEN event_type = 'click' THEN {_WORDS_SQL}[CAST(json_extract_string(props, '$.k') AS BIGINT) % {len(SEARCH_WORDS)} + 1]
+            WHEN event_type IN ('view', 'purchase') THEN CAST(CAST(json_extract_string(props, '$.k') AS BIGINT) AS VARCHAR)
+            END AS item,
+       CASE WHEN event_type = 'click' THEN 'keyword' WHEN event_type IN ('view', 'purchase') THEN 'sku_id' END AS item_type,
+       CASE WHEN event_type = 'error' THEN NULL ELSE CAST(CAST(value AS DECIMAL(12,2)) * 1000 AS BIGINT) END AS during_time,
+       value, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k
+FROM events
+"""
