@@ -24,12 +24,18 @@ MAX_RULES = 100_000  # a rule is one source table; far below any broadcast limit
 
 
 def build_envelopes(df: DataFrame, db: str, table: str, op: Column, ts_ms: Column,
-                    after: dict[str, Column] | None, before: dict[str, Column] | None = None) -> DataFrame:
-    """Make change envelopes from rows (used to replay tables as a change feed)."""
+                    after: dict[str, Column] | Column | None,
+                    before: dict[str, Column] | Column | None = None) -> DataFrame:
+    """Make change envelopes from rows (used to replay tables as a change feed).
+
+    ``after``/``before`` are ``{field: column}`` dicts or ready map columns.
+    """
 
     def as_map(cols):
         if cols is None:
             return F.lit(None).cast("map<string,string>")
+        if isinstance(cols, Column):
+            return cols.cast("map<string,string>")
         return F.map_from_arrays(F.array(*[F.lit(k) for k in cols]), F.array(*[c.cast("string") for c in cols.values()]))
 
     source = F.create_map(F.lit("db"), F.lit(db), F.lit("table"), F.lit(table), F.lit("ts_ms"), ts_ms.cast("string"))
@@ -63,8 +69,8 @@ def status_transition(env: DataFrame, table: str, column: str, to_status: str, o
 
 def cart_adds(env: DataFrame, table: str = "cart_info") -> DataFrame:
     """PRJ8: inserts, or updates that raise ``sku_num``; quantity = new value or the rise."""
-    new = F.try_cast(F.col("after")["sku_num"], "int")
-    old = F.try_cast(F.col("before")["sku_num"], "int")
+    new = (F.col("after")["sku_num"]).try_cast("int")
+    old = (F.col("before")["sku_num"]).try_cast("int")
     rows = filter_cdc(env, table=table).where(
         (F.col("op") == "c") | ((F.col("op") == "u") & old.isNotNull() & (new > old)))
     qty = F.when(F.col("op") == "c", new).otherwise(new - old)

@@ -34,7 +34,7 @@ def read_weight_file(spark: SparkSession, path: str, factor: str) -> DataFrame:
     lines = spark.read.text(path).where(F.length(F.trim("value")) > 0)
     parsed = lines.select(F.explode(F.from_json("value", "map<string,map<string,string>>")).alias("category", "m"))
     out = parsed.select(F.lit(factor).alias("factor"), "category",
-                        F.array(*[F.coalesce(F.try_cast(F.col("m")[b], "double"), F.lit(0.0)) for b in AGE_BRACKETS])
+                        F.array(*[F.coalesce((F.col("m")[b]).try_cast("double"), F.lit(0.0)) for b in AGE_BRACKETS])
                         .alias("w"))
     if out.limit(1).count() == 0:
         raise ValueError(f"weight file {path} is empty")

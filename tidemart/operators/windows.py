@@ -30,8 +30,7 @@ def with_event_time(df: DataFrame, ms_col: str, delay: str | None = None, out: s
 
 def event_time_coalesce(ts_ms: Column, ts: Column) -> Column:
     """TIM3: time from the record: ``ts_ms``, else ``ts``, else 0 (bad record -> 0)."""
-    return F.coalesce(F.try_cast(ts_ms, "bigint") if not isinstance(ts_ms, Column) else ts_ms.cast("bigint"),
-                      ts.cast("bigint"), F.lit(0).cast("bigint"))
+    return F.coalesce(ts_ms.try_cast("bigint"), ts.try_cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def event_time_seconds(block_ts: Column, ts: Column) -> Column:

@@ -167,3 +167,38 @@ SELECT event_id, user_id, ts AS ts_ntz, event_type, epoch_us(ts) // 1000 AS ts,
        value, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k
 FROM events
 """
+
+
+# ---- change envelopes replayed from the tables ---------------------------------------
+def order_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``order_info`` envelopes: status O -> insert, F -> update from status O (the old image is
+    absent for priority-1 orders), P -> snapshot read."""
+    from tidemart.operators.routing import build_envelopes
+    o = table(spark, sf_dir, "orders")
+    ms = epoch_ms_of_ntz(F.col("o_orderdate"))
+    op = F.when(F.col("o_orderstatus") == "O", "c").when(F.col("o_orderstatus") == "F", "u").otherwise("r")
+    after = {"id": F.col("o_orderkey"), "user_id": F.col("o_custkey"), "total_amount": money("o_totalprice"),
+             "order_status": F.col("o_orderstatus"), "create_time": ms}
+    before = F.when((op == "u") & ~F.col("o_orderpriority").startswith("1-"),
+                    F.create_map(F.lit("order_status"), F.lit("O")))
+    return build_envelopes(o, "shop", "order_info", op, ms, after, before)
+
+
+def customer_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``user_info`` snapshot envelopes from ``customer``."""
+    from tidemart.operators.routing import build_envelopes
+    c = table(spark, sf_dir, "customer")
+    after = {"id": F.col("c_custkey"), "name": F.col("c_name"), "nation_id": F.col("c_nationkey"),
+             "segment": F.col("c_mktsegment"), "balance": money("c_acctbal")}
+    return build_envelopes(c, "shop", "user_info", F.lit("r"), F.lit(0).cast("bigint"), after, None)
+
+
+ORDER_DATE_MS_SQL = "(epoch_us(o_orderdate) // 1000)"
+
+
+def customer_birthday_day() -> Column:
+    """Derived birthday (epoch day) of a customer: 1972..2010."""
+    return (F.lit(1000) + (F.col("c_custkey") * 7919) % 14000).cast("int")
+
+
+CUSTOMER_BIRTHDAY_SQL = "CAST(1000 + (c_custkey * 7919) % 14000 AS INTEGER)"
