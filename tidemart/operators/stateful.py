@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 __all__ = [
     "arrival_struct", "first_row_per_key", "keyed_lag", "retract_dedupe", "retract_dedupe_ttl",
-    "first_per_key", "exact_dedupe", "composite_dedupe", "new_visitor_fix", "visit_flags",
+    "first_per_key", "last_per_key", "exact_dedupe", "composite_dedupe", "new_visitor_fix", "visit_flags",
 ]
 
 
@@ -125,6 +125,14 @@ def first_per_key(df: DataFrame, keys, order) -> DataFrame:
     return agg.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in others]).select(*df.columns)
 
 
+def last_per_key(df: DataFrame, keys, order) -> DataFrame:
+    """SNK3 keyed latest: the last record per key by arrival (``max_by``; map-side combined)."""
+    keys, order = _cols(keys), _cols(order)
+    others = [c for c in df.columns if c not in keys]
+    agg = df.groupBy(*keys).agg(F.max_by(F.struct(*others), arrival_struct(order)).alias("_r"))
+    return agg.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in others]).select(*df.columns)
+
+
 def exact_dedupe(df: DataFrame) -> DataFrame:
     """STA7: drop exact repeats of the whole record (map columns compared through ``to_json``)."""
     maps = [f.name for f in df.schema.fields if f.dataType.typeName() == "map"]
