@@ -2,7 +2,8 @@
 
 Each record is parsed once into a VARIANT (``try_parse_json``); the typed
 struct is read from it with ``try_variant_get``, which is null for text that
-is not a JSON *object* (arrays, scalars). No Python in the path.
+is not a JSON *object* (arrays, scalars). No Python in the path, and exactly
+one parse per record (see the note in :func:`parse_json_records`).
 """
 
 from __future__ import annotations
@@ -34,7 +35,9 @@ def parse_json_records(df: DataFrame, schema: T.StructType, value_col: str = "va
         raise ValueError(f"mode must be one of {MODES}")
     variant = F.try_parse_json(F.col(value_col).cast("string"))
     typed = F.try_variant_get(variant, "$", f"struct<{ddl(schema)}>")
-    parsed = df.withColumn(out, typed).withColumn("is_valid", F.col(out).isNotNull())
+    # A one-element generator is an evaluation barrier: the optimizer would otherwise copy the
+    # parse into every pushed-down filter and every field reference, parsing each record many times.
+    parsed = df.select("*", F.explode(F.array(typed)).alias(out)).withColumn("is_valid", F.col(out).isNotNull())
     if mode == "drop":
         return parsed.where("is_valid").drop("is_valid")
     if mode == "fail":

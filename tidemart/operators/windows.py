@@ -101,20 +101,26 @@ def running_profile(df: DataFrame, key: str, time_col: str, size: str, fields: S
     """AGG7 fused with AGG6: per key and window, the running record count and the running
     distinct set of each field (sorted, ``sep``-joined) as of the end of that window.
 
-    Linear plan: first window per (key, field, value) and record count per
-    (key, window) are partial aggregates; the running union and running sum
-    are windows over the per-key *window* rows (bounded by the time span),
-    never over raw records.
+    Linear plan with one join and one window: the first window of every
+    (key, field, value) and the record count per (key, window) are partial
+    aggregates; the running sum and the running union are computed over the
+    per-key *window* rows (bounded by the time span), never over raw records.
     """
     dfw = df.select(key, F.window(time_col, size).alias("window"), *fields)
     counts = dfw.groupBy(key, "window").agg(F.count(F.lit(1)).alias("_n"))
+    pairs = dfw.select(key, "window", F.explode(F.array(*[
+        F.struct(F.lit(f).alias("f"), F.col(f).cast("string").alias("v")) for f in fields])).alias("p"))
+    firsts = (pairs.where(F.col("p.v").isNotNull()).groupBy(key, "p").agg(F.min("window").alias("window"))
+              .groupBy(key, "window").agg(F.collect_list("p").alias("_new")))
+    merged = counts.join(firsts, on=[key, "window"], how="left")
     wk = Window.partitionBy(key).orderBy(F.col("window.start")).rowsBetween(Window.unboundedPreceding, 0)
-    out = counts.select(key, "window", F.sum("_n").over(wk).cast("bigint").alias("page_count"))
-    for f in fields:
-        firsts = (dfw.where(F.col(f).isNotNull()).groupBy(key, f).agg(F.min("window").alias("window"))
-                  .groupBy(key, "window").agg(F.collect_set(f).alias("_new")))
-        merged = out.join(firsts, on=[key, "window"], how="left")
-        new_vals = F.coalesce(F.col("_new"), F.array().cast("array<string>"))
-        running = F.array_sort(F.array_distinct(F.flatten(F.collect_list(new_vals).over(wk))))
-        out = merged.select(*out.columns, F.array_join(running, sep).alias(f"{f}_set"))
-    return with_window_cols(out, "window", tz)
+    empty = F.array().cast("array<struct<f:string,v:string>>")
+    running = merged.select(key, "window", F.sum("_n").over(wk).cast("bigint").alias("page_count"),
+                            F.flatten(F.collect_list(F.coalesce(F.col("_new"), empty)).over(wk)).alias("_seen"))
+
+    def field_set(f: str) -> Column:
+        values = F.transform(F.filter("_seen", lambda p: p["f"] == F.lit(f)), lambda p: p["v"])
+        return F.array_join(F.array_sort(F.array_distinct(values)), sep).alias(f"{f}_set")
+
+    sets = [field_set(f) for f in fields]
+    return with_window_cols(running.select(key, "window", "page_count", *sets), "window", tz)
