@@ -104,17 +104,22 @@ def retract_dedupe_ttl(df: DataFrame, key, order, amounts, time_col: str, ttl_ms
     """STA5: STA4 whose per-id memory expires ``ttl_ms`` after it was last written.
 
     A repeat retracts the previous record only when that record arrived at
-    most ``ttl_ms`` earlier (``time_col`` is an epoch-ms arrival time).
+    most ``ttl_ms`` earlier (``time_col`` is an epoch-ms arrival time). Each
+    row yields itself and, when the memory is live, the whole previous record
+    with its amounts negated, through one ``explode`` (the lag runs once).
     """
     keys, order, amounts = _cols(key), _cols(order), _cols(amounts)
-    # the successor of a row retracts it; find each row's successor time via the lag of the next row
-    lagged = keyed_lag(df, keys, order, [time_col, *amounts], split=split, prefix="_p_")
+    others = [c for c in df.columns if c not in keys]
+    lagged = keyed_lag(df, keys, order, others, split=split, prefix="_p_")
     live = F.col(f"_p_{time_col}").isNotNull() & ((F.col(time_col) - F.col(f"_p_{time_col}")) <= ttl_ms)
-    plus = lagged.select(*df.columns, F.lit(1).alias(sign_col))
-    minus = lagged.where(live).select(
-        *[(-F.col(f"_p_{c}")).cast(df.schema[c].dataType).alias(c) if c in amounts else F.col(c)
-          for c in df.columns], F.lit(-1).alias(sign_col))
-    return plus.unionByName(minus)
+    cur = F.struct(F.lit(1).alias("_s"), *[F.col(c).alias(c) for c in others])
+    prev = F.struct(F.lit(-1).alias("_s"), *[
+        ((-F.col(f"_p_{c}")).cast(df.schema[c].dataType) if c in amounts else F.col(f"_p_{c}")).alias(c)
+        for c in others])
+    rows = F.when(live, F.array(cur, prev)).otherwise(F.array(cur))
+    out = lagged.select(*keys, F.explode(rows).alias("_r"))
+    return out.select(*[F.col(c) if c in keys else F.col(f"_r.{c}").alias(c) for c in df.columns],
+                      F.col("_r._s").alias(sign_col))
 
 
 def first_per_key(df: DataFrame, keys, order) -> DataFrame:

@@ -96,11 +96,11 @@ WITH d AS ({ORDER_DETAILS_SQL}),
 r AS (SELECT *, epoch_us(l_shipdate) // 1000 AS t,
              lag(split_original_amount) OVER w AS p_orig, lag(split_activity_amount) OVER w AS p_act,
              lag(split_coupon_amount) OVER w AS p_cpn, lag(split_total_amount) OVER w AS p_tot,
-             lag(epoch_us(l_shipdate) // 1000) OVER w AS p_t
+             lag(epoch_us(l_shipdate) // 1000) OVER w AS p_t, lag(sku_id) OVER w AS p_sku
       FROM d WINDOW w AS (PARTITION BY id ORDER BY {LINEITEM_ARRIVAL_SQL})),
 s AS (SELECT order_id, sku_id, split_original_amount AS o, split_activity_amount AS a, split_coupon_amount AS c,
              split_total_amount AS tt FROM r
-      UNION ALL SELECT order_id, sku_id, -p_orig, -p_act, -p_cpn, -p_tot FROM r
+      UNION ALL SELECT order_id, p_sku, -p_orig, -p_act, -p_cpn, -p_tot FROM r
       WHERE p_t IS NOT NULL AND t - p_t <= {RETRACT_TTL_MS})
 SELECT {window_cols_sql('ord.o_orderdate', SKU_WINDOW_SECONDS)}, s.sku_id, p.p_name AS sku_name, p.p_brand AS tm_name,
        CAST(sum(o) AS DOUBLE) AS original_amount, CAST(sum(a) AS DOUBLE) AS activity_amount,
