@@ -81,22 +81,21 @@ class VisitFlags(StatefulProcessor):
 
 
 class FirstPerDay(StatefulProcessor):
-    """STA3: the first record per key and day (memory = the last day emitted; D2 fixed)."""
+    """STA3: the first record per (key, day). Group the stream by *both* key and day: the state is
+    one "seen" flag per (key, day), so a day that comes back out of order is not emitted twice
+    (D2 fixed). Give the flag a TTL (``ttl_ms``, processing time) to bound state on long streams."""
 
-    def __init__(self, order: Sequence[str], date_col: str):
-        self.order, self.date_col = list(order), date_col
+    def __init__(self, order: Sequence[str], ttl_ms: int | None = None):
+        self.order, self.ttl_ms = list(order), ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("last_day", "d date")
+        self.state = handle.getValueState("seen", "s boolean", self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        last = self.state.get()[0] if self.state.exists() else None
-        for r in _sorted(rows, self.order):
-            if last is None or r[self.date_col] != last:
-                last = r[self.date_col]
-                yield r
-        if last is not None:
-            self.state.update((last,))
+        ordered = _sorted(rows, self.order)
+        if ordered and not self.state.exists():
+            self.state.update((True,))
+            yield ordered[0]
 
     def close(self) -> None:
         pass
