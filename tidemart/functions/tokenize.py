@@ -22,8 +22,9 @@ __all__ = ["tokenize", "tokenize_cjk", "register_split_words"]
 
 
 def tokenize(text, pattern: str = "[^a-z0-9]+") -> Column:
-    """Lower-case, split on ``pattern``, drop empty tokens (JVM-side)."""
-    return F.filter(F.split(F.lower(as_col(text)), pattern), lambda t: t != "")
+    """Lower-case, split on ``pattern``, drop empty tokens (JVM-side, inside whole-stage codegen:
+    ``array_remove`` rather than a lambda ``filter``)."""
+    return F.array_remove(F.split(F.lower(as_col(text)), pattern), "")
 
 
 _CJK_RUN = re.compile(r"[一-鿿]+|[a-z0-9]+")

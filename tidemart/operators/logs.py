@@ -26,29 +26,31 @@ def normalize_logs(logs: DataFrame, default_keyword: str = "", info_col: str = "
 
     ``logs`` has ``common`` (struct or map), ``page`` (struct) and ``ts``. The
     default keyword is an argument (the two source jobs use '' and '性价比'). ``keep``
-    names extra columns to carry through (e.g. a record key).
+    names extra columns to carry through (e.g. a record key). With a struct
+    ``common`` the info column is a struct without the dropped fields (null
+    fields are left out when written as JSON) and everything stays inside
+    whole-stage codegen; a map ``common`` is filtered with ``map_filter``.
     """
-    common = F.col("common")
+    page_fields = [f.name for f in logs.schema["page"].dataType.fields]
+    page_nonempty = F.coalesce(*[F.col(f"page.{f}").isNotNull() for f in page_fields]) if len(page_fields) == 1 \
+        else F.greatest(*[F.col(f"page.{f}").isNotNull() for f in page_fields])
     if dict(logs.dtypes)["common"].startswith("struct"):
         fields = [f.name for f in logs.schema["common"].dataType.fields]
-        common_map = F.map_filter(F.map_from_arrays(F.array(*[F.lit(f) for f in fields]),
-                                                    F.array(*[F.col(f"common.{f}") for f in fields])),
-                                  lambda k, v: v.isNotNull())
+        common_nonempty = F.greatest(*[F.col(f"common.{f}").isNotNull() for f in fields])
+        get = lambda name: F.col(f"common.{name}")
+        info = F.struct(*[F.col(f"common.{f}").alias(f) for f in fields if f not in DROPPED_COMMON])
     else:
-        common_map = F.map_filter(common, lambda k, v: v.isNotNull())
-    page = F.col("page")
-    page_fields = [f.name for f in logs.schema["page"].dataType.fields]
-    page_nonempty = F.coalesce(*[F.col(f"page.{f}").isNotNull() for f in page_fields], F.lit(False)) \
-        if len(page_fields) == 1 else F.greatest(*[F.col(f"page.{f}").isNotNull() for f in page_fields])
-    kept = logs.withColumn("_cm", common_map).where(
-        (F.size("_cm") > 0) & page.isNotNull() & page_nonempty)
-    uid = F.col("_cm")["uid"]
+        common_nonempty = F.size(F.map_filter("common", lambda k, v: v.isNotNull())) > 0
+        get = lambda name: F.col("common")[name]
+        info = F.map_filter("common", lambda k, v: v.isNotNull() & ~k.isin(*DROPPED_COMMON))
+    kept = logs.where(F.col("common").isNotNull() & common_nonempty & F.col("page").isNotNull() & page_nonempty)
+    uid = get("uid")
     is_kw = F.coalesce(F.col("page.item_type") == "keyword", F.lit(False))
     return kept.select(
         *keep,
-        first_word(F.col("_cm")["os"]).alias("os"),
+        first_word(get("os")).alias("os"),
         F.col("ts").cast("string").alias("ts"),
         F.when(uid.isNull() | (uid == ""), F.lit("-1")).otherwise(uid).alias("uid"),
-        F.map_filter("_cm", lambda k, v: ~k.isin(*DROPPED_COMMON)).alias(info_col),
+        info.alias(info_col),
         F.when(is_kw, F.col("page.item")).otherwise(F.lit(default_keyword)).alias("keyword"),
         is_kw.alias("has_keyword"))

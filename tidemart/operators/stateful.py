@@ -64,18 +64,20 @@ def keyed_lag(df: DataFrame, keys, order, values, split: Column | str | None = N
     s = F.col(split) if isinstance(split, str) else split
     base = df.withColumn("_split", s)
     w = Window.partitionBy(*keys, "_split").orderBy(*order)
-    inner = base.select("*", F.row_number().over(w).alias("_rn"),
+    inner = base.select("*", F.lag(F.lit(1)).over(w).isNull().alias("_first_in_range"),
+                        F.lead(F.lit(1)).over(w).isNull().alias("_last_in_range"),
                         *[F.lag(v).over(w).alias("_in_" + v) for v in values])
-    last_of_range = (base.groupBy(*keys, "_split")
-                     .agg(F.max_by(F.struct(*[F.col(v) for v in values]), arrival_struct(order)).alias("_last")))
+    # one row per (key, range): its last row; the previous range's last row is carried forward
+    # (a window over these summary rows only, never over raw rows)
     wr = Window.partitionBy(*keys).orderBy("_split")
-    carry = last_of_range.select(*keys, "_split", F.lag("_last").over(wr).alias("_carry"))
+    carry = (inner.where("_last_in_range")
+             .select(*keys, "_split", F.struct(*[F.col(v) for v in values]).alias("_last"))
+             .select(*keys, "_split", F.lag("_last").over(wr).alias("_carry")))
     joined = inner.join(carry, on=[*keys, "_split"], how="left")
-    out = joined.select(
-        *[c for c in df.columns],
-        *[F.when(F.col("_rn") == 1, F.col(f"_carry.{v}")).otherwise(F.col("_in_" + v)).alias(prefix + v)
+    return joined.select(
+        *df.columns,
+        *[F.when(F.col("_first_in_range"), F.col(f"_carry.{v}")).otherwise(F.col("_in_" + v)).alias(prefix + v)
           for v in values])
-    return out
 
 
 def retract_dedupe(df: DataFrame, key, order, amounts, sign_col: str = "sign") -> DataFrame:

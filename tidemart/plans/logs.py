@@ -66,9 +66,10 @@ def log_normalize(spark, sf_dir):
     logs = parse_json_records(page_log_json(spark, sf_dir), PAGE_LOG, "value", mode="drop")
     flat = logs.select("event_id", "data.*")
     out = normalize_logs(flat, default_keyword="", keep=["event_id"])
-    return out.select("event_id", "os", "ts", "uid", "keyword", "has_keyword",
-                      F.array_join(F.array_sort(F.map_keys("log_common_info")), ",").alias("info_keys"),
-                      F.col("log_common_info")["mid"].alias("info_mid"))
+    info = [f.name for f in out.schema["log_common_info"].dataType.fields]
+    keys = F.concat_ws(",", *[F.when(F.col(f"log_common_info.{f}").isNotNull(), F.lit(f)) for f in sorted(info)])
+    return out.select("event_id", "os", "ts", "uid", "keyword", "has_keyword", keys.alias("info_keys"),
+                      F.col("log_common_info.mid").alias("info_mid"))
 
 
 @query("to_json_rows")

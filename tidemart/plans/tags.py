@@ -43,10 +43,10 @@ def exact_dedupe_q(spark, sf_dir):
     logs = parse_json_records(page_log_json(spark, sf_dir), PAGE_LOG, "value", mode="drop").select("data.*")
     norm = normalize_logs(logs, default_keyword="").drop("ts", "has_keyword")
     uniq = exact_dedupe(norm)
-    info = F.col("log_common_info")
-    return uniq.select("uid", "os", "keyword", info["mid"].alias("info_mid"), info["ch"].alias("info_ch"),
-                       info["md"].alias("info_md"), info["ba"].alias("info_ba"), info["vc"].alias("info_vc"),
-                       F.map_contains_key(info, "uid").alias("info_has_uid"))
+    info = "log_common_info"
+    return uniq.select("uid", "os", "keyword", F.col(f"{info}.mid").alias("info_mid"), F.col(f"{info}.ch").alias("info_ch"),
+                       F.col(f"{info}.md").alias("info_md"), F.col(f"{info}.ba").alias("info_ba"),
+                       F.col(f"{info}.vc").alias("info_vc"), F.col(f"{info}.uid").isNotNull().alias("info_has_uid"))
 
 
 @query("composite_dedupe", """
@@ -168,7 +168,7 @@ def _order_tags(spark, sf_dir):
 
 
 def _wtxt(c):
-    return F.array_join(F.transform(F.col(c), lambda x: x.cast("string")), ",")
+    return F.array_join(F.col(c).cast("array<string>"), ",")
 
 
 @query("weight_lookup", WEIGHT_LOOKUP_SQL)
