@@ -45,19 +45,23 @@ def attach_weights(df: DataFrame, weights: DataFrame, factor: str, category_col:
                    fallback: str | None = None, out: str | None = None) -> DataFrame:
     """JON13/SCO1: add the bracket weights of ``category_col`` from a bounded, broadcast weight table.
 
-    Unknown categories take the ``fallback`` row (an equi-join on a constant
-    key, not a cross join) or, without one, zeros.
+    Unknown categories take the ``fallback`` row, or zeros without one. The
+    fallback is resolved *before* the join (categories not in the table are
+    replaced by the fallback key), so this is one broadcast hash join. The
+    category list is read from the checked, bounded weight table.
     """
     out = out or f"{factor}_w"
-    w = bounded_broadcast(weights.where(F.col("factor") == factor).select(F.col("category").alias("_k"),
-                                                                          F.col("w").alias("_w")), MAX_WEIGHT_ROWS)
-    res = df.join(w, df[category_col] == w["_k"], "left").drop("_k")
+    table = weights.where(F.col("factor") == factor).select(F.col("category").alias("_k"), F.col("w").alias("_w"))
+    w = bounded_broadcast(table, MAX_WEIGHT_ROWS)
+    key = F.col(category_col)
+    if fallback is not None:
+        known = [r._k for r in table.select("_k").distinct().limit(MAX_WEIGHT_ROWS + 1).collect()]
+        if len(known) > MAX_WEIGHT_ROWS:
+            raise ValueError(f"weight table for {factor} exceeds {MAX_WEIGHT_ROWS} categories")
+        key = F.when(key.isin(known), key).otherwise(F.lit(fallback))
+    res = df.withColumn("_wk", key).join(w, F.col("_wk") == w["_k"], "left").drop("_k", "_wk")
     zeros = F.array(*[F.lit(0.0) for _ in AGE_BRACKETS])
-    if fallback is None:
-        return res.withColumn(out, F.coalesce("_w", zeros)).drop("_w")
-    wf = w.where(F.col("_k") == fallback).select(F.col("_k").alias("_fk"), F.col("_w").alias("_fw"))
-    res = res.withColumn("_fb", F.lit(fallback)).join(wf, F.col("_fb") == F.col("_fk"), "left")
-    return res.withColumn(out, F.coalesce("_w", "_fw", zeros)).drop("_w", "_fw", "_fb", "_fk")
+    return res.withColumn(out, F.coalesce("_w", zeros)).drop("_w")
 
 
 def infer_age(weight_cols: dict[str, str], rates: dict | None = None) -> Column:
