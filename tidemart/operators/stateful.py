@@ -80,7 +80,7 @@ def keyed_lag(df: DataFrame, keys, order, values, split: Column | str | None = N
           for v in values])
 
 
-def retract_dedupe(df: DataFrame, key, order, amounts, sign_col: str = "sign") -> DataFrame:
+def retract_dedupe(df: DataFrame, key, order, amounts, sign_col: str = "sign", net: bool = False) -> DataFrame:
     """STA4: on a repeated id emit the previous record with its amounts negated, then the new one.
 
     Batch form. The emitted multiset is: every row with sign +1, and every row
@@ -89,8 +89,15 @@ def retract_dedupe(df: DataFrame, key, order, amounts, sign_col: str = "sign") -
     ``max_by`` aggregate per id, so no id is sorted inside one task; the
     sign is attached with ``explode`` so the joined rows are produced once.
     Amount negation is numeric (null stays null), not the text ``"-" + x``.
+
+    ``net=True`` returns the aggregate-ready form: the retraction rows of an id
+    telescope, so any sum over the stream equals the sum of each id's *last*
+    record. That is one ``max_by`` aggregate per id (map-side combined, no
+    join back, full rows shuffled once), one row per id with sign 1.
     """
     keys, order, amounts = _cols(key), _cols(order), _cols(amounts)
+    if net:
+        return last_per_key(df, keys, order).withColumn(sign_col, F.lit(1))
     last = df.groupBy(*keys).agg(F.max(arrival_struct(order)).alias("_last_arrival"))
     tagged = df.join(last, on=keys, how="inner")
     signs = F.when(arrival_struct(order) < F.col("_last_arrival"), F.array(F.lit(1), F.lit(-1))) \

@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from tidemart.operators.stateful import last_per_key
 from tidemart.plans.registry import query
-from tidemart.plans.tables import (DETAIL_AMOUNTS, LINEITEM_ARRIVAL, LINEITEM_ARRIVAL_SQL, ORDER_DETAILS_SQL, money,
-                                   order_details, table)
+from tidemart.plans.tables import (DETAIL_KEY, LINEITEM_ARRIVAL, LINEITEM_ARRIVAL_SQL, ORDER_DETAILS_SQL, detail_id,
+                                   from_cents, money, order_details, table)
 from tidemart.sources.dims import delete_keys, merge_cells, point_get_many, scan_limit, table_rows
 from tidemart.sources.jdbc import rename_lower_camel
 
@@ -21,9 +21,9 @@ SELECT id, sku_id, CAST(split_total_amount AS DOUBLE) AS split_total_amount FROM
 """)
 def upsert_latest(spark, sf_dir):
     """SNK3: upsert semantics (last value per primary key wins) over the detail feed."""
-    d = order_details(spark, sf_dir).select("id", "sku_id", "split_total_amount", *LINEITEM_ARRIVAL)
-    latest = last_per_key(d, "id", LINEITEM_ARRIVAL)
-    return latest.select("id", "sku_id", F.col("split_total_amount").cast("double").alias("split_total_amount"))
+    d = order_details(spark, sf_dir).select(*DETAIL_KEY, "sku_id", "split_total_amount", *LINEITEM_ARRIVAL)
+    latest = last_per_key(d, DETAIL_KEY, LINEITEM_ARRIVAL)
+    return latest.select(detail_id().alias("id"), "sku_id", from_cents("split_total_amount").alias("split_total_amount"))
 
 
 def _customer_changes(spark, sf_dir):

@@ -33,19 +33,50 @@ LINEITEM_ARRIVAL_SQL = ", ".join(LINEITEM_ARRIVAL)
 DETAIL_AMOUNTS = ["split_original_amount", "split_activity_amount", "split_coupon_amount", "split_total_amount"]
 
 
+def cents(c) -> Column:
+    """A double money column with at most 2 decimals as exact integer cents (BIGINT).
+
+    ``rint`` is exact here because ``x * 100`` is within 1e-6 of an integer.
+    Integer cents keep sums and products in primitive, codegen'd arithmetic;
+    DECIMAL(16,2) x DECIMAL(16,2) widens to DECIMAL(33,4), which Spark computes
+    with ``BigDecimal`` per row (measured 4x slower at sf0.1).
+    """
+    return F.rint((F.col(c) if isinstance(c, str) else c) * 100).cast("bigint")
+
+
+def cents_product(a_cents: Column, b_cents: Column) -> Column:
+    """``round(a * b, 2)`` HALF_UP for non-negative cents values, as cents."""
+    return F.floor((a_cents * b_cents + 50) / 100).cast("bigint")
+
+
+def from_cents(c) -> Column:
+    """Cents -> DOUBLE (the nearest double to the exact decimal, as DuckDB's decimal cast gives)."""
+    return ((F.col(c) if isinstance(c, str) else c) / 100.0).cast("double")
+
+
+def detail_id(order_col: str = "order_id", line_col: str = "line_no") -> Column:
+    return F.concat_ws("_", F.col(order_col).cast("string"), F.col(line_col).cast("string"))
+
+
+DETAIL_KEY = ["order_id", "line_no"]
+
+
 def order_details(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order-detail facts from ``lineitem``: id = order‖'_'‖line, four DECIMAL(16,2) amounts."""
+    """Order-detail facts from ``lineitem``: key (order_id, line_no), four amounts in integer cents.
+
+    The source system's text id is ``order_id‖'_'‖line_no`` (:func:`detail_id`),
+    built only where it is output.
+    """
     li = table(spark, sf_dir, "lineitem")
-    orig = money("l_extendedprice")
-    act = (orig * money("l_discount")).cast("decimal(16,2)")
-    cpn = (orig * money("l_tax")).cast("decimal(16,2)")
+    orig = cents("l_extendedprice")
+    act = cents_product(orig, cents("l_discount"))
+    cpn = cents_product(orig, cents("l_tax"))
     return li.select(
-        F.concat_ws("_", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("id"),
-        F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("sku_id"),
-        F.col("l_suppkey").alias("supp_id"),
+        F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("line_no"),
+        F.col("l_partkey").alias("sku_id"), F.col("l_suppkey").alias("supp_id"),
         F.col("l_quantity").cast("bigint").alias("sku_num"),
         orig.alias("split_original_amount"), act.alias("split_activity_amount"),
-        cpn.alias("split_coupon_amount"), (orig - act - cpn).cast("decimal(16,2)").alias("split_total_amount"),
+        cpn.alias("split_coupon_amount"), (orig - act - cpn).alias("split_total_amount"),
         *LINEITEM_ARRIVAL)
 
 

@@ -12,9 +12,9 @@ from tidemart.operators.parse import parse_json_records
 from tidemart.operators.stateful import first_per_key, new_visitor_fix, retract_dedupe, retract_dedupe_ttl, visit_flags
 from tidemart.operators.windows import daily_first, last_per_window, running_profile, window_aggregate
 from tidemart.plans.registry import query
-from tidemart.plans.tables import (DETAIL_AMOUNTS, LINEITEM_ARRIVAL, LINEITEM_ARRIVAL_SQL, ORDER_DETAILS_SQL,
-                                   PAGE_LOG_SQL, TZ, epoch_ms, order_details, page_log, page_log_json, table,
-                                   window_cols_sql, window_sql)
+from tidemart.plans.tables import (DETAIL_AMOUNTS, DETAIL_KEY, LINEITEM_ARRIVAL, LINEITEM_ARRIVAL_SQL,
+                                   ORDER_DETAILS_SQL, PAGE_LOG_SQL, TZ, detail_id, epoch_ms, from_cents, order_details,
+                                   page_log, page_log_json, table, window_cols_sql, window_sql)
 from tidemart.schemas import PAGE_LOG
 
 PROVINCE_WINDOW_SECONDS = 7 * 86400
@@ -39,20 +39,22 @@ GROUP BY ALL
 def province_window(spark, sf_dir):
     """Flagship (STA4 -> AGG4 -> JON8): per 7-day window and province, order amount and distinct orders.
 
-    Plan shape: the retraction stream of the details is summed per order
-    *before* any join (map-side partial aggregate), so the joins with orders
-    and customer see one row per order instead of one per detail; the
-    province names are joined last, onto the aggregated rows.
+    Plan shape: the retraction stream's net per id (its last record, a
+    ``max_by`` aggregate) is summed per order *before* any join (map-side
+    partial aggregates), so the joins with orders and customer see one row per
+    order instead of one per detail; province names are joined last, onto the
+    aggregated rows.
     """
-    details = order_details(spark, sf_dir).select("id", "order_id", "split_total_amount", *LINEITEM_ARRIVAL)
-    stream = retract_dedupe(details, "id", LINEITEM_ARRIVAL, ["split_total_amount"])
+    details = order_details(spark, sf_dir).select(*DETAIL_KEY, "split_total_amount", *LINEITEM_ARRIVAL)
+    # sums over the retraction stream only need each id's net contribution (its last record)
+    stream = retract_dedupe(details, DETAIL_KEY, LINEITEM_ARRIVAL, ["split_total_amount"], net=True)
     per_order = stream.groupBy("order_id").agg(F.sum("split_total_amount").alias("total"))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     cust = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("province_id"))
     facts = (per_order.join(orders, per_order.order_id == orders.o_orderkey)
              .join(cust, orders.o_custkey == cust.c_custkey))
     agg = window_aggregate(facts, "o_orderdate", f"{PROVINCE_WINDOW_SECONDS} seconds", ["province_id"],
-                           [F.sum("total").cast("double").alias("order_amount"),
+                           [from_cents(F.sum("total")).alias("order_amount"),
                             F.count_distinct("order_id").alias("order_count")], tz=TZ)
     nation = table(spark, sf_dir, "nation")
     named = enrich(agg, EnrichSpec(nation, "province_id", "n_nationkey", {"n_name": "province_name"}))
@@ -78,13 +80,13 @@ UNION ALL SELECT 'ttl', id, -1, CAST(-prev_amt AS DOUBLE) FROM r WHERE prev_t IS
 def retract_dedupe_q(spark, sf_dir):
     """STA4/STA5/S22: the retraction stream of the detail feed, without and with a memory TTL
     (two years of ship time)."""
-    d = order_details(spark, sf_dir).select("id", "split_total_amount", *LINEITEM_ARRIVAL)
-    plain = retract_dedupe(d, "id", LINEITEM_ARRIVAL, ["split_total_amount"])
+    d = order_details(spark, sf_dir).select(*DETAIL_KEY, "split_total_amount", *LINEITEM_ARRIVAL)
+    plain = retract_dedupe(d, DETAIL_KEY, LINEITEM_ARRIVAL, ["split_total_amount"])
     d_t = d.withColumn("t_ms", epoch_ms("l_shipdate"))
-    ttl = retract_dedupe_ttl(d_t, "id", LINEITEM_ARRIVAL, ["split_total_amount"], "t_ms", RETRACT_TTL_MS,
+    ttl = retract_dedupe_ttl(d_t, DETAIL_KEY, LINEITEM_ARRIVAL, ["split_total_amount"], "t_ms", RETRACT_TTL_MS,
                              split=F.year("l_shipdate"))
-    pick = lambda df, v: df.select(F.lit(v).alias("variant"), "id", "sign",
-                                   F.col("split_total_amount").cast("double").alias("split_total_amount"))
+    pick = lambda df, v: df.select(F.lit(v).alias("variant"), detail_id().alias("id"), "sign",
+                                   from_cents("split_total_amount").alias("split_total_amount"))
     return pick(plain, "plain").unionByName(pick(ttl, "ttl"))
 
 
@@ -114,18 +116,18 @@ def sku_window(spark, sf_dir):
     The signed rows are summed per (order, sku) before the join with orders,
     and names are joined onto the aggregated rows.
     """
-    d = order_details(spark, sf_dir).select("id", "order_id", "sku_id", *DETAIL_AMOUNTS, *LINEITEM_ARRIVAL)
+    d = order_details(spark, sf_dir).select(*DETAIL_KEY, "sku_id", *DETAIL_AMOUNTS, *LINEITEM_ARRIVAL)
     d = d.withColumn("t_ms", epoch_ms("l_shipdate"))
-    stream = retract_dedupe_ttl(d, "id", LINEITEM_ARRIVAL, DETAIL_AMOUNTS, "t_ms", RETRACT_TTL_MS,
+    stream = retract_dedupe_ttl(d, DETAIL_KEY, LINEITEM_ARRIVAL, DETAIL_AMOUNTS, "t_ms", RETRACT_TTL_MS,
                                 split=F.year("l_shipdate"))
     per = stream.groupBy("order_id", "sku_id").agg(*[F.sum(a).alias(a) for a in DETAIL_AMOUNTS])
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     facts = per.join(orders, per.order_id == orders.o_orderkey)
     agg = window_aggregate(facts, "o_orderdate", f"{SKU_WINDOW_SECONDS} seconds", ["sku_id"], [
-        F.sum("split_original_amount").cast("double").alias("original_amount"),
-        F.sum("split_activity_amount").cast("double").alias("activity_amount"),
-        F.sum("split_coupon_amount").cast("double").alias("coupon_amount"),
-        F.sum("split_total_amount").cast("double").alias("order_amount")], tz=TZ)
+        from_cents(F.sum("split_original_amount")).alias("original_amount"),
+        from_cents(F.sum("split_activity_amount")).alias("activity_amount"),
+        from_cents(F.sum("split_coupon_amount")).alias("coupon_amount"),
+        from_cents(F.sum("split_total_amount")).alias("order_amount")], tz=TZ)
     named = enrich(agg, EnrichSpec(table(spark, sf_dir, "part"), "sku_id", "p_partkey",
                                    {"p_name": "sku_name", "p_brand": "tm_name"}))
     return named.select("stt", "edt", "cur_date", "sku_id", "sku_name", "tm_name", "original_amount",
