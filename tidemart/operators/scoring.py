@@ -10,8 +10,8 @@ from tidemart.functions.tags import (AGE_BRACKETS, FACTOR_RATES, WEIGHTS, catego
                                      time_type_of_hour)
 from tidemart.operators.joins import bounded_broadcast
 
-__all__ = ["weight_table", "read_weight_file", "attach_weights", "infer_age", "base_tags", "MAX_WEIGHT_ROWS",
-           "FACTOR_ORDER"]
+__all__ = ["weight_table", "read_weight_file", "attach_weights", "weight_columns", "infer_age", "base_tags",
+           "MAX_WEIGHT_ROWS", "FACTOR_ORDER"]
 
 MAX_WEIGHT_ROWS = 10_000
 # order in which the weighted terms are added (the source's expression order)
@@ -43,15 +43,19 @@ def read_weight_file(spark: SparkSession, path: str, factor: str) -> DataFrame:
 
 def attach_weights(df: DataFrame, weights: DataFrame, factor: str, category_col: str,
                    fallback: str | None = None, out: str | None = None) -> DataFrame:
-    """JON13/SCO1: add the bracket weights of ``category_col`` from a bounded, broadcast weight table.
+    """JON13/SCO1: add the bracket weights of ``category_col`` as six DOUBLE columns
+    ``<out>_0 .. <out>_5`` (bracket order), from a bounded, broadcast weight table.
 
-    Unknown categories take the ``fallback`` row, or zeros without one. The
+    The weight arrays are pivoted to columns on the small side, so the big side
+    only does primitive arithmetic (no per-row array objects). Unknown
+    categories take the ``fallback`` row, or zeros without one (D10, D11); the
     fallback is resolved *before* the join (categories not in the table are
-    replaced by the fallback key), so this is one broadcast hash join. The
-    category list is read from the checked, bounded weight table.
+    replaced by the fallback key), so this is one broadcast hash join.
     """
     out = out or f"{factor}_w"
-    table = weights.where(F.col("factor") == factor).select(F.col("category").alias("_k"), F.col("w").alias("_w"))
+    n = len(AGE_BRACKETS)
+    table = weights.where(F.col("factor") == factor).select(
+        F.col("category").alias("_k"), *[F.col("w")[i].alias(f"_w{i}") for i in range(n)])
     w = bounded_broadcast(table, MAX_WEIGHT_ROWS)
     key = F.col(category_col)
     if fallback is not None:
@@ -59,20 +63,24 @@ def attach_weights(df: DataFrame, weights: DataFrame, factor: str, category_col:
         if len(known) > MAX_WEIGHT_ROWS:
             raise ValueError(f"weight table for {factor} exceeds {MAX_WEIGHT_ROWS} categories")
         key = F.when(key.isin(known), key).otherwise(F.lit(fallback))
-    res = df.withColumn("_wk", key).join(w, F.col("_wk") == w["_k"], "left").drop("_k", "_wk")
-    zeros = F.array(*[F.lit(0.0) for _ in AGE_BRACKETS])
-    return res.withColumn(out, F.coalesce("_w", zeros)).drop("_w")
+    res = df.withColumn("_wk", key).join(w, F.col("_wk") == w["_k"], "left")
+    return res.select(*df.columns, *[F.coalesce(F.col(f"_w{i}"), F.lit(0.0)).alias(f"{out}_{i}") for i in range(n)])
+
+
+def weight_columns(prefix: str) -> list[Column]:
+    return [F.col(f"{prefix}_{i}") for i in range(len(AGE_BRACKETS))]
 
 
 def infer_age(weight_cols: dict[str, str], rates: dict | None = None) -> Column:
     """SCO2: for each bracket, sum weight x rate over the factors; the bracket of the maximum
-    (first wins). Missing weights count as 0 (D10)."""
+    (first wins). ``weight_cols`` maps a factor to the prefix of its six weight columns.
+    Missing weights count as 0 (D10)."""
     rates = rates or FACTOR_RATES
     sums = []
     for i in range(len(AGE_BRACKETS)):
         total = None
         for factor in FACTOR_ORDER:
-            term = F.coalesce(F.col(weight_cols[factor])[i], F.lit(0.0)) * F.lit(rates[factor])
+            term = F.coalesce(F.col(f"{weight_cols[factor]}_{i}"), F.lit(0.0)) * F.lit(rates[factor])
             total = term if total is None else total + term
         sums.append(total)
     arr = F.array(*sums, F.lit(0.0))
