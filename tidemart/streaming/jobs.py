@@ -102,3 +102,23 @@ def route_cdc_batch(batch: DataFrame, rules_path: str, dims_out: str, facts_out:
     out = dims.select("sink_table", F.col("sink_row_key"), "op", image.alias("cells"), "ts_ms")
     out.write.mode("overwrite").partitionBy("sink_table").json(f"{dims_out.rstrip('/')}/batch_id={batch_id}")
     facts.write.mode("overwrite").json(f"{facts_out.rstrip('/')}/batch_id={batch_id}")
+
+
+def order_detail_wide_stream(details: DataFrame, headers: DataFrame, activities: DataFrame, coupons: DataFrame,
+                             bound: str = "10 seconds", delay: str = "5 seconds") -> DataFrame:
+    """JON1/JON2 on streams: detail ⋈ header (inner), ⟕ activity, ⟕ coupon, each side watermarked
+    on ``et`` and matched within ``bound`` of the detail's time, so join state is bounded.
+
+    Inputs carry ``id``/``order_id``/``et`` (details), ``id``/``et`` (headers),
+    ``order_detail_id``/``et`` (activity, coupon). Unmatched left rows are
+    emitted once the watermark passes the bound (Spark outer stream-stream join).
+    """
+    d = details.withWatermark("et", delay).alias("d")
+    h = headers.withWatermark("et", delay).alias("h")
+    a = activities.withWatermark("et", delay).alias("a")
+    c = coupons.withWatermark("et", delay).alias("c")
+    within = lambda x: (F.col(f"{x}.et") >= F.col("d.et") - F.expr(f"INTERVAL {bound}")) & \
+        (F.col(f"{x}.et") <= F.col("d.et") + F.expr(f"INTERVAL {bound}"))
+    j = d.join(h, (F.col("d.order_id") == F.col("h.id")) & within("h"), "inner")
+    j = j.join(a, (F.col("d.id") == F.col("a.order_detail_id")) & within("a"), "leftOuter")
+    return j.join(c, (F.col("d.id") == F.col("c.order_detail_id")) & within("c"), "leftOuter")

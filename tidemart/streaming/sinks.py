@@ -60,12 +60,15 @@ def upsert_batch_writer(path: str, key: Sequence[str], order: Sequence[str]) ->
     return write
 
 
+VERSION_COL = "dim_version"
+
+
 def dim_batch_writer(table_path: str, key: str, order: Sequence[str], cells: Sequence[str],
                      op_col: str = "op") -> Callable[[DataFrame, int], None]:
     """SNK5: merge a micro-batch of dimension changes cell by cell into a parquet table.
 
-    The merged table is written to a new version folder ``v=<batch_id>`` (a
-    replayed batch rewrites the same version); readers take the highest version.
+    The merged table is written to a new version folder ``dim_version=<batch_id>``
+    (a replayed batch rewrites the same version); readers take the highest version.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -73,14 +76,14 @@ def dim_batch_writer(table_path: str, key: str, order: Sequence[str], cells: Seq
         base = None
         try:
             versions = spark.read.parquet(table_path)
-            prev = versions.where(F.col("v") < batch_id)
-            top = prev.agg(F.max("v")).first()[0]
+            prev = versions.where(F.col(VERSION_COL) < batch_id)
+            top = prev.agg(F.max(VERSION_COL)).first()[0]
             if top is not None:
-                base = prev.where(F.col("v") == top).drop("v")
+                base = prev.where(F.col(VERSION_COL) == top).drop(VERSION_COL)
         except Exception:  # noqa: BLE001 - first write: no table yet
             base = None
         merged = merge_cells(batch, key, order, cells, op_col, base=base)
-        merged.write.mode("overwrite").parquet(f"{table_path.rstrip('/')}/v={batch_id}")
+        merged.write.mode("overwrite").parquet(f"{table_path.rstrip('/')}/{VERSION_COL}={batch_id}")
 
     return write
 
