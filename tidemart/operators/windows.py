@@ -107,12 +107,19 @@ def running_profile(df: DataFrame, key: str, time_col: str, size: str, fields: S
     per-key *window* rows (bounded by the time span), never over raw records.
     """
     dfw = df.select(key, F.window(time_col, size).alias("window"), *fields)
-    counts = dfw.groupBy(key, "window").agg(F.count(F.lit(1)).alias("_n"))
-    pairs = dfw.select(key, "window", F.explode(F.array(*[
+    # One pass over the input: a count marker plus one (field, value) pair per field, aggregated
+    # per (key, window, pair). Both branches below start from this same aggregate, so Spark
+    # reuses its exchange and the input is scanned and parsed once.
+    marker = F.struct(F.lit("#").alias("f"), F.lit(None).cast("string").alias("v"))
+    pairs = dfw.select(key, "window", F.explode(F.array(marker, *[
         F.struct(F.lit(f).alias("f"), F.col(f).cast("string").alias("v")) for f in fields])).alias("p"))
-    firsts = (pairs.where(F.col("p.v").isNotNull()).groupBy(key, "p").agg(F.min("window").alias("window"))
-              .groupBy(key, "window").agg(F.collect_list("p").alias("_new")))
-    merged = counts.join(firsts, on=[key, "window"], how="left")
+    step = pairs.groupBy(key, "window", "p").agg(F.count(F.lit(1)).alias("_c"))
+    counts = step.where(F.col("p.f") == "#").select(key, "window", F.col("_c").alias("_n"))
+    firsts = (step.where((F.col("p.f") != "#") & F.col("p.v").isNotNull())
+              .groupBy(key, "p").agg(F.min("window.start").alias("_ws"))
+              .groupBy(F.col(key).alias("_fk"), "_ws").agg(F.collect_list("p").alias("_new")))
+    merged = counts.join(firsts, (F.col(key) == F.col("_fk")) & (F.col("window.start") == F.col("_ws")), "left") \
+        .drop("_fk", "_ws")
     wk = Window.partitionBy(key).orderBy(F.col("window.start")).rowsBetween(Window.unboundedPreceding, 0)
     empty = F.array().cast("array<struct<f:string,v:string>>")
     running = merged.select(key, "window", F.sum("_n").over(wk).cast("bigint").alias("page_count"),
