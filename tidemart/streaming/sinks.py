@@ -105,3 +105,9 @@ def start(df: DataFrame, writer: Callable[[DataFrame, int], None], checkpoint: s
     w = df.writeStream.foreachBatch(writer).option("checkpointLocation", checkpoint)
     w = w.trigger(**(trigger or {"availableNow": True}))
     return w.start()
+
+
+def console_debug(df: DataFrame, checkpoint: str, rows: int = 20):
+    """SNK7: print micro-batches to the console (debugging only)."""
+    return (df.writeStream.format("console").option("numRows", rows).option("truncate", "false")
+            .option("checkpointLocation", checkpoint).start())
