@@ -26,7 +26,7 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_oracle_or_reason():
-    assert set(QUERIES) - set(ORACLE) == {"to_json_rows"}
+    assert set(QUERIES) - set(ORACLE) == {"to_json_rows", "search_keyword_window"}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
@@ -48,3 +48,21 @@ def test_to_json_rows(spark):
     assert all(r.value.startswith('{"c_custkey":') for r in rows)
     assert any('"segment":null' in r.value for r in rows if r.keeps_nulls) or \
         all('"segment":null' not in r.value for r in rows if not r.keeps_nulls)
+
+
+def test_search_keyword_window(spark):
+    """Brute force on the small tables: every search row's words, counted per window."""
+    from tidemart.functions.tokenize import _segment
+    from tidemart.plans.windows import SEARCH_DICTIONARY
+    got = {(r.stt, r.keyword): r.keyword_count for r in QUERIES["search_keyword_window"](spark, SF_SMALL).collect()}
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet").where("event_type = 'click'").collect()
+    from tidemart.plans.tables import SEARCH_WORDS
+    import json as _json
+    want = {}
+    words = frozenset(SEARCH_DICTIONARY)
+    for r in ev:
+        item = SEARCH_WORDS[_json.loads(r.props)["k"] % len(SEARCH_WORDS)]
+        start = r.ts.replace(second=r.ts.second - r.ts.second % 10, microsecond=0).strftime("%Y-%m-%d %H:%M:%S")
+        for w in _segment(item, words, 5):
+            want[(start, w)] = want.get((start, w), 0) + 1
+    assert got == want

@@ -14,10 +14,13 @@ from tidemart.operators.scoring import FACTOR_ORDER, attach_weights, infer_age,
 from tidemart.operators.stateful import composite_dedupe, exact_dedupe, first_per_key
 from tidemart.operators.windows import event_time_coalesce, event_time_seconds, last_per_window, window_start_of_batch
 from tidemart.plans.registry import query
-from tidemart.plans.tables import PAGE_LOG_SQL, TZ, cents, epoch_ms, page_log, page_log_json, table, window_sql
+from tidemart.plans.tables import (CUSTOMER_BIRTHDAY_SQL, PAGE_LOG_SQL, TZ, cents, customer_birthday_day, epoch_ms,
+                                   page_log, page_log_json, table, window_sql)
+from tidemart.functions.dates import age_on, date_of_epoch_day, decade_of
 from tidemart.schemas import PAGE_LOG
 
 DAY_MS = 86400 * 1000
+ASOF = "2025-05-14"  # fixed 'today' for ages, so results are stable
 
 
 @query("first_per_user", """
@@ -231,9 +234,14 @@ s AS (SELECT j.user_id, j.order_event_id, j.keyword_event_id, {_age_terms_sql()}
       LEFT JOIN w wd ON wd.factor = 'device' AND wd.category = j.device_os
       LEFT JOIN w wde ON wde.factor = 'device' AND wde.category = '{DEVICE_FALLBACK}'
       LEFT JOIN w wk ON wk.factor = 'keyword' AND wk.category = j.search)
-SELECT user_id, order_event_id, keyword_event_id,
-       {_BRACKETS_SQL}[list_position(sums, list_max(sums))] AS inferred_age
-FROM s
+SELECT s.user_id, order_event_id, keyword_event_id,
+       {_BRACKETS_SQL}[list_position(sums, list_max(sums))] AS inferred_age,
+       CASE WHEN c_custkey % 2 = 0 THEN 'F' ELSE 'M' END AS sex,
+       CAST(year(DATE '{ASOF}') - year(b) - CASE WHEN month(DATE '{ASOF}') * 100 + day(DATE '{ASOF}')
+            < month(b) * 100 + day(b) THEN 1 ELSE 0 END AS INTEGER) AS age,
+       CAST(year(b) - year(b) % 10 AS INTEGER) AS decade
+FROM s JOIN (SELECT c_custkey, CAST(DATE '1970-01-01' + {CUSTOMER_BIRTHDAY_SQL} AS DATE) AS b FROM customer) cu
+  ON s.user_id = cu.c_custkey
 """
 
 
@@ -270,8 +278,15 @@ def age_infer(spark, sf_dir):
                       F.col("ts").alias("r_t"), *rw)
     j = interval_join(left, right, "l_user", "r_user", "l_t", "r_t", -50 * DAY_MS, 50 * DAY_MS, bucket_ms=50 * DAY_MS)
     cols = {f: f"{f}_w" for f in FACTOR_ORDER}
-    return j.select(F.col("l_user").alias("user_id"), "order_event_id", "keyword_event_id",
-                    infer_age(cols).alias("inferred_age"))
+    scored = j.select(F.col("l_user").alias("user_id"), "order_event_id", "keyword_event_id",
+                      infer_age(cols).alias("inferred_age"))
+    # final tag record: user attributes from the user dimension (D18: sex is the user's gender)
+    users = table(spark, sf_dir, "customer").select(
+        "c_custkey", F.when(F.col("c_custkey") % 2 == 0, "F").otherwise("M").alias("gender"),
+        date_of_epoch_day(customer_birthday_day()).alias("birthday"))
+    users = users.select("c_custkey", "gender", age_on("birthday", ASOF).alias("age"), decade_of("birthday").alias("dec"))
+    out = enrich(scored, EnrichSpec(users, "user_id", "c_custkey", {"gender": "sex", "age": "age", "dec": "decade"}))
+    return out
 
 
 @query("event_time_coalesce", """

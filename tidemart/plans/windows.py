@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemart.functions.dates import local_from_epoch_ms
-from tidemart.functions.tokenize import tokenize
+from tidemart.functions.tokenize import tokenize, tokenize_cjk
 from tidemart.operators.joins import EnrichSpec, enrich
-from tidemart.operators.logs import normalize_logs
+from tidemart.operators.logs import normalize_logs, search_keywords
 from tidemart.operators.parse import parse_json_records
 from tidemart.operators.stateful import first_per_key, new_visitor_fix, retract_dedupe, retract_dedupe_ttl, visit_flags
 from tidemart.operators.windows import daily_first, last_per_window, running_profile, window_aggregate
@@ -280,3 +280,20 @@ def user_running_profile(spark, sf_dir):
     norm = norm.where(F.col("uid") != "-1").withColumn("et", local_from_epoch_ms(F.col("ts").cast("bigint"), "UTC"))
     out = running_profile(norm, "uid", "et", "1 day", ["os", "ch", "md", "ba", "keyword"], tz=TZ)
     return out
+
+
+# Test-data segmentation dictionary for the search words (config, not source-system values).
+SEARCH_DICTIONARY = ["匡威", "帆布鞋", "衬衫", "心相印", "纸抽", "扫地机器人", "拯救者", "笔记本", "小米", "手机", "联想",
+                     "电脑", "维生素"]
+
+
+@query("search_keyword_window")
+def search_keyword_window(spark, sf_dir):
+    """PRJ14 -> UDF2 -> AGG5 (the source's keyword job): search-keyword rows of the page log, split
+    into words by dictionary longest match, counted per 10 s window. Rows-only check (the CJK
+    segmentation has no SQL equivalent); the tokenizer itself is unit-tested."""
+    logs = parse_json_records(page_log_json(spark, sf_dir), PAGE_LOG, "value", mode="drop").select("data.*")
+    logs = logs.withColumn("et", local_from_epoch_ms(F.col("ts"), "UTC"))
+    rows = search_keywords(logs, "et")
+    words = rows.select("et", F.explode(tokenize_cjk(F.col("full_word"), SEARCH_DICTIONARY)).alias("keyword"))
+    return window_aggregate(words, "et", "10 seconds", ["keyword"], [F.count(F.lit(1)).alias("keyword_count")], tz=TZ)

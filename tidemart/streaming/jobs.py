@@ -122,3 +122,15 @@ def order_detail_wide_stream(details: DataFrame, headers: DataFrame, activities:
     j = d.join(h, (F.col("d.order_id") == F.col("h.id")) & within("h"), "inner")
     j = j.join(a, (F.col("d.id") == F.col("a.order_detail_id")) & within("a"), "leftOuter")
     return j.join(c, (F.col("d.id") == F.col("c.order_detail_id")) & within("c"), "leftOuter")
+
+
+def exact_dedupe_stream(df: DataFrame, cols: Sequence[str], event_time: str, delay: str) -> DataFrame:
+    """STA7 on a stream: drop repeats of the listed columns seen within the watermark delay."""
+    return df.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(cols))
+
+
+def first_per_key_stream(df: DataFrame, key: Sequence[str] | str, order: Sequence[str]) -> DataFrame:
+    """STA6 on a stream: the first record per key, ever (one "seen" flag per key)."""
+    from tidemart.streaming.processors import FirstPerDay
+
+    return with_state(df, key, FirstPerDay(order), df.schema)
