@@ -16,6 +16,32 @@ RUNTIME_CONF = {
 }
 
 
+def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a large cluster run, sized from the input volume.
+
+    * shuffle partitions: enough that a partition is about ``target_partition_bytes``
+      before AQE coalescing (at least 3 waves of the cores), so sorts and
+      hash tables fit in executor memory and spill stays small;
+    * scan splits of 512 MB (100 TB -> ~200k scan tasks);
+    * AQE coalescing to the same target size, skew-join splitting above 4x the
+      median (and 256 MB), broadcast of runtime-small sides up to 64 MB;
+    * RocksDB state store with changelog checkpointing for the streaming jobs.
+    """
+    shuffle = max(total_cores * 3, int(input_bytes // target_partition_bytes))
+    return {
+        **RUNTIME_CONF,
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.files.maxPartitionBytes": str(512 << 20),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 << 20),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    }
+
+
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "tidemart",
                   extra: dict | None = None) -> SparkSession:
     """Session for jobs and tests. On a cluster the master and sizes come from spark-submit."""
