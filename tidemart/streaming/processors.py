@@ -13,7 +13,7 @@ from __future__ import annotations
 import json
 import math
 from collections.abc import Iterator, Sequence
-from datetime import date, timedelta
+from datetime import timedelta
 
 import xxhash
 from pyspark.sql import Row
