@@ -11,8 +11,8 @@ from tidemart.operators.routing import (after_fields, apply_sink_columns, build_
 from tidemart.operators.stateful import keyed_lag
 from tidemart.plans.registry import query
 from tidemart.plans.tables import (CUSTOMER_BIRTHDAY_SQL, LINEITEM_ARRIVAL, LINEITEM_ARRIVAL_SQL, ORDER_DATE_MS_SQL,
-                                   TZ, customer_birthday_day, customer_envelopes, epoch_ms, money, order_envelopes,
-                                   table)
+                                   TZ, cents, customer_birthday_day, customer_envelopes, detail_id, epoch_ms, from_cents,
+                                   money, order_envelopes, table)
 
 
 @query("cdc_filter", f"""
@@ -118,16 +118,17 @@ def cart_add(spark, sf_dir):
 
 
 def _activity(spark, sf_dir):
+    """Activity and coupon rows per detail key, derived from the line items (one aggregate, two filters)."""
     li = table(spark, sf_dir, "lineitem")
-    idc = F.concat_ws("_", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
-    g = li.groupBy(idc.alias("order_detail_id")).agg(F.max("l_discount").alias("d"), F.min("l_tax").alias("t"))
-    pct = lambda c: (F.col(c).cast("decimal(4,2)") * 100).cast("int").cast("string")
+    g = li.groupBy("l_orderkey", "l_linenumber").agg(F.max("l_discount").alias("d"), F.min("l_tax").alias("t"))
+    pct = lambda c: (F.col(c).cast("decimal(4,2)") * 100).cast("int")
     act = g.where(F.col("d") >= 0.08).select(
-        F.col("order_detail_id").alias("a_detail_id"), F.concat(F.lit("act_"), pct("d")).alias("activity_id"),
-        F.concat(F.lit("rule_"), ((F.col("d").cast("decimal(4,2)") * 100).cast("int") % 3).cast("string"))
-        .alias("activity_rule_id"))
-    cpn = g.where(F.col("t") <= 0.01).select(F.col("order_detail_id").alias("c_detail_id"),
-                                             F.concat(F.lit("cpn_"), pct("t")).alias("coupon_id"))
+        F.col("l_orderkey").alias("a_order"), F.col("l_linenumber").alias("a_line"),
+        F.concat(F.lit("act_"), pct("d").cast("string")).alias("activity_id"),
+        F.concat(F.lit("rule_"), (pct("d") % 3).cast("string")).alias("activity_rule_id"))
+    cpn = g.where(F.col("t") <= 0.01).select(
+        F.col("l_orderkey").alias("c_order"), F.col("l_linenumber").alias("c_line"),
+        F.concat(F.lit("cpn_"), pct("t").cast("string")).alias("coupon_id"))
     return act, cpn
 
 
@@ -159,22 +160,21 @@ def order_detail_wide(spark, sf_dir):
     """PRJ9/PRJ10/JON1/JON2/S21: detail ⋈ header, ⟕ activity, ⟕ coupon (+ sku name); the
     original amount is a DECIMAL(16,2) x DECIMAL(16,2) product rendered as text."""
     li = table(spark, sf_dir, "lineitem")
-    det = li.select(F.concat_ws("_", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("id"),
-                    F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("sku_id"),
-                    F.col("l_quantity").alias("qty"), "l_extendedprice")
+    det = li.select(F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("line_no"),
+                    F.col("l_partkey").alias("sku_id"), F.col("l_quantity").alias("qty"), "l_extendedprice")
     head = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     act, cpn = _activity(spark, sf_dir)
     part = table(spark, sf_dir, "part")
     j = (det.join(head, det.order_id == head.o_orderkey, "inner")
-         .join(act, F.col("id") == act.a_detail_id, "left")
-         .join(cpn, F.col("id") == cpn.c_detail_id, "left"))
+         .join(act, (F.col("order_id") == act.a_order) & (F.col("line_no") == act.a_line), "left")
+         .join(cpn, (F.col("order_id") == cpn.c_order) & (F.col("line_no") == cpn.c_line), "left"))
     j = enrich(j, EnrichSpec(part, "sku_id", "p_partkey", {"p_name": "sku_name", "p_retailprice": "_price"}))
-    return j.select("id", "order_id", F.col("o_custkey").alias("user_id"), "sku_id", "sku_name",
+    return j.select(detail_id().alias("id"), "order_id", F.col("o_custkey").alias("user_id"), "sku_id", "sku_name",
                     "activity_id", "activity_rule_id", "coupon_id",
                     F.date_format("o_orderdate", "yyyy-MM-dd").alias("date_id"),
                     epoch_ms("o_orderdate").alias("create_time"), F.col("qty").cast("bigint").alias("sku_num"),
                     (money("_price") * money("qty")).cast("string").alias("split_original_amount"),
-                    money("l_extendedprice").cast("double").alias("split_total_amount"))
+                    from_cents(cents("l_extendedprice")).alias("split_total_amount"))
 
 
 def _refund_requests(spark, sf_dir):
