@@ -217,3 +217,22 @@ def test_order_detail_stream_join(spark, scratch):
     assert got["d1"] == ("d1", None) and got["d2"] == (None, "d2")
     assert got["d4"] == (None, None)        # coupon 86 s later: outside the 10 s bound
     assert got["d0"] == (None, None) and len([k for k in got if k.startswith("d")]) == 6
+
+
+def test_log_cleaning_streams(spark, scratch):
+    """DWD log job on a file stream: dirty records split off, is_new repaired per device, pages routed."""
+    from tidemart.streaming.jobs import log_cleaning_streams
+    src = os.path.join(scratch, "logs")
+    os.makedirs(src)
+    base = 1_704_067_200_000  # 2024-01-01 00:00 UTC
+    lines = [json.dumps({"common": {"mid": "m1", "is_new": "1"}, "page": {"page_id": "home"}, "ts": base}),
+             json.dumps({"common": {"mid": "m1", "is_new": "1"}, "ts": base + 86_400_000}),
+             json.dumps({"common": {"mid": "m2", "is_new": "0"}, "page": {"page_id": "x"}, "ts": base}),
+             "{broken", "[1, 2]"]
+    with open(os.path.join(src, "a.json"), "w") as fh:
+        fh.write("\n".join(lines) + "\n")
+    bad, fixed, pages = log_cleaning_streams(spark.readStream.format("text").load(src), tz="UTC")
+    assert sorted(r.value for r in run_stream(spark, bad, scratch, "dirty").collect()) == ["[1, 2]", "{broken"]
+    got = {(r.mid, r.ts): r.is_new for r in run_stream(spark, fixed, scratch, "fixed").collect()}
+    assert got == {("m1", base): "1", ("m1", base + 86_400_000): "0", ("m2", base): "0"}
+    assert sorted(r.mid for r in run_stream(spark, pages, scratch, "pages").collect()) == ["m1", "m2"]

@@ -47,11 +47,14 @@ def _plain(x: Decimal) -> str:
     return format(x, "f")
 
 
-def _convert_one(value, divide: bool) -> str:
+def _convert_one(value, divide: bool) -> str | None:
     if value is None:
         return "0"
     text = str(value)
-    num = Decimal(int(text[2:], 16)) if text.startswith("0x") else Decimal(text)
+    try:
+        num = Decimal(int(text[2:], 16)) if text.startswith("0x") else Decimal(text)
+    except (ValueError, ArithmeticError):
+        return None  # not a number: null instead of failing the task
     if not divide:
         return _plain(num)
     preferred = max(-num.as_tuple().exponent, 0)
