@@ -126,3 +126,24 @@ def test_day_bucket(spark):
     r = one(spark, day_bucket_of(F.lit(1704067200), "UTC").alias("s"), day_bucket_of(F.lit(1704067200000), "UTC").alias("ms"),
             day_bucket_of(F.lit(None).cast("bigint"), "UTC").alias("n"))
     assert (r.s, r.ms, r.n) == ("20240101", "20240101", "error_bucket")
+
+
+def test_base_tags_golden_record(spark):
+    """SCO3 on the sample order record (as of 2025-05-14, Asia/Shanghai)."""
+    from tidemart.operators.scoring import base_tags
+    df = spark.createDataFrame([(4815, 1747170502000, 8197.0, "手机")], "b int, ct long, amt double, c1 string")
+    r = base_tags(df, "b", "ct", "amt", "c1", "2025-05-14", "Asia/Shanghai").first()
+    assert (r.birthday, r.age, r.star_sign, r.decade, r.time_type, r.price_level, r.c1_name) == \
+        ("1983-03-09", 42, "双鱼座", 1980, "凌晨", "高价商品", "家居用品")
+
+
+def test_stream_source_helpers(spark):
+    from tidemart.schemas import PAGE_LOG
+    from tidemart.streaming.sources import read_with_watermark, register_json_topic
+    df = spark.createDataFrame([('{"common":{"mid":"a"},"page":{"page_id":"p"},"ts":1000}',),
+                                ('{"common":{"mid":"b"},"ts_ms":2000}',), ("{bad",)], "value string")
+    t = register_json_topic(df, PAGE_LOG, "page_log_t")
+    assert spark.sql("SELECT count(*) AS n FROM page_log_t").first().n == 2 and t.count() == 2
+    got = {(r.data.common.mid if r.data else None): r.et.timestamp() * 1000
+           for r in read_with_watermark(df, PAGE_LOG, "3 seconds").collect()}
+    assert got == {"a": 1000.0, "b": 2000.0, None: 0.0}     # ts_ms, else ts, else 0 (bad record)
