@@ -92,11 +92,13 @@ def status_transition_q(spark, sf_dir):
 
 def _cart_envelopes(spark, sf_dir, split=True):
     li = table(spark, sf_dir, "lineitem").select(
-        F.concat_ws("_", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("id"),
-        "l_suppkey", "l_partkey", F.col("l_quantity").cast("int").alias("qty"), *LINEITEM_ARRIVAL)
-    lagged = keyed_lag(li, "id", LINEITEM_ARRIVAL, ["qty"], split=F.year("l_shipdate") if split else None)
+        "l_orderkey", "l_linenumber", "l_suppkey", "l_partkey", F.col("l_quantity").cast("int").alias("qty"),
+        *[c for c in LINEITEM_ARRIVAL if c not in ("l_partkey", "l_suppkey")])
+    lagged = keyed_lag(li, ["l_orderkey", "l_linenumber"], LINEITEM_ARRIVAL, ["qty"],
+                       split=F.year("l_shipdate") if split else None)
     op = F.when(F.col("prev_qty").isNull(), "c").otherwise("u")
-    after = {"id": F.col("id"), "user_id": F.col("l_suppkey"), "sku_id": F.col("l_partkey"), "sku_num": F.col("qty")}
+    after = {"id": detail_id("l_orderkey", "l_linenumber"), "user_id": F.col("l_suppkey"),
+             "sku_id": F.col("l_partkey"), "sku_num": F.col("qty")}
     before = F.when(F.col("prev_qty").isNotNull(), F.create_map(F.lit("sku_num"), F.col("prev_qty").cast("string")))
     return build_envelopes(lagged, "shop", "cart_info", op, epoch_ms("l_shipdate"), after, before)
 
