@@ -15,7 +15,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 def summarise(plan: str) -> dict:
     return {
-        "shuffles": len(re.findall(r"\bExchange hashpartitioning|\bExchange rangepartitioning|\bExchange SinglePartition|\bExchange RoundRobin", plan)),
+        "shuffles": len(re.findall(r"\bExchange hashpartitioning|\bExchange rangepartitioning|\bExchange SinglePartition", plan)),
+        "spread": len(re.findall(r"\bExchange RoundRobinPartitioning", plan)),
         "broadcasts": plan.count("BroadcastExchange"),
         "smj": plan.count("SortMergeJoin"),
         "bhj": plan.count("BroadcastHashJoin"),
@@ -32,12 +33,13 @@ def main() -> None:
     from tidemart.session import build_session
 
     spark = build_session("local[8]", 16, app="tidemart-plans")
-    print("| Query | Shuffles | Broadcasts | SortMerge joins | Broadcast hash joins | Nested-loop joins | Windows | Scans | Python stages |")
-    print("| --- | --- | --- | --- | --- | --- | --- | --- | --- |")
+    print("| Query | Key shuffles | Small-input spreads | Broadcasts | SortMerge joins | Broadcast hash joins | "
+          "Nested-loop joins | Windows | Scans | Python stages |")
+    print("| --- | --- | --- | --- | --- | --- | --- | --- | --- | --- |")
     for name, fn in e.queries().items():
         plan = fn(spark, sf)._jdf.queryExecution().executedPlan().toString()
         s = summarise(plan)
-        print(f"| {name} | {s['shuffles']} | {s['broadcasts']} | {s['smj']} | {s['bhj']} | {s['nlj']} | {s['windows']} | "
+        print(f"| {name} | {s['shuffles']} | {s['spread']} | {s['broadcasts']} | {s['smj']} | {s['bhj']} | {s['nlj']} | {s['windows']} | "
               f"{s['scans']} | {s['python']} |", flush=True)
 
 
