@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
+import sys
+
 from decimal import Context, Decimal
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemart.functions._col import as_col
 
+# Python workers run this module's UDF/processor code: ship it by value so that executors
+# need no installed copy of the package (they may not have it on their path).
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 __all__ = ["day_partition_range", "hex_words", "append_to_json_list", "hex_or_decimal_text", "WEI_PER_UNIT"]
 
 WEI_PER_UNIT = 10 ** 18

@@ -10,15 +10,22 @@ in :mod:`tidemart.operators.stateful`; tests check that both agree.
 
 from __future__ import annotations
 
+import sys
+
 import json
 import math
 from collections.abc import Iterator, Sequence
 from datetime import timedelta
 
 import xxhash
+from pyspark import cloudpickle
 from pyspark.sql import Row
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+# Python workers run this module's UDF/processor code: ship it by value so that executors
+# need no installed copy of the package (they may not have it on their path).
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 __all__ = ["NewVisitorFix", "VisitFlags", "FirstPerDay", "RetractDedupe", "BloomDedupe", "RunningProfile",
            "bloom_size", "STATE_PROVIDER"]
 
