@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.functions.dates import DEFAULT_TZ, age_on, date_of_epoch_day, decade_of, local_from_epoch_ms, star_sign
 from tidemart.functions.tags import (AGE_BRACKETS, FACTOR_RATES, WEIGHTS, category1_group, price_level,
                                      time_type_of_hour)
-from tidemart.operators.joins import bounded_broadcast
 
-__all__ = ["weight_table", "read_weight_file", "attach_weights", "weight_columns", "infer_age", "base_tags",
+__all__ = ["weight_table", "read_weight_file", "Weights", "prepare_weights", "attach_weights", "weight_columns",
+           "infer_age", "base_tags",
            "MAX_WEIGHT_ROWS", "FACTOR_ORDER"]
 
 MAX_WEIGHT_ROWS = 10_000
@@ -41,7 +43,29 @@ def read_weight_file(spark: SparkSession, path: str, factor: str) -> DataFrame:
     return out
 
 
-def attach_weights(df: DataFrame, weights: DataFrame, factor: str, category_col: str,
+@dataclass
+class Weights:
+    """A weight table checked once: pivoted, broadcast-marked, with its categories per factor."""
+
+    table: DataFrame
+    categories: dict[str, list[str]]
+
+
+def prepare_weights(weights: DataFrame) -> Weights:
+    """Check the weight table's size once (at most ``MAX_WEIGHT_ROWS`` rows, a bounded read), pivot
+    the arrays to six columns and mark it for broadcast; every factor lookup then reuses it."""
+    n = len(AGE_BRACKETS)
+    keys = weights.select("factor", "category").limit(MAX_WEIGHT_ROWS + 1).collect()
+    if len(keys) > MAX_WEIGHT_ROWS:
+        raise ValueError(f"weight table exceeds {MAX_WEIGHT_ROWS} rows")
+    cats: dict[str, list[str]] = {}
+    for r in keys:
+        cats.setdefault(r.factor, []).append(r.category)
+    pivoted = weights.select("factor", F.col("category").alias("_k"), *[F.col("w")[i].alias(f"_w{i}") for i in range(n)])
+    return Weights(F.broadcast(pivoted), cats)
+
+
+def attach_weights(df: DataFrame, weights: DataFrame | Weights, factor: str, category_col: str,
                    fallback: str | None = None, out: str | None = None) -> DataFrame:
     """JON13/SCO1: add the bracket weights of ``category_col`` as six DOUBLE columns
     ``<out>_0 .. <out>_5`` (bracket order), from a bounded, broadcast weight table.
@@ -50,20 +74,18 @@ def attach_weights(df: DataFrame, weights: DataFrame, factor: str, category_col:
     only does primitive arithmetic (no per-row array objects). Unknown
     categories take the ``fallback`` row, or zeros without one (D10, D11); the
     fallback is resolved *before* the join (categories not in the table are
-    replaced by the fallback key), so this is one broadcast hash join.
+    replaced by the fallback key), so this is one broadcast hash join. Pass a
+    :class:`Weights` (from :func:`prepare_weights`) to check the table once for
+    several factors.
     """
     out = out or f"{factor}_w"
+    w = weights if isinstance(weights, Weights) else prepare_weights(weights)
     n = len(AGE_BRACKETS)
-    table = weights.where(F.col("factor") == factor).select(
-        F.col("category").alias("_k"), *[F.col("w")[i].alias(f"_w{i}") for i in range(n)])
-    w = bounded_broadcast(table, MAX_WEIGHT_ROWS)
+    table = w.table.where(F.col("factor") == factor).drop("factor")
     key = F.col(category_col)
     if fallback is not None:
-        known = [r._k for r in table.select("_k").distinct().limit(MAX_WEIGHT_ROWS + 1).collect()]
-        if len(known) > MAX_WEIGHT_ROWS:
-            raise ValueError(f"weight table for {factor} exceeds {MAX_WEIGHT_ROWS} categories")
-        key = F.when(key.isin(known), key).otherwise(F.lit(fallback))
-    res = df.withColumn("_wk", key).join(w, F.col("_wk") == w["_k"], "left")
+        key = F.when(key.isin(w.categories.get(factor, [])), key).otherwise(F.lit(fallback))
+    res = df.withColumn("_wk", key).join(table, F.col("_wk") == table["_k"], "left")
     return res.select(*df.columns, *[F.coalesce(F.col(f"_w{i}"), F.lit(0.0)).alias(f"{out}_{i}") for i in range(n)])
 
 

@@ -10,7 +10,7 @@ from tidemart.functions.tags import (AGE_BRACKETS, BRAND_FALLBACK, DEVICE_FALLBA
 from tidemart.operators.joins import EnrichSpec, enrich, interval_join
 from tidemart.operators.logs import normalize_logs
 from tidemart.operators.parse import parse_json_records
-from tidemart.operators.scoring import FACTOR_ORDER, attach_weights, infer_age, weight_columns, weight_table
+from tidemart.operators.scoring import FACTOR_ORDER, attach_weights, infer_age, prepare_weights, weight_columns, weight_table
 from tidemart.operators.stateful import composite_dedupe, exact_dedupe, first_per_key
 from tidemart.operators.windows import event_time_coalesce, event_time_seconds, last_per_window, window_start_of_batch
 from tidemart.plans.registry import query
@@ -180,7 +180,7 @@ def weight_lookup(spark, sf_dir):
     """JON13/SCO1/S13-S15: order-detail tags with their time, price, category and brand weights
     (unknown brands take the fallback brand's row)."""
     tags = _order_tags(spark, sf_dir)
-    w = weight_table(spark)
+    w = prepare_weights(weight_table(spark))
     tags = attach_weights(tags, w, "time", "time_type", out="time_w")
     tags = attach_weights(tags, w, "price", "price_level", out="price_w")
     tags = attach_weights(tags, w, "category", "c1_name", out="c1_w")
@@ -263,7 +263,7 @@ def age_infer(spark, sf_dir):
     kw = kw.select("user_id", "event_id", "ts", "ts_ntz", keyword_class(F.col("item")).alias("search"),
                    first_word(first_of_list(F.col("os"))).alias("device_os"))
     kw = last_per_window(kw, "user_id", "ts_ntz", "1 day", ["event_id"], tz=TZ)
-    w = weight_table(spark)
+    w = prepare_weights(weight_table(spark))
     orders = attach_weights(orders, w, "time", "time_type", out="time_w")
     orders = attach_weights(orders, w, "price", "price_level", out="price_w")
     orders = attach_weights(orders, w, "category", "c1_name", out="category_w")
