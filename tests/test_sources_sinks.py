@@ -95,3 +95,14 @@ def test_dims_and_options(spark):
     s = kafka_sink_options("h:9092", "t", exactly_once=True)
     assert s["kafka.acks"] == "all" and s["kafka.enable.idempotence"] == "true"
     assert ENVELOPE.fieldNames() == ["before", "after", "source", "op", "ts_ms"]
+
+
+def test_cli_and_cluster_conf(spark, scratch):
+    from tidemart.cli import main
+    from tidemart.session import cluster_conf
+    out = os.path.join(scratch, "pw")
+    assert main(["run", "province_window", "--tables", "/root/testdata/sf0.001", "--out", out]) == 0
+    assert spark.read.parquet(out).count() > 0
+    c = cluster_conf(100 * (1 << 40), 8000)
+    assert int(c["spark.sql.shuffle.partitions"]) == 409600 and c["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    assert int(cluster_conf(1 << 20, 16)["spark.sql.shuffle.partitions"]) == 48
