@@ -106,3 +106,18 @@ def test_cli_and_cluster_conf(spark, scratch):
     c = cluster_conf(100 * (1 << 40), 8000)
     assert int(c["spark.sql.shuffle.partitions"]) == 409600 and c["spark.sql.adaptive.skewJoin.enabled"] == "true"
     assert int(cluster_conf(1 << 20, 16)["spark.sql.shuffle.partitions"]) == 48
+
+
+def test_stream_start_uses_shared_checkpoint_dir(spark, scratch):
+    from tidemart.session import checkpoint_dir
+    from tidemart.streaming.sinks import olap_batch_writer, query_checkpoint, start
+    src = os.path.join(scratch, "s")
+    os.makedirs(src)
+    with open(os.path.join(src, "a.json"), "w") as fh:
+        fh.write('{"x": 1}\n{"x": 2}\n')
+    stream = spark.readStream.schema("x long").json(src)
+    q = start(stream, olap_batch_writer(os.path.join(scratch, "o")), name="ckpt_probe")
+    q.awaitTermination(120)
+    ck = query_checkpoint(spark, "ckpt_probe")
+    assert ck.startswith(checkpoint_dir(spark)) and os.path.isdir(os.path.join(ck, "offsets"))
+    assert spark.read.json(os.path.join(scratch, "o")).count() == 2

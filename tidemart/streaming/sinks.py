@@ -12,7 +12,7 @@ from tidemart.operators.stateful import last_per_key
 from tidemart.sources.dims import merge_cells
 
 __all__ = ["kafka_sink_options", "to_kafka_value", "write_kafka", "olap_batch_writer", "upsert_batch_writer",
-           "dim_batch_writer", "day_bucket_writer", "start"]
+           "dim_batch_writer", "day_bucket_writer", "query_checkpoint", "start", "console_debug"]
 
 
 def kafka_sink_options(servers: str, topic: str, exactly_once: bool = False, extra: dict | None = None) -> dict:
@@ -100,10 +100,28 @@ def day_bucket_writer(path: str, epoch_col: str, fmt: str = "json", tz: str = DE
     return write
 
 
-def start(df: DataFrame, writer: Callable[[DataFrame, int], None], checkpoint: str, trigger: dict | None = None):
-    """Start a ``foreachBatch`` query with its checkpoint (offsets and state are restored on restart)."""
+def query_checkpoint(spark, name: str) -> str:
+    """``<spark.checkpoint.dir>/streams/<name>``: per-query state and offsets in the shared folder the
+    cluster names (read from the session; a local folder only when the setting is unset, as in tests)."""
+    from tidemart.session import checkpoint_dir
+
+    return f"{checkpoint_dir(spark).rstrip('/')}/streams/{name}"
+
+
+def start(df: DataFrame, writer: Callable[[DataFrame, int], None], checkpoint: str | None = None,
+          trigger: dict | None = None, name: str | None = None):
+    """Start a ``foreachBatch`` query with its checkpoint (offsets and state are restored on restart).
+
+    Without ``checkpoint`` the query's folder is :func:`query_checkpoint` of ``name``.
+    """
+    if checkpoint is None:
+        if not name:
+            raise ValueError("give a checkpoint path or a query name")
+        checkpoint = query_checkpoint(df.sparkSession, name)
     w = df.writeStream.foreachBatch(writer).option("checkpointLocation", checkpoint)
     w = w.trigger(**(trigger or {"availableNow": True}))
+    if name:
+        w = w.queryName(name)
     return w.start()
 
 
