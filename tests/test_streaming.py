@@ -236,3 +236,51 @@ def test_log_cleaning_streams(spark, scratch):
     got = {(r.mid, r.ts): r.is_new for r in run_stream(spark, fixed, scratch, "fixed").collect()}
     assert got == {("m1", base): "1", ("m1", base + 86_400_000): "0", ("m2", base): "0"}
     assert sorted(r.mid for r in run_stream(spark, pages, scratch, "pages").collect()) == ["m1", "m2"]
+
+
+def _write_ordered(folder, chunks):
+    os.makedirs(folder)
+    for j, chunk in enumerate(chunks):
+        path = os.path.join(folder, f"p{j}.json")
+        with open(path, "w") as fh:
+            fh.write("\n".join(json.dumps(r) for r in chunk) + "\n")
+        os.utime(path, (1_000_000 + j * 100,) * 2)
+
+
+def test_page_view_and_cart_windows_stream_equal_batch(spark, scratch):
+    from tidemart.operators.stateful import first_per_key
+    from tidemart.operators.windows import window_aggregate
+    from tidemart.streaming.jobs import cart_uu_window_stream, page_view_window_stream
+    base = 1_704_067_200_000
+    pages = [{"mid": f"m{i % 4}", "ts": base + i * 3000 + (i % 4) * 86_400_000 * (i // 20),
+              "last_page_id": None if i % 5 == 0 else "home", "during_time": i * 10, "ar": str(i % 2),
+              "ch": "web", "vc": "v1", "is_new": "0"} for i in range(40)]
+    pages.sort(key=lambda r: r["ts"])
+    pages.append({"mid": "sentinel", "ts": base + 10 * 86_400_000, "last_page_id": "x", "during_time": 0,
+                  "ar": "z", "ch": "z", "vc": "z", "is_new": "0"})
+    src = os.path.join(scratch, "pages")
+    _write_ordered(src, [pages[:15], pages[15:30], pages[30:]])
+    schema = "mid string, ts long, last_page_id string, during_time long, ar string, ch string, vc string, is_new string"
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(src) \
+        .withColumn("visit_date", F.to_date(F.timestamp_millis("ts")))
+    got = {(r.stt, r.ar): (r.dur_sum, r.pv_ct, r.uv_ct, r.sv_ct)
+           for r in run_stream(spark, page_view_window_stream(stream, tz="UTC"), scratch, "pvw").collect()}
+    batch = spark.read.schema(schema).json(src).withColumn("visit_date", F.to_date(F.timestamp_millis("ts")))
+    flags = visit_flags(batch, "mid", ["ts"], "visit_date", "last_page_id").withColumn("et", F.timestamp_millis("ts"))
+    want = {(r.stt, r.ar): (r.d, r.p, r.u, r.s) for r in window_aggregate(
+        flags, "et", "10 seconds", ["ar", "ch", "vc", "is_new"],
+        [F.sum("during_time").alias("d"), F.sum("pv_ct").alias("p"), F.sum("uv_ct").alias("u"),
+         F.sum("sv_ct").alias("s")], tz="UTC").collect() if r.ar != "z"}
+    assert got == want
+
+    adds = [{"user_id": i % 3, "ts": base + i * 4000} for i in range(30)] + [{"user_id": 9, "ts": base + 86_400_000}]
+    src2 = os.path.join(scratch, "adds")
+    _write_ordered(src2, [adds[:10], adds[10:20], adds[20:]])
+    s2 = spark.readStream.schema("user_id long, ts long").option("maxFilesPerTrigger", 1).json(src2) \
+        .withColumn("add_date", F.to_date(F.timestamp_millis("ts")))
+    got2 = {r.stt: r.cart_add_uu_ct for r in run_stream(spark, cart_uu_window_stream(s2, tz="UTC"), scratch, "cuu").collect()}
+    b2 = spark.read.schema("user_id long, ts long").json(src2).withColumn("add_date", F.to_date(F.timestamp_millis("ts")))
+    f2 = first_per_key(b2, ["user_id", "add_date"], ["ts"]).withColumn("et", F.timestamp_millis("ts"))
+    want2 = {r.stt: r.n for r in window_aggregate(f2, "et", "10 seconds", [], [F.count(F.lit(1)).alias("n")], tz="UTC")
+             .collect() if not r.stt.startswith("2024-01-02")}
+    assert got2 == want2

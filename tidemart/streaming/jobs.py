@@ -134,3 +134,30 @@ def first_per_key_stream(df: DataFrame, key: Sequence[str] | str, order: Sequenc
     from tidemart.streaming.processors import FirstPerDay
 
     return with_state(df, key, FirstPerDay(order), df.schema)
+
+
+def page_view_window_stream(pages: DataFrame, window: str = "10 seconds", delay: str = "5 seconds",
+                            tz: str = DEFAULT_TZ) -> DataFrame:
+    """STA2 -> AGG2 on a stream of flat page rows ``(mid, ts, visit_date, last_page_id, during_time,
+    ar, ch, vc, is_new)``: per-device flags in keyed state, then watermarked window sums."""
+    from tidemart.streaming.processors import VisitFlags
+
+    schema = T.StructType(pages.schema.fields + [T.StructField(n, T.LongType()) for n in ("uv_ct", "sv_ct", "pv_ct")])
+    flagged = with_state(pages, "mid", VisitFlags(["ts"], "visit_date", "last_page_id"), schema)
+    timed = flagged.withColumn("et", F.timestamp_millis("ts")).withWatermark("et", delay)
+    agg = timed.groupBy(F.window("et", window).alias("window"), "ar", "ch", "vc", "is_new").agg(
+        F.sum("during_time").alias("dur_sum"), F.sum("pv_ct").alias("pv_ct"), F.sum("uv_ct").alias("uv_ct"),
+        F.sum("sv_ct").alias("sv_ct"))
+    return with_window_cols(agg, "window", tz)
+
+
+def cart_uu_window_stream(adds: DataFrame, window: str = "10 seconds", delay: str = "5 seconds",
+                          tz: str = DEFAULT_TZ) -> DataFrame:
+    """STA3 -> AGG1 on a stream of cart adds ``(user_id, ts, add_date)``: first add per user and day
+    (one flag per (user, day) in state), then a watermarked global count per window."""
+    from tidemart.streaming.processors import FirstPerDay
+
+    firsts = with_state(adds, ["user_id", "add_date"], FirstPerDay(["ts"]), adds.schema)
+    timed = firsts.withColumn("et", F.timestamp_millis("ts")).withWatermark("et", delay)
+    agg = timed.groupBy(F.window("et", window).alias("window")).agg(F.count(F.lit(1)).alias("cart_add_uu_ct"))
+    return with_window_cols(agg, "window", tz)
