@@ -284,3 +284,41 @@ def test_page_view_and_cart_windows_stream_equal_batch(spark, scratch):
     want2 = {r.stt: r.n for r in window_aggregate(f2, "et", "10 seconds", [], [F.count(F.lit(1)).alias("n")], tz="UTC")
              .collect() if not r.stt.startswith("2024-01-02")}
     assert got2 == want2
+
+
+def test_sku_and_keyword_windows_stream(spark, scratch):
+    from tidemart.operators.windows import window_aggregate
+    from tidemart.streaming.jobs import keyword_window_stream, sku_window_stream
+    base = 1_704_067_200_000
+    det = [{"id": f"d{i % 5}", "sku_id": i % 3, "ts_ms": base + i * 1000, "split_original_amount": 10 * i,
+            "split_activity_amount": i, "split_coupon_amount": 0, "split_total_amount": 9 * i} for i in range(24)]
+    det.append({"id": "s", "sku_id": 0, "ts_ms": base + 3_600_000, "split_original_amount": 0,
+                "split_activity_amount": 0, "split_coupon_amount": 0, "split_total_amount": 0})
+    src = os.path.join(scratch, "det")
+    _write_ordered(src, [det[:8], det[8:16], det[16:]])
+    schema = ("id string, sku_id long, ts_ms long, split_original_amount long, split_activity_amount long, "
+              "split_coupon_amount long, split_total_amount long")
+    skus = spark.createDataFrame([(0, "a"), (1, "b"), (2, "c")], "id long, sku_name string")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(src)
+    got = {(r.stt, r.sku_id): (r.split_total_amount, r.sku_name) for r in run_stream(
+        spark, sku_window_stream(stream, skus, ttl_ms=None, tz="UTC"), scratch, "skuw").collect()}
+    batch = retract_dedupe(spark.read.schema(schema).json(src), "id", ["ts_ms"], ["split_total_amount"])
+    want = {(r.stt, r.sku_id): (r.t, "abc"[r.sku_id]) for r in window_aggregate(
+        batch.withColumn("et", F.timestamp_millis("ts_ms")), "et", "5 seconds", ["sku_id"],
+        [F.sum("split_total_amount").alias("t")], tz="UTC").collect() if not r.stt.startswith("2024-01-01 01:")}
+    assert got == want
+
+    logs = [json.dumps({"page": {"last_page_id": "search", "item": w, "item_type": "keyword"}, "ts": base + i * 2000})
+            for i, w in enumerate(["小米手机", "联想电脑", "小米手机", "衬衫"])]
+    logs.append(json.dumps({"page": {"last_page_id": "search", "item": "x", "item_type": "keyword"}, "ts": base + 600_000}))
+    src3 = os.path.join(scratch, "logs")
+    os.makedirs(src3)
+    with open(os.path.join(src3, "a.json"), "w") as fh:
+        fh.write("\n".join(logs) + "\n")
+    from tidemart.schemas import PAGE_LOG
+    pages = spark.readStream.schema(PAGE_LOG).json(src3)
+    got3 = {(r.stt, r.keyword): r.keyword_count for r in run_stream(
+        spark, keyword_window_stream(pages, ["小米", "手机", "联想", "电脑", "衬衫"], tz="UTC"), scratch, "kww").collect()}
+    assert got3 == {("2024-01-01 00:00:00", "小米"): 2, ("2024-01-01 00:00:00", "手机"): 2,
+                    ("2024-01-01 00:00:00", "联想"): 1, ("2024-01-01 00:00:00", "电脑"): 1,
+                    ("2024-01-01 00:00:00", "衬衫"): 1}

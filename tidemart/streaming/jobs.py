@@ -161,3 +161,31 @@ def cart_uu_window_stream(adds: DataFrame, window: str = "10 seconds", delay: st
     timed = firsts.withColumn("et", F.timestamp_millis("ts")).withWatermark("et", delay)
     agg = timed.groupBy(F.window("et", window).alias("window")).agg(F.count(F.lit(1)).alias("cart_add_uu_ct"))
     return with_window_cols(agg, "window", tz)
+
+
+def sku_window_stream(details: DataFrame, skus: DataFrame, window: str = "5 seconds", delay: str = "5 seconds",
+                      ttl_ms: int | None = 10_000, tz: str = DEFAULT_TZ) -> DataFrame:
+    """STA5 -> AGG3 -> JON7 on a stream of details ``(id, sku_id, ts_ms, <4 amounts>)``: retraction
+    with a processing-time TTL on the id memory, windowed amount sums per SKU, SKU names joined onto
+    the window rows (stream-static join; Spark chooses the strategy from the dimension's size)."""
+    amounts = ["split_original_amount", "split_activity_amount", "split_coupon_amount", "split_total_amount"]
+    signed = retract_stream(details, "id", ["ts_ms"], amounts, ttl_ms)
+    timed = signed.withColumn("et", F.timestamp_millis("ts_ms")).withWatermark("et", delay)
+    agg = timed.groupBy(F.window("et", window).alias("window"), "sku_id").agg(*[F.sum(a).alias(a) for a in amounts])
+    named = enrich(with_window_cols(agg, "window", tz), EnrichSpec(skus, "sku_id", "id", {"sku_name": "sku_name"},
+                                                                   how="left"))
+    return named
+
+
+def keyword_window_stream(pages: DataFrame, dictionary: Sequence[str], window: str = "10 seconds",
+                          tz: str = DEFAULT_TZ) -> DataFrame:
+    """PRJ14 -> UDF2 -> AGG5 on a parsed page-log stream (``page`` struct, ``ts`` ms): search-keyword
+    rows, split into words, counted per window with a zero-delay watermark (TIM2)."""
+    from tidemart.functions.tokenize import tokenize_cjk
+    from tidemart.operators.logs import search_keywords
+
+    timed = pages.withColumn("et", F.timestamp_millis("ts")).withWatermark("et", "0 seconds")
+    words = search_keywords(timed, "et").select("et", F.explode(tokenize_cjk(F.col("full_word"), list(dictionary)))
+                                                .alias("keyword"))
+    agg = words.groupBy(F.window("et", window).alias("window"), "keyword").agg(F.count(F.lit(1)).alias("keyword_count"))
+    return with_window_cols(agg, "window", tz)
