@@ -322,3 +322,33 @@ def test_sku_and_keyword_windows_stream(spark, scratch):
     assert got3 == {("2024-01-01 00:00:00", "小米"): 2, ("2024-01-01 00:00:00", "手机"): 2,
                     ("2024-01-01 00:00:00", "联想"): 1, ("2024-01-01 00:00:00", "电脑"): 1,
                     ("2024-01-01 00:00:00", "衬衫"): 1}
+
+
+def test_age_inference_stream_equals_batch(spark, scratch):
+    from tidemart.functions.tags import AGE_BRACKETS
+    from tidemart.operators.joins import interval_join
+    from tidemart.operators.scoring import FACTOR_ORDER, infer_age
+    from tidemart.streaming.jobs import age_inference_stream
+    base, day = 1_704_067_200_000, 86_400_000
+    wcols = lambda fs: {f"{f}_w_{i}": 0.1 * ((i + len(f)) % 9 + 1) for f in fs for i in range(len(AGE_BRACKETS))}
+    orders = [{"user_id": u, "ts": base + k * day, **wcols(["category", "brand", "time", "price"])}
+              for u in range(3) for k in range(3)]
+    for r in orders:
+        r["category_w_5"] = 10.0 if r["user_id"] == 2 else 0.1      # user 2 leans to the last bracket
+    kws = [{"user_id": u, "ts": base + k * day + 5, **wcols(["keyword", "device"])} for u in range(3) for k in range(2)]
+    kws[0]["keyword_w_0"] = 5.0
+    sentinel = {"user_id": 99, "ts": base + 200 * day}
+    src_o, src_k = os.path.join(scratch, "o"), os.path.join(scratch, "k")
+    _write_ordered(src_o, [orders, [{**sentinel, **wcols(["category", "brand", "time", "price"])}]])
+    _write_ordered(src_k, [kws, [{**sentinel, **wcols(["keyword", "device"])}]])
+    so = ", ".join(["user_id long", "ts long"] + [f"{f}_w_{i} double" for f in ("category", "brand", "time", "price") for i in range(6)])
+    sk = ", ".join(["user_id long", "ts long"] + [f"{f}_w_{i} double" for f in ("keyword", "device") for i in range(6)])
+    out = age_inference_stream(spark.readStream.schema(so).json(src_o), spark.readStream.schema(sk).json(src_k),
+                               bound_ms=2 * day)
+    got = Counter((r.user_id, r.l_t, r.r_t, r.inferred_age) for r in run_stream(spark, out, scratch, "age").collect())
+    lo = spark.read.schema(so).json(src_o).withColumnRenamed("user_id", "l_user").withColumnRenamed("ts", "l_t")
+    rk = spark.read.schema(sk).json(src_k).withColumnRenamed("user_id", "r_user").withColumnRenamed("ts", "r_t")
+    b = interval_join(lo, rk, "l_user", "r_user", "l_t", "r_t", -2 * day, 2 * day)
+    want = Counter((r.l_user, r.l_t, r.r_t, r.a) for r in b.select(
+        "l_user", "l_t", "r_t", infer_age({f: f"{f}_w" for f in FACTOR_ORDER}).alias("a")).collect())
+    assert got == want and len(set(r[3] for r in got)) >= 2

@@ -189,3 +189,35 @@ def keyword_window_stream(pages: DataFrame, dictionary: Sequence[str], window: s
                                                 .alias("keyword"))
     agg = words.groupBy(F.window("et", window).alias("window"), "keyword").agg(F.count(F.lit(1)).alias("keyword_count"))
     return with_window_cols(agg, "window", tz)
+
+
+def last_per_processing_window(df: DataFrame, key: str, size: str = "2 minutes", order: Sequence[str] = ("ts",),
+                               tz: str = DEFAULT_TZ) -> DataFrame:
+    """AGG6 on a stream: the newest record per key in each tumbling *processing-time* window
+    (``pt = current_timestamp()`` with a zero-delay watermark)."""
+    from tidemart.operators.windows import last_per_window
+
+    timed = df.withColumn("pt", F.current_timestamp()).withWatermark("pt", "0 seconds")
+    return last_per_window(timed, key, "pt", size, list(order), tz)
+
+
+def age_inference_stream(order_tags: DataFrame, keyword_tags: DataFrame, bound_ms: int = 50 * 86_400_000,
+                         delay: str = "5 seconds") -> DataFrame:
+    """JON12 + SCO2 on streams: order tags ``(user_id, ts, <category/brand/time/price>_w_0..5)`` and
+    keyword tags ``(user_id, ts, <keyword/device>_w_0..5)``, both watermarked (D14), joined per user
+    within ±``bound_ms``, each pair scored into an age bracket."""
+    from tidemart.operators.joins import interval_join
+    from tidemart.operators.scoring import FACTOR_ORDER, infer_age
+
+    lw = order_tags.withColumn("_let", F.timestamp_millis("ts")).withWatermark("_let", delay)
+    rw = keyword_tags.withColumn("_ret", F.timestamp_millis("ts")).withWatermark("_ret", delay)
+    left = lw.select(F.col("user_id").alias("l_user"), F.col("ts").alias("l_t"), "_let",
+                     *[c for c in order_tags.columns if c not in ("user_id", "ts")])
+    right = rw.select(F.col("user_id").alias("r_user"), F.col("ts").alias("r_t"), "_ret",
+                      *[c for c in keyword_tags.columns if c not in ("user_id", "ts")])
+    bound = F.expr(f"INTERVAL {bound_ms // 1000} SECONDS")
+    cond = (left["l_user"] == right["r_user"]) & (right["_ret"] >= left["_let"] - bound) & \
+        (right["_ret"] <= left["_let"] + bound)
+    j = left.join(right, cond, "inner")
+    return j.select(F.col("l_user").alias("user_id"), "l_t", "r_t",
+                    infer_age({f: f"{f}_w" for f in FACTOR_ORDER}).alias("inferred_age"))
