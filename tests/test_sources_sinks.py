@@ -116,8 +116,9 @@ def test_stream_start_uses_shared_checkpoint_dir(spark, scratch):
     with open(os.path.join(src, "a.json"), "w") as fh:
         fh.write('{"x": 1}\n{"x": 2}\n')
     stream = spark.readStream.schema("x long").json(src)
-    q = start(stream, olap_batch_writer(os.path.join(scratch, "o")), name="ckpt_probe")
+    name = "ckpt_probe_" + os.path.basename(scratch).replace("-", "_")   # a fresh query each run
+    q = start(stream, olap_batch_writer(os.path.join(scratch, "o")), name=name)
     q.awaitTermination(120)
-    ck = query_checkpoint(spark, "ckpt_probe")
+    ck = query_checkpoint(spark, name)
     assert ck.startswith(checkpoint_dir(spark)) and os.path.isdir(os.path.join(ck, "offsets"))
     assert spark.read.json(os.path.join(scratch, "o")).count() == 2
