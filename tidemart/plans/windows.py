@@ -287,11 +287,26 @@ SEARCH_DICTIONARY = ["匡威", "帆布鞋", "衬衫", "心相印", "纸抽", "
                      "电脑", "维生素"]
 
 
-@query("search_keyword_window")
+# Expected segmentation of each search word by the dictionary above (longest match), written out by hand
+# for the oracle: DuckDB has no CJK segmenter, and these eight words are the only search items.
+SEARCH_SEGMENTS = [("匡威帆布鞋", "匡威"), ("匡威帆布鞋", "帆布鞋"), ("衬衫", "衬衫"), ("心相印纸抽", "心相印"),
+                   ("心相印纸抽", "纸抽"), ("扫地机器人", "扫地机器人"), ("拯救者笔记本", "拯救者"),
+                   ("拯救者笔记本", "笔记本"), ("小米手机", "小米"), ("小米手机", "手机"), ("联想电脑", "联想"),
+                   ("联想电脑", "电脑"), ("维生素", "维生素")]
+_SEG_SQL = ", ".join(f"('{w}', '{t}')" for w, t in SEARCH_SEGMENTS)
+
+
+@query("search_keyword_window", f"""
+WITH p AS ({PAGE_LOG_SQL}),
+seg(word, token) AS (VALUES {_SEG_SQL})
+SELECT {window_cols_sql('p.ts_ntz', 10)}, seg.token AS keyword, count(*) AS keyword_count
+FROM p JOIN seg ON p.item = seg.word
+WHERE p.has_page AND p.last_page_id = 'search' AND p.item_type = 'keyword' AND p.item IS NOT NULL
+GROUP BY ALL
+""")
 def search_keyword_window(spark, sf_dir):
     """PRJ14 -> UDF2 -> AGG5 (the source's keyword job): search-keyword rows of the page log, split
-    into words by dictionary longest match, counted per 10 s window. Rows-only check (the CJK
-    segmentation has no SQL equivalent); the tokenizer itself is unit-tested."""
+    into words by dictionary longest match, counted per 10 s window."""
     logs = parse_json_records(page_log_json(spark, sf_dir), PAGE_LOG, "value", mode="drop").select("data.*")
     logs = logs.withColumn("et", local_from_epoch_ms(F.col("ts"), "UTC"))
     rows = search_keywords(logs, "et")
