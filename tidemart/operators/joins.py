@@ -93,8 +93,9 @@ def interval_join(left: DataFrame, right: DataFrame, left_key: str, right_key: s
     """JON10-JON12: inner join on key with ``left_time + lower <= right_time <= left_time + upper``.
 
     Times are epoch-ms BIGINT columns; bounds are inclusive milliseconds
-    (``lower_ms`` is usually negative). Works on batch and, given watermarks,
-    on streams (Spark's stream-stream interval join). With ``bucket_ms`` the
+    (``lower_ms`` is usually negative). This is the batch form: on streams the
+    bound must be on watermarked timestamp columns so that Spark can expire
+    join state (see :func:`tidemart.streaming.jobs.age_inference_stream`). With ``bucket_ms`` the
     batch join also matches on a time bucket: the right row's bucket, and each
     bucket the left row's range reaches (a handful of copies when
     ``bucket_ms`` is near the range width). One heavy key then spreads over
