@@ -50,3 +50,23 @@ def test_bucketed_interval_join_spreads_hot_key(spark, no_aqe):
     assert hot_share(plain, "lk", ("rs",)) == 1.0
     assert hot_share(bucketed, "lk", ("rs",)) < 0.35
     assert sorted((r.ls, r.rs) for r in plain.collect()) == sorted((r.ls, r.rs) for r in bucketed.collect())
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.integers(0, 2), st.integers(-50, 50)), min_size=1, max_size=25),
+       st.lists(st.tuples(st.integers(0, 2), st.integers(-50, 50)), min_size=1, max_size=25),
+       st.integers(1, 20), st.integers(1, 30))
+def test_interval_join_matches_brute_force(spark, lefts, rights, width, bucket):
+    """Bounds inclusive on both ends, negative times, any bucket size: every pair exactly once."""
+    lo, hi = -width, width
+    ldf = spark.createDataFrame([(k, t, i) for i, (k, t) in enumerate(lefts)], "lk long, lt long, li long")
+    rdf = spark.createDataFrame([(k, t, i) for i, (k, t) in enumerate(rights)], "rk long, rt long, ri long")
+    want = sorted((i, j) for i, (k1, t1) in enumerate(lefts) for j, (k2, t2) in enumerate(rights)
+                  if k1 == k2 and t1 + lo <= t2 <= t1 + hi)
+    for b in (None, bucket):
+        got = sorted((r.li, r.ri) for r in interval_join(ldf, rdf, "lk", "rk", "lt", "rt", lo, hi, bucket_ms=b).collect())
+        assert got == want
