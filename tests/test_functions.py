@@ -147,3 +147,22 @@ def test_stream_source_helpers(spark):
     got = {(r.data.common.mid if r.data else None): r.et.timestamp() * 1000
            for r in read_with_watermark(df, PAGE_LOG, "3 seconds").collect()}
     assert got == {"a": 1000.0, "b": 2000.0, None: 0.0}     # ts_ms, else ts, else 0 (bad record)
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.integers(0, 2 ** 256 - 1), min_size=1, max_size=20))
+def test_hex_text_exact(spark, values):
+    """S34 on uint256-sized values: exact decimal text, and exact division by 1e18 (no float rounding)."""
+    from decimal import Decimal, getcontext
+    getcontext().prec = 200
+    df = spark.createDataFrame([(hex(v),) for v in values], "h string")
+    got = df.select("h", hex_or_decimal_text("h").alias("d"), hex_or_decimal_text("h", divide=True).alias("u")).collect()
+    for r in got:
+        v = int(r.h, 16)
+        assert r.d == str(v)
+        q = Decimal(v) / Decimal(10 ** 18)
+        assert Decimal(r.u) == q and (("." not in r.u) or not r.u.endswith("0"))
