@@ -4,11 +4,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from tidemart import plans
 from tests.conftest import SF_SMALL
 from tools.oracle_check import TABLES, rows_of
 
-ORACLE = entry.oracle_sql()
-QUERIES = entry.queries()
+ORACLE, QUERIES = plans.ORACLE, plans.QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -27,6 +27,7 @@ def test_entry_runs(spark):
 
 def test_every_query_has_oracle():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
