@@ -1,10 +1,12 @@
 """Toxicity: a bidirectional GRU with attention pooling over character and word inputs, trained and run in numpy.
 
-A word's input is its word embedding (hashed vocabulary) beside the mean embedding of its byte trigrams, borders
-included. A window of words runs through a GRU in both directions; attention pools the states; a logistic output
+A word's input is its word embedding (hashed vocabulary) beside the scaled sum of the embeddings of its byte 3-grams
+and 5-grams, borders included. A window of words runs through a GRU in both directions; attention pools the states; a logistic output
 scores the window. A document's score is that of its most toxic window: all overlapping windows of the whole text are
 scored. Labels exist per document only, so training is by multiple instances: of a toxic document the window that the
-model finds most toxic counts as toxic, of a clean one its most toxic and some random windows count as clean.
+model finds most toxic counts as toxic, of a clean one its most toxic and some random windows count as clean. The first
+dimension of the embeddings starts from how surely a word or gram is more frequent in toxic training documents, so
+that the first windows are well chosen even with few labels.
 """
 
 from __future__ import annotations
@@ -28,20 +30,29 @@ __all__ = ["Settings", "train", "score_documents", "training_sample", "held_out"
 _CLEAN = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 
 
+_GRAM = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F, 0x165667B1, 0xD3A2646D], np.uint32)
+
+
 class Settings:
     """Sizes of the model and of its training. ``sample_rows`` bounds the labelled rows that training reads."""
 
-    def __init__(self, window=32, stride=16, hidden=8, dim=16, words=1 << 13, trigrams=1 << 12, sample_rows=6000,
+    def __init__(self, window=32, stride=16, hidden=8, dim=16, words=1 << 13, grams=1 << 14, sample_rows=6000,
                  epochs=6, batch=256, rate=0.01, threshold=0.7, seed=5):
         self.__dict__.update({k: v for k, v in locals().items() if k != "self"})
 
 
+def _ranges(starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All places of the ranges one after another, and for each the number of its range."""
+    owner = np.repeat(np.arange(len(starts)), lengths)
+    return starts[owner] + np.arange(len(owner)) - (np.cumsum(lengths) - lengths)[owner], owner
+
+
 class _Text:
     """Words of several texts: inputs of their distinct words and the place of every word among these."""
 
     def __init__(self, texts: list[str | None], s: Settings, powers):
         clean = [(t or "").encode("utf-8", "surrogatepass").translate(_CLEAN) for t in texts]
-        data = b" " + b" ".join(clean) + b" "
+        data = b" " + b" ".join(clean) + b"     "
         bounds = np.concatenate([[0], np.cumsum([len(c) + 1 for c in clean])])
         hashes, starts, ends = word_hashes(data, powers)
         self.first = np.searchsorted(starts, bounds + 1)
@@ -49,22 +60,31 @@ class _Text:
         keys, at, self.word = np.unique(hashes, return_index=True, return_inverse=True)
         self.bucket = (keys % np.uint64(s.words)).astype(np.int64)
         raw = np.frombuffer(data, np.uint8).astype(np.uint32)
-        a, n = starts[at], ends[at] - starts[at]
-        if len(a):
-            places = np.repeat(a - 1 - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-            mixed = (raw[places] * np.uint32(0x9E3779B1) ^ raw[places + 1] * np.uint32(0x85EBCA77)
-                     ^ raw[places + 2] * np.uint32(0xC2B2AE3D))
-            self.tri = ((mixed >> np.uint32(7)) % np.uint32(s.trigrams)).astype(np.int64)
-        else:
-            self.tri = np.zeros(0, np.int64)
-        self.n_tri = n
-
-    def means(self, table: np.ndarray) -> np.ndarray:
-        """Mean row of ``table`` over the trigrams of each distinct word."""
-        if not len(self.n_tri):
+        a, n = starts[at] - 1, ends[at] - starts[at]  # a word's grams start at the border before it
+        three, owner_3 = _ranges(a, n)
+        five, owner_5 = _ranges(a, np.maximum(n - 2, 0))
+        mixed = [raw[three] * _GRAM[0] ^ raw[three + 1] * _GRAM[1] ^ raw[three + 2] * _GRAM[2],
+                 (raw[five] * _GRAM[0] ^ raw[five + 1] * _GRAM[1] ^ raw[five + 2] * _GRAM[2]) * _GRAM[3]
+                 ^ raw[five + 3] * _GRAM[4] ^ raw[five + 4] * _GRAM[5]]
+        owner = np.concatenate([owner_3, owner_5])
+        order = np.argsort(owner, kind="stable")
+        mixed = np.concatenate(mixed)[order]
+        self.gram = ((mixed ^ mixed >> np.uint32(15)) % np.uint32(s.grams)).astype(np.int64)
+        self.n_grams = np.bincount(owner, minlength=len(a))
+        self.gram_at = np.concatenate([[0], np.cumsum(self.n_grams)])
+
+    def grams_of(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Grams of some distinct words, and for each the place of its word among these."""
+        at, owner = _ranges(self.gram_at[words], self.n_grams[words])
+        return self.gram[at], owner
+
+    def gram_sums(self, words: np.ndarray | None, table: np.ndarray) -> np.ndarray:
+        """Sum of the ``table`` rows of the grams of distinct words (null: all), over the root of their number."""
+        if not len(self.n_grams if words is None else words):
             return np.zeros((0, table.shape[1]), table.dtype)
-        heads = np.concatenate([[0], np.cumsum(self.n_tri)[:-1]])
-        return np.add.reduceat(table[self.tri], heads, axis=0) / self.n_tri[:, None].astype(table.dtype)
+        gram, n = (self.gram, self.n_grams) if words is None else (self.grams_of(words)[0], self.n_grams[words])
+        heads = np.concatenate([[0], np.cumsum(n)[:-1]])
+        return np.add.reduceat(table[gram], heads, axis=0) / np.sqrt(n)[:, None].astype(table.dtype)
 
     def windows(self, s: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """``(distinct-word places (n, window), present (n, window), document)`` of all overlapping windows; the
@@ -97,7 +117,7 @@ def _init(s: Settings) -> dict[str, np.ndarray]:
     def normal(*shape, scale):
         return (r.standard_normal(shape) * scale).astype(np.float32)
 
-    return {"word": normal(s.words, d, scale=0.1), "char": normal(s.trigrams, d, scale=0.1),
+    return {"word": normal(s.words, d, scale=0.1), "char": normal(s.grams, d, scale=0.1),
             "win": normal(2 * d, 6 * h, scale=d ** -0.5), "bin": np.zeros(6 * h, np.float32),
             "uf": normal(h, 3 * h, scale=h ** -0.5), "ub": normal(h, 3 * h, scale=h ** -0.5),
             "wa": normal(2 * h, 2 * h, scale=(2 * h) ** -0.5), "va": normal(2 * h, scale=(2 * h) ** -0.5),
@@ -162,7 +182,7 @@ def _logits(p: dict, inputs: np.ndarray, windows: np.ndarray, present: np.ndarra
 
 def _project(p: dict, t: _Text) -> np.ndarray:
     d = p["word"].shape[1]
-    x = p["word"][t.bucket] @ p["win"][:d] + t.means(p["char"] @ p["win"][d:]) + p["bin"]
+    x = p["word"][t.bucket] @ p["win"][:d] + t.gram_sums(None, p["char"]) @ p["win"][d:] + p["bin"]
     return np.concatenate([x, p["bin"][None, :]]).astype(np.float32)
 
 
@@ -170,7 +190,7 @@ def _gradients(p: dict, t: _Text, words: np.ndarray, windows: np.ndarray, presen
     """Gradients of the mean log loss for some windows; ``words``: the distinct words they use, ``windows`` places
     among these (the place behind the last is padding)."""
     h, d, n = p["uf"].shape[0], p["word"].shape[1], len(windows)
-    emb = np.concatenate([np.concatenate([p["word"][t.bucket[words]], t.means_of(words, p["char"])], axis=1),
+    emb = np.concatenate([np.concatenate([p["word"][t.bucket[words]], t.gram_sums(words, p["char"])], axis=1),
                           np.zeros((1, 2 * d), np.float32)])
     x = (emb @ p["win"] + p["bin"])[windows.T]
     f, saved_f = _gru(x[:, :, :3 * h], p["uf"], True)
@@ -196,29 +216,11 @@ def _gradients(p: dict, t: _Text, words: np.ndarray, windows: np.ndarray, presen
     demb = (demb_in @ p["win"].T)[:-1]
     g["word"], g["char"] = np.zeros_like(p["word"]), np.zeros_like(p["char"])
     np.add.at(g["word"], t.bucket[words], demb[:, :d])
-    tri, owner = t.trigrams_of(words)
-    np.add.at(g["char"], tri, (demb[:, d:] / t.n_tri[words][:, None])[owner])
+    gram, owner = t.grams_of(words)
+    np.add.at(g["char"], gram, (demb[:, d:] / np.sqrt(t.n_grams[words])[:, None].astype(np.float32))[owner])
     return g
 
 
-def _trigrams_of(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    heads = np.concatenate([[0], np.cumsum(self.n_tri)])[words]
-    n = self.n_tri[words]
-    owner = np.repeat(np.arange(len(words)), n)
-    return self.tri[np.repeat(heads - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())], owner
-
-
-def _means_of(self, words: np.ndarray, table: np.ndarray) -> np.ndarray:
-    if not len(words):
-        return np.zeros((0, table.shape[1]), table.dtype)
-    tri, _ = self.trigrams_of(words)
-    n = self.n_tri[words]
-    return np.add.reduceat(table[tri], np.concatenate([[0], np.cumsum(n)[:-1]]), axis=0) / n[:, None].astype(table.dtype)
-
-
-_Text.trigrams_of, _Text.means_of = _trigrams_of, _means_of
-
-
 def _most(values: np.ndarray, docs: np.ndarray, n: int) -> np.ndarray:
     """Largest value per document (minus infinity without any)."""
     out = np.full(n, -np.inf)
@@ -226,6 +228,20 @@ def _most(values: np.ndarray, docs: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
+def _evidence(doc: np.ndarray, bucket: np.ndarray, size: int, y: np.ndarray) -> np.ndarray:
+    """Per bucket: by how much more than 3 standard errors its share of toxic documents exceeds that of clean ones
+    (negative the other way round), in units of 3, at most 3. Rare buckets have none."""
+    pairs = np.unique(doc * size + bucket)
+    toxic = y[pairs // size] == 1
+    n1, n0 = max(1, int((y == 1).sum())), max(1, int((y == 0).sum()))
+    k1 = np.bincount(pairs[toxic] % size, minlength=size)
+    k0 = np.bincount(pairs[~toxic] % size, minlength=size)
+    share = (k1 + k0) / (n1 + n0)
+    error = np.sqrt(np.maximum(share * (1 - share), 1e-12) * (1 / n1 + 1 / n0))
+    z = (k1 / n1 - k0 / n0) / error
+    return (np.sign(z) * np.clip((np.abs(z) - 3) / 3, 0, 3)).astype(np.float32)
+
+
 def train(texts: list[str | None], labels: list[int], s: Settings) -> dict[str, np.ndarray]:
     """Model parameters from labelled texts. Every fifth text sets the output's offset only, so that the threshold
     lies where it separates the classes best."""
@@ -233,29 +249,38 @@ def train(texts: list[str | None], labels: list[int], s: Settings) -> dict[str,
     rng, t = np.random.default_rng(s.seed), _Text(texts, s, _powers())
     windows, present, doc = t.windows(s)
     p = _init(s)
-    moment = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in p.items()}
     fold = np.arange(len(texts)) % 5 == 4
+    first_score = np.zeros(len(windows))
+    if len(windows):
+        owner = np.repeat(np.arange(len(texts)), np.diff(t.first))
+        pair = np.unique(owner * len(t.bucket) + t.word)  # distinct (document, word)
+        pair = pair[~fold[pair // len(t.bucket)]]
+        in_doc, word = pair // len(t.bucket), pair % len(t.bucket)
+        number = np.cumsum(~fold) - 1
+        gram, of = t.grams_of(word)
+        p["word"][:, 0] = _evidence(number[in_doc], t.bucket[word], s.words, y[~fold])
+        p["char"][:, 0] = _evidence(number[in_doc[of]], gram, s.grams, y[~fold])
+        seen = np.append(p["word"][t.bucket, 0] + t.gram_sums(None, p["char"][:, :1])[:, 0], -np.inf)
+        first_score = seen[windows].max(axis=1)
+    moment = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in p.items()}
     train_window = np.flatnonzero(~fold[doc]) if len(doc) else np.zeros(0, np.int64)
     step = 0
     for epoch in range(s.epochs if len(train_window) else 0):
-        score = _logits(p, _project(p, t), windows, present) if epoch else rng.random(len(windows))
+        score = _logits(p, _project(p, t), windows, present) if epoch else first_score
         order = np.lexsort((-score, doc))
         top = order[np.concatenate([[True], np.diff(doc[order]) != 0])]
         top = top[~fold[doc[top]]]
         extra = rng.choice(train_window, min(len(train_window), 2 * len(top)), replace=False)
-        if epoch == 0:  # no ranking yet: several windows of a toxic document stand for it
-            extra_toxic = train_window[y[doc[train_window]] == 1]
-            extra = np.concatenate([extra, rng.permutation(extra_toxic)[:4 * len(top)]])
-        else:
-            extra = extra[y[doc[extra]] == 0]
+        extra = extra[y[doc[extra]] == 0]
         chosen = np.concatenate([top, extra])
         toxic = chosen[y[doc[chosen]] == 1]
         clean = chosen[y[doc[chosen]] == 0]
         if len(toxic) and len(clean) > 2 * len(toxic):  # rare positives are shown more often
             toxic = np.tile(toxic, min(8, len(clean) // (2 * len(toxic)) + 1))
         chosen = rng.permutation(np.concatenate([toxic, clean]))
-        for at in range(0, len(chosen), s.batch):
-            some = chosen[at:at + s.batch]
+        batch = min(s.batch, max(16, len(chosen) // 40))  # few labels: smaller batches, so that there are enough steps
+        for at in range(0, len(chosen), batch):
+            some = chosen[at:at + batch]
             words, place = np.unique(windows[some], return_inverse=True)
             place = place.reshape(len(some), -1)
             if words[0] < 0:  # padding goes behind the last word
