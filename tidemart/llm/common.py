@@ -120,9 +120,10 @@ def bucket_links(members: DataFrame, keys: list[str], node: str, verify, scratch
     Returns ``(node, component)`` of the nodes with a link.
     """
     mark = F.xxhash64(*keys)  # node XOR mark: an order of the nodes that differs from bucket to bucket
-    sizes = members.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(
-        F.col(node).bitwiseXOR(mark)).alias("_o")).where("_n > 1").select(*keys, F.col("_o").bitwiseXOR(mark).alias("p"))
-    shared = scratch.table(members.join(sizes, keys).select(*keys, F.col(node).alias("x"), "p"), "shared")
+    marked = F.col(node).bitwiseXOR(mark)
+    several = members.groupBy(*keys).agg(F.min(marked).alias("_lo"), F.max(marked).alias("_hi")).where("_lo != _hi")
+    several = several.select(*keys, F.col("_lo").bitwiseXOR(mark).alias("p"))
+    shared = scratch.table(members.join(several, keys).select(*keys, F.col(node).alias("x"), "p"), "shared")
     stars = (shared.where("x != p").select(F.least("x", "p").alias("a"), F.greatest("x", "p").alias("b")).distinct())
     links = scratch.table(verify(stars).select("a", "b"), "links")
     comp = scratch.table(connected_components(links, "a", "b", scratch), "components")
