@@ -134,15 +134,25 @@ def _chunks(frame: pd.DataFrame, powers) -> Iterator[tuple[int, _Chunk]]:
         yield at, _Chunk(texts, powers)
 
 
+def _first_and_repeated(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For every key, whether it is the first of its value, and whether its value occurs again. The rows stay in the
+    order of documents, where their shared columns compress well."""
+    order = np.argsort(keys, kind="stable")
+    new = np.concatenate([[True], keys[order][1:] != keys[order][:-1]])
+    head, repeated = np.empty(len(keys), bool), np.empty(len(keys), bool)
+    head[order], repeated[order] = new, ~new | np.concatenate([~new[1:], [False]])
+    return head, repeated
+
+
 def _anchors(length: int, period: int):
     cover = np.zeros(period, bool)
     cover[list(DIFFERENCE_COVERS[period])] = True
     short = length - period + 1
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Per batch one row for each distinct anchor (n = 1 or 2 findings) and, for the other findings of an anchor
+        """Per batch one row for each distinct anchor and, for the other findings of an anchor
         that the batch itself repeats, a row with a key of its own: they need no answer from other batches, and a
-        very common anchor sends one row per batch."""
+        very common anchor sends one row per batch. ``at`` is twice the place, plus 1 if the batch repeats the anchor."""
         powers = _powers()
         for frame in frames:
             rid = frame["rid"].to_numpy(np.int64)
@@ -156,13 +166,10 @@ def _anchors(length: int, period: int):
             if not keys or not sum(map(len, keys)):
                 continue
             g, row, place = np.concatenate(keys), np.concatenate(rows), np.concatenate(places)
-            order = np.argsort(g, kind="stable")
-            g, row, place = g[order], row[order], place[order]
-            head = np.concatenate([[True], g[1:] != g[:-1]])
-            repeated = ~head | np.concatenate([~head[1:], [False]])
+            head, repeated = _first_and_repeated(g)
             own = _mix(rid[row].view(np.uint64) + place.astype(np.uint64) * _ODD[3])
-            yield pd.DataFrame({"g": np.where(head, g, own).view(np.int64), "n": np.where(repeated, 2, 1).astype(np.int32),
-                                "rid": rid[row], "place": place.astype(np.int32)})
+            yield pd.DataFrame({"g": np.where(head, g, own).view(np.int64), "rid": rid[row],
+                                "at": 2 * place + (repeated | ~head)})
     return run
 
 
@@ -197,13 +204,9 @@ def _windows(length: int, period: int):
             if not parts:
                 continue
             g, chk, row, place = (np.concatenate(x) for x in zip(*parts, strict=True))
-            order = np.argsort(g, kind="stable")
-            g, chk, row, place = g[order], chk[order], row[order], place[order]
-            head = np.concatenate([[True], (g[1:] != g[:-1]) | (chk[1:] != chk[:-1])])
-            twice = np.concatenate([~head[1:], [False]])
-            yield pd.DataFrame({"g": g.view(np.int64), "chk": (chk >> np.uint64(33)).astype(np.int32),
-                                "n": np.where(twice, 2, 1).astype(np.int32), "rid": row,
-                                "place": place.astype(np.int32)})[head]
+            head, repeated = _first_and_repeated(g ^ chk)
+            yield pd.DataFrame({"g": g.view(np.int64)[head], "chk": (chk >> np.uint64(33)).astype(np.int32)[head],
+                                "rid": row[head], "at": 2 * place[head] + repeated[head]})
     return run
 
 
@@ -250,14 +253,15 @@ def substring_dedup(docs: DataFrame, length: int = 35, period: int = 21, id_col:
         raise ValueError(f"period must be one of {sorted(DIFFERENCE_COVERS)} and less than the length")
     d = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     d = d.withColumn("rid", F.xxhash64("doc_id", "text"))
-    found = d.select("rid", "text").mapInPandas(_anchors(length, period), "g bigint, n int, rid bigint, place int")
-    shared = found.withColumn("total", F.sum("n").over(Window.partitionBy("g"))).where("total > 1")
-    anchors = shared.groupBy("rid").agg(F.collect_set("place").alias("anchors")).withColumnRenamed("rid", "ar")
+    found = d.select("rid", "text").mapInPandas(_anchors(length, period), "g bigint, rid bigint, at bigint")
+    findings, place = F.sum(F.col("at") % 2 + 1), F.shiftright("at", 1).cast("int")
+    shared = found.withColumn("total", findings.over(Window.partitionBy("g"))).where("total > 1")
+    anchors = shared.groupBy("rid").agg(F.collect_set(place).alias("anchors")).withColumnRenamed("rid", "ar")
     marked = d.join(anchors, F.col("rid") == F.col("ar"), "left").drop("ar")
     windows = marked.where("anchors is not null").select("rid", "doc_id", "text", "anchors").mapInPandas(
-        _windows(length, period), "g bigint, chk int, n int, rid bigint, place int")
-    lone = windows.withColumn("total", F.sum("n").over(Window.partitionBy("g", "chk"))).where("total = 1")
-    single = lone.groupBy("rid").agg(F.collect_set("place").alias("single")).withColumnRenamed("rid", "sr")
+        _windows(length, period), "g bigint, chk int, rid bigint, at bigint")
+    lone = windows.withColumn("total", findings.over(Window.partitionBy("g", "chk"))).where("total = 1")
+    single = lone.groupBy("rid").agg(F.collect_set(place).alias("single")).withColumnRenamed("rid", "sr")
     out = marked.join(single, F.col("rid") == F.col("sr"), "left").select("doc_id", "text", "anchors", "single")
     schema = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string"
     return out.mapInPandas(_kept(length, period, with_text), schema + (", kept_text string" if with_text else ""))
