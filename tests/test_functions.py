@@ -2,6 +2,7 @@
 
 import datetime as dt
 import hashlib
+from decimal import Context, Decimal, localcontext
 
 from pyspark.sql import functions as F
 
@@ -157,7 +158,7 @@ from hypothesis import strategies as st  # noqa: E402
 @given(st.lists(st.integers(0, 2 ** 256 - 1), min_size=1, max_size=20))
 def test_hex_text_exact(spark, values):
     """S34 on uint256-sized values: exact decimal text, and exact division by 1e18 (no float rounding)."""
-    from decimal import Decimal, getcontext
+    from decimal import getcontext
     getcontext().prec = 200
     df = spark.createDataFrame([(hex(v),) for v in values], "h string")
     got = df.select("h", hex_or_decimal_text("h").alias("d"), hex_or_decimal_text("h", divide=True).alias("u")).collect()
@@ -166,3 +167,30 @@ def test_hex_text_exact(spark, values):
         assert r.d == str(v)
         q = Decimal(v) / Decimal(10 ** 18)
         assert Decimal(r.u) == q and (("." not in r.u) or not r.u.endswith("0"))
+
+
+def test_hex_text_of_malformed_short_and_wide_values(spark):
+    values = ["0x1g", "0xzz", "0x", "0X10", "0x1_0", "abc", "", "NaN", "0x0", "0xff", "0x" + "f" * 15, "0x1" + "0" * 15,
+              "0x" + "f" * 31, "0x1" + "0" * 31, "0x" + "f" * 300, "12", "-1.50", None]
+
+    def want(v, divide):
+        if v is None:
+            return "0"
+        try:
+            n = int(v[2:], 16) if v.startswith("0x") and "_" not in v else Decimal(v)
+        except (ValueError, ArithmeticError):
+            return None
+        if v == "NaN":
+            return None
+        with localcontext(Context(prec=800)):
+            return Decimal(n) / 10 ** 18 if divide else Decimal(n)
+
+    df = spark.createDataFrame([(v,) for v in values], "h string")
+    rows = df.select("h", hex_or_decimal_text("h").alias("d"), hex_or_decimal_text("h", divide=True).alias("u")).collect()
+    for r in rows:
+        for got, divide in ((r.d, False), (r.u, True)):
+            w = want(r.h, divide)
+            assert (got is None) == (w is None) and (got is None or Decimal(got) == Decimal(w)), r
+    lists = spark.createDataFrame([('["a","b"',), ('{"a":1}',), (" ",), ("[]",), ('["a", null]',), (None,)], "l string")
+    got = [r.x for r in lists.select(append_to_json_list("l", F.lit("z")).alias("x")).collect()]
+    assert got == [None, None, "[z]", "[z]", "[a, z]", "[z]"]

@@ -7,13 +7,18 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from tidemart.functions.tokenize import register_split_words, tokenize_cjk
+from tidemart.functions.tags import AGE_BRACKETS
+from tidemart.functions.tokenize import register_split_words, tokenize, tokenize_cjk
+from tidemart.operators.scoring import attach_weights
+from tidemart.operators.wordlist import keep_flagged
 from tidemart.schemas import ENVELOPE
-from tidemart.sources.dims import create_table_if_absent, drop_table, list_tables, point_get, scan_limit, table_exists
+from tidemart.sources.dims import (create_table_if_absent, drop_namespace, drop_table, list_tables, point_get, scan_limit,
+                                   table_exists)
 from tidemart.sources.files import read_json_lines, read_weight_file
 from tidemart.sources.jdbc import lower_camel
 from tidemart.streaming.jobs import route_cdc_batch
-from tidemart.streaming.sinks import dim_batch_writer, kafka_sink_options, olap_batch_writer, upsert_batch_writer
+from tidemart.streaming.sinks import (day_bucket_writer, dim_batch_writer, kafka_sink_options, olap_batch_writer,
+                                      read_dim_table, read_upserted, to_kafka_value, upsert_batch_writer)
 from tidemart.streaming.sources import kafka_options
 
 
@@ -25,10 +30,20 @@ def test_json_lines_and_weights(spark, scratch):
     assert sorted(((r.a, r._bad) for r in df.collect()), key=str) == sorted([(1, None), (None, "{bad")], key=str)
     w = os.path.join(scratch, "w.txt")
     with open(w, "w", encoding="utf-8") as fh:
-        fh.write('{"凌晨":{"18-24":0.2,"25-29":0.1,"30-34":0.1,"35-39":0.1,"40-49":0.1,"50以上":0.1}}\n')
-        fh.write('{"高价商品":{"18-24":"0.1","25-29":"0.2","30-34":"0.3","35-39":"0.4","40-49":"0.5"}}\n')
-    got = {r.category: r.w for r in read_weight_file(spark, w, "x").collect()}
-    assert got["凌晨"] == [0.2, 0.1, 0.1, 0.1, 0.1, 0.1] and got["高价商品"][5] == 0.0
+        fh.write(json.dumps({"alpha": {b: 0.5 for b in AGE_BRACKETS}}) + "\n")
+        fh.write(json.dumps({"beta": {b: str(k / 8) for k, b in enumerate(AGE_BRACKETS[:5])}}) + "\n")
+        fh.write(json.dumps({"alpha": {b: k / 4 for k, b in enumerate(AGE_BRACKETS)}}) + "\n")
+    rows = spark.createDataFrame([("alpha",), ("beta",), ("other",), (None,)], "c string")
+    got = {r.c: [r[f"x_w_{k}"] for k in range(6)] for r in
+           attach_weights(rows, read_weight_file(spark, w, "x"), "x", "c").collect()}
+    assert got["alpha"] == [0, 0.25, 0.5, 0.75, 1, 1.25]  # the last entry of a category counts
+    assert got["beta"] == [0, 0.125, 0.25, 0.375, 0.5, 0] and got["other"] == got[None] == [0] * 6
+    got = {r.c: r.x_w_1 for r in attach_weights(rows, read_weight_file(spark, w, "x"), "x", "c", fallback="beta").collect()}
+    assert got == {"alpha": 0.25, "beta": 0.125, "other": 0.125, None: 0.125}
+    many = spark.range(20_000).select(F.lit("x").alias("factor"), F.col("id").cast("string").alias("category"),
+                                      F.array(*[F.col("id").cast("double")] * 6).alias("w"))
+    got = attach_weights(spark.createDataFrame([("19999",)], "c string"), many, "x", "c").first()
+    assert got.x_w_5 == 19999.0  # no limit on the size of a weight table
     empty = os.path.join(scratch, "empty.txt")
     open(empty, "w").close()
     with pytest.raises(ValueError):
@@ -42,6 +57,12 @@ def test_tokenizers(spark):
     assert words == ["hello", "big", "world"]
     df = spark.createDataFrame([("小米手机和iPhone",)], "t string")
     assert df.select(tokenize_cjk("t", ["小米", "手机"]).alias("x")).first().x == ["小米", "手机", "和", "iphone"]
+    text = "Für Café Привет 㐀𠀀 x_1"
+    want = ["für", "café", "привет", "㐀", "𠀀", "x", "1"]
+    assert spark.createDataFrame([(text,)], "t string").select(tokenize_cjk("t").alias("x")).first().x == want
+    spark.createDataFrame([(text,)], "text string").createOrReplaceTempView("docs_t")
+    assert [r.word for r in spark.sql("SELECT w.word FROM docs_t, LATERAL split_words(text) w").collect()] == want
+    assert spark.createDataFrame([(text,)], "t string").select(tokenize(F.col("t")).alias("x")).first().x[:3] == want[:3]
 
 
 def test_router_batch(spark, scratch):
@@ -54,10 +75,16 @@ def test_router_batch(spark, scratch):
             {"op": "c", "ts_ms": 7, "source": {"db": "s", "table": "order_info"}, "after": {"id": "3"}}]
     batch = spark.createDataFrame([(json.dumps(r),) for r in recs], "value string")
     route_cdc_batch(batch, rules, os.path.join(scratch, "dims"), os.path.join(scratch, "facts"), 0)
-    dims = spark.read.json(os.path.join(scratch, "dims", "batch_id=0"))
+    dims = read_dim_table(spark, os.path.join(scratch, "dims", "dim_user"), "row_key string, id string, name string")
     facts = spark.read.json(os.path.join(scratch, "facts", "batch_id=0"))
-    assert sorted(r.op for r in dims.collect()) == ["c", "d"]
-    assert [r.cells.asDict() for r in dims.where("op = 'c'").collect()] == [{"id": "1", "name": "a"}]  # sink columns
+    assert [tuple(r) for r in dims.collect()] == [("1", "1", "a")]  # keyed by sink_row_key, sink columns only
+    later = [{"op": "u", "ts_ms": 8, "source": {"db": "s", "table": "user_info"}, "after": {"id": "1", "name": "b"}},
+             {"op": "c", "ts_ms": 9, "source": {"db": "s", "table": "user_info"}, "after": {"id": "2", "name": "c"}}]
+    for _ in range(2):  # a replayed batch gives the same table
+        route_cdc_batch(spark.createDataFrame([(json.dumps(r),) for r in later], "value string"), rules,
+                        os.path.join(scratch, "dims"), os.path.join(scratch, "facts"), 1)
+        dims = read_dim_table(spark, os.path.join(scratch, "dims", "dim_user"), "row_key string, id string, name string")
+        assert sorted(tuple(r) for r in dims.collect()) == [("1", "1", "b"), ("2", "2", "c")]
     assert facts.count() == 1
     with pytest.raises(Exception):   # no rules -> the batch fails and is retried later
         route_cdc_batch(batch, os.path.join(scratch, "missing.json"), os.path.join(scratch, "d2"),
@@ -72,13 +99,84 @@ def test_idempotent_writers(spark, scratch):
     assert spark.read.json(os.path.join(scratch, "olap")).count() == 3
     up = upsert_batch_writer(os.path.join(scratch, "up"), ["k"], ["seq"])
     up(df, 0)
-    assert sorted((r.k, r.v) for r in spark.read.parquet(os.path.join(scratch, "up")).collect()) == [(1, "b"), (2, "c")]
-    dim = dim_batch_writer(os.path.join(scratch, "dim"), "k", ["seq"], ["v"])
-    ch = spark.createDataFrame([(1, 1, "c", "a"), (2, 1, "c", "z")], "k long, seq long, op string, v string")
-    dim(ch, 0)
-    dim(spark.createDataFrame([(1, 2, "u", ""), (2, 2, "d", None)], "k long, seq long, op string, v string"), 1)
-    latest = spark.read.parquet(os.path.join(scratch, "dim", "dim_version=1"))
-    assert [(r.k, r.v) for r in latest.collect()] == [(1, "a")]
+    up(spark.createDataFrame([(1, 0, "new"), (3, 1, "d")], "k long, seq long, v string"), 1)
+    merged = read_upserted(spark, os.path.join(scratch, "up"), ["k"], ["seq"])
+    assert sorted((r.k, r.v) for r in merged.collect()) == [(1, "new"), (2, "c"), (3, "d")]
+
+
+DIM_SCHEMA = "k long, v string"
+
+
+def dim_rows(spark, path):
+    return sorted((r.k, r.v) for r in read_dim_table(spark, path, DIM_SCHEMA).collect())
+
+
+def changes(spark, *rows):
+    return spark.createDataFrame(list(rows), "k long, seq long, op string, v string")
+
+
+def test_dim_writer_merges_replays_and_empties(spark, scratch):
+    path = os.path.join(scratch, "dim")
+    write = dim_batch_writer(path, "k", ["seq"], ["v"], buckets=4)
+    assert dim_rows(spark, path) == []
+    write(changes(spark, *[(k, 1, "c", f"v{k}") for k in range(5)]), 0)
+    first = {r.bucket: r.folder for r in spark.read.parquet(os.path.join(path, "manifest")).collect()}
+    write(changes(spark, (1, 2, "u", ""), (2, 2, "d", None)), 1)
+    want = [(0, "v0"), (1, "v1"), (3, "v3"), (4, "v4")]
+    assert dim_rows(spark, path) == want
+    second = {r.bucket: r.folder for r in spark.read.parquet(os.path.join(path, "manifest", "batch_id=1")).collect()}
+    assert set(second) >= set(first) and any(second[b] == first[b] for b in first)  # untouched buckets are not rewritten
+    write(changes(spark, (1, 2, "u", ""), (2, 2, "d", None)), 1)
+    assert dim_rows(spark, path) == want
+    write(changes(spark, *[(k, 3, "d", None) for k in range(5)]), 2)
+    assert dim_rows(spark, path) == []  # an empty version is a version
+    write(changes(spark, (1, 4, "c", "back")), 3)
+    assert dim_rows(spark, path) == [(1, "back")]
+
+
+def test_dim_writer_raises_on_a_corrupt_version(spark, scratch):
+    path = os.path.join(scratch, "dim")
+    write = dim_batch_writer(path, "k", ["seq"], ["v"], buckets=1)
+    write(changes(spark, (1, 1, "c", "a")), 0)
+    for folder, _, files in os.walk(os.path.join(path, "data")):
+        for f in files:
+            if f.endswith(".parquet"):
+                with open(os.path.join(folder, f), "wb") as fh:
+                    fh.write(b"not parquet")
+                os.unlink(os.path.join(folder, f".{f}.crc"))
+    with pytest.raises(Exception):
+        write(changes(spark, (1, 2, "c", "b")), 1)
+    assert not os.path.exists(os.path.join(path, "manifest", "batch_id=1"))
+
+
+def test_kafka_records(spark):
+    df = spark.createDataFrame([(1, "a", None)], "k long, v string, w string")
+    assert [r.asDict() for r in to_kafka_value(df).collect()] == [{"value": '{"k":1,"v":"a"}'}]
+    assert [r.asDict() for r in to_kafka_value(df, ["k"]).collect()] == [{"key": '{"k":1}', "value": '{"k":1,"v":"a"}'}]
+
+
+def test_day_bucket_writer(spark, scratch):
+    write = day_bucket_writer(os.path.join(scratch, "days"), "t", tz="UTC")
+    rows = spark.createDataFrame([(1, "1700000000"), (2, "1700000000000"), (3, "bad"), (4, None)], "k long, t string")
+    for _ in range(2):
+        write(rows, 5)
+    got = {r.k: r.day for r in spark.read.json(os.path.join(scratch, "days")).select("k", F.col("day").cast("string")).collect()}
+    assert got[1] == got[2] == "20231114" and got[3] == got[4] and not got[3].isdigit()
+
+
+def test_keep_flagged_and_drop_namespace(spark):
+    df = spark.createDataFrame([(1, ["a", "b"]), (2, ["c"]), (3, []), (4, None)], "id long, toks array<string>")
+    words = spark.createDataFrame([("b",), ("",), (None,)], "word string")
+    assert [r.id for r in keep_flagged(df, "id", "toks", words).collect()] == [1]
+    spark.sql("CREATE NAMESPACE IF NOT EXISTS tm_probe_ns")
+    create_table_if_absent(spark, "tm_probe_ns.t", "k bigint")
+    drop_namespace(spark, "tm_probe_ns")
+    assert "tm_probe_ns" not in [d.name for d in spark.catalog.listDatabases()]
+
+
+def test_failed_offsets_fail_the_query_by_default():
+    assert kafka_options("h:9092", "t")["failOnDataLoss"] == "true"
+    assert kafka_options("h:9092", "t", extra={"failOnDataLoss": "false"})["failOnDataLoss"] == "false"
 
 
 def test_dims_and_options(spark):
@@ -104,7 +202,7 @@ def test_cli_and_cluster_conf(spark, scratch):
     assert main(["run", "province_window", "--tables", "/root/testdata/sf0.001", "--out", out]) == 0
     assert spark.read.parquet(out).count() > 0
     c = cluster_conf(100 * (1 << 40), 8000)
-    assert int(c["spark.sql.shuffle.partitions"]) == 409600 and c["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    assert int(c["spark.sql.shuffle.partitions"]) == 102400 and c["spark.sql.adaptive.skewJoin.enabled"] == "true"
     assert int(cluster_conf(1 << 20, 16)["spark.sql.shuffle.partitions"]) == 48
 
 

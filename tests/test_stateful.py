@@ -40,14 +40,13 @@ def test_new_visitor_fix(spark, evs):
 
 
 @SETTINGS
-@given(events, st.sampled_from([None, 2]))
-def test_visit_flags_and_split_lag(spark, evs, split):
+@given(events)
+def test_visit_flags(spark, evs):
     df, rows = frame(spark, evs)
     df = df.withColumn("lp", F.when(F.col("amt") > 0, F.lit("home")))
-    sp = (F.col("seq") / split).cast("bigint") if split else None
-    got = {r.seq: (r.uv_ct, r.sv_ct, r.pv_ct) for r in visit_flags(df, "k", ["seq"], "d", "lp", split=sp).collect()}
+    got = {r.seq: (r.uv_ct, r.sv_ct, r.pv_ct) for r in visit_flags(df, "k", ["d", "seq"], "d", "lp").collect()}
     last, want = {}, {}
-    for seq, k, d, _, a, _ in rows:
+    for seq, k, d, _, a, _ in sorted(rows, key=lambda r: (r[2], r[0])):  # arrival starts with time, ids need not follow it
         want[seq] = (1 if last.get(k) != d else 0, 0 if a > 0 else 1, 1)
         last[k] = d
     assert got == want
@@ -58,7 +57,7 @@ def test_visit_flags_and_split_lag(spark, evs, split):
 def test_keyed_lag_split_equals_plain(spark, evs):
     df, _ = frame(spark, evs)
     plain = {r.seq: r.prev_amt for r in keyed_lag(df, "k", ["seq"], ["amt"]).collect()}
-    split = {r.seq: r.prev_amt for r in keyed_lag(df, "k", ["seq"], ["amt"], split=(F.col("seq") / 3).cast("bigint")).collect()}
+    split = {r.seq: r.prev_amt for r in keyed_lag(df, "k", ["seq"], ["amt"], range_width=3).collect()}
     assert plain == split
 
 
@@ -126,6 +125,18 @@ def test_exact_and_composite_dedupe(spark):
     assert exact_dedupe(df).count() == 3
     ev = spark.createDataFrame([(0, 1, 7), (1, 1, 7), (2, 1, 8), (3, 2, 7)], "seq long, a long, b long")
     assert sorted(r.seq for r in composite_dedupe(ev, "a", "b", ["seq"]).collect()) == [0, 2, 3]
+    odd = spark.createDataFrame([(0, None, "x"), (1, "x", None), (2, "a_b", "c"), (3, "a", "b_c"), (4, "x", None)],
+                                "seq long, a string, b string")
+    assert sorted(r.seq for r in composite_dedupe(odd, "a", "b", ["seq"]).collect()) == [0, 1, 2, 3]
+
+
+def test_retract_dedupe_repeats_and_nulls(spark):
+    """An exact repeat retracts its first record; rows without an id retract each other like any id."""
+    rows = [(1, 5, 10), (1, 5, 10), (None, 1, 3), (None, 2, 4), (2, 1, None), (2, 2, 7)]
+    df = spark.createDataFrame(rows, "k long, seq long, amt long")
+    got = Counter((r.k, r.amt, r.sign) for r in retract_dedupe(df, "k", ["seq"], ["amt"]).collect())
+    assert got == Counter({(1, 10, 1): 2, (1, -10, -1): 1, (None, 3, 1): 1, (None, -3, -1): 1, (None, 4, 1): 1,
+                           (2, None, 1): 1, (2, None, -1): 1, (2, 7, 1): 1})
 
 
 @SETTINGS

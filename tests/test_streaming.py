@@ -7,11 +7,13 @@ import os
 from collections import Counter
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemart.operators.stateful import new_visitor_fix, retract_dedupe, visit_flags
-from tidemart.streaming.jobs import province_window_stream, retract_stream, with_state
+from tidemart.streaming.jobs import (exact_dedupe_stream, first_per_key_stream, last_per_processing_window,
+                                     province_window_stream, retract_stream, with_state)
 from tidemart.streaming.processors import BloomDedupe, FirstPerDay, NewVisitorFix, RunningProfile, VisitFlags, bloom_size
 
 SCHEMA = T.StructType([T.StructField("seq", T.LongType()), T.StructField("k", T.LongType()),
@@ -23,7 +25,7 @@ def rows():
     out = []
     for i in range(60):
         k = i % 4
-        out.append({"seq": i, "k": k, "d": str(dt.date(2024, 1, 1) + dt.timedelta(days=(i // 7) % 5)),
+        out.append({"seq": i, "k": k, "d": str(dt.date(2024, 1, 1) + dt.timedelta(days=i // 7)),
                     "is_new": "1" if i % 3 == 0 else "0", "amt": (i * 7) % 23 - 5, "lp": None if i % 5 == 0 else "home"})
     return out
 
@@ -75,6 +77,88 @@ def test_retract_batch_equals_stream(spark, scratch, stream_in):
     assert got == want
 
 
+TYPED = T.StructType([T.StructField("seq", T.LongType()), T.StructField("k", T.LongType()),
+                      T.StructField("amt", T.DecimalType(16, 2)), T.StructField("t", T.TimestampType()),
+                      T.StructField("d", T.DateType()), T.StructField("note", T.StringType())])
+
+
+def typed_rows(folder):
+    """Ids spread over four micro-batches in arrival order, with exact repeats, null ids and null amounts."""
+    os.makedirs(folder)
+    recs = []
+    for i in range(40):
+        seq = i - i % 5 if i % 5 == 4 else i  # every fifth record repeats the one four before it
+        recs.append({"seq": seq, "k": None if seq % 7 == 3 else seq % 3, "amt": None if seq % 6 == 5 else f"{seq}.25",
+                     "t": f"2024-01-01T00:00:{seq:02d}.123456Z", "d": None if seq % 4 == 1 else f"2024-02-{seq % 28 + 1:02d}",
+                     "note": None if seq % 2 else f"n{seq}"})
+    recs.sort(key=lambda r: r["seq"])
+    for f in range(4):
+        with open(os.path.join(folder, f"part-{f}.json"), "w") as fh:
+            for r in recs[10 * f:10 * f + 10]:
+                fh.write(json.dumps(r) + "\n")
+        os.utime(os.path.join(folder, f"part-{f}.json"), (1_700_000_000 + f, 1_700_000_000 + f))
+
+
+def test_retract_stream_keeps_types(spark, scratch):
+    """STA4 on decimal, timestamp, date and null columns: batch and stream agree, memory crosses micro-batches."""
+    src = os.path.join(scratch, "typed")
+    typed_rows(src)
+    batch = spark.read.schema(TYPED).json(src)
+    cols = ["seq", "k", "amt", "t", "d", "note", "sign"]
+    want = Counter(tuple(r[c] for c in cols) for r in retract_dedupe(batch, "k", ["seq"], ["amt"]).collect())
+    stream = spark.readStream.schema(TYPED).option("maxFilesPerTrigger", 1).json(src)
+    out = run_stream(spark, retract_stream(stream, "k", ["seq"], ["amt"]), scratch, "sta4_typed")
+    assert Counter(tuple(r[c] for c in cols) for r in out.collect()) == want
+    assert sum(want.values()) > 70
+
+
+def test_exact_and_first_dedupe_streams(spark, scratch):
+    src = os.path.join(scratch, "typed")
+    typed_rows(src)
+    batch = spark.read.schema(TYPED).json(src)
+    stream = spark.readStream.schema(TYPED).option("maxFilesPerTrigger", 1).json(src)
+    cols = ["seq", "k", "amt", "d", "note"]
+    out = run_stream(spark, exact_dedupe_stream(stream, cols, "t", "1 hour"), scratch, "sta7")
+    want = sorted({str([r[c] for c in cols]) for r in batch.collect()})
+    assert sorted(str([r[c] for c in cols]) for r in out.collect()) == want
+    first = run_stream(spark, first_per_key_stream(stream, "k", ["seq"]), scratch, "sta6")
+    got = {r.k: r.seq for r in first.collect()}
+    assert got == {k: min(r.seq for r in batch.collect() if r.k == k) for k in (None, 0, 1, 2)} and first.count() == 4
+
+
+def test_last_per_processing_window(spark, scratch):
+    src = os.path.join(scratch, "typed")
+    typed_rows(src)
+    stream = spark.readStream.schema(TYPED).json(src)
+    q = (last_per_processing_window(stream, "k", "1 day", ["seq"]).writeStream.format("memory").queryName("agg6")
+         .outputMode("update").trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    rows_ = spark.read.schema(TYPED).json(src).collect()
+    got = {r.k: r.seq for r in spark.table("agg6").collect()}
+    assert got == {k: max(r.seq for r in rows_ if r.k == k) for k in {r.k for r in rows_}}
+
+
+def test_processors_take_rows_without_a_date(spark):
+    """A record without a date passes unchanged and leaves no memory; nulls sort first."""
+    class Value:
+        value = None
+
+        def exists(self):
+            return self.value is not None
+
+        def get(self):
+            return self.value
+
+        def update(self, v):
+            self.value = v
+
+    p = NewVisitorFix(["seq"], "d")
+    p.state = Value()
+    day = dt.date(2024, 1, 1)
+    rows_ = [Row(seq=2, d=day, is_new="1"), Row(seq=None, d=None, is_new="1"), Row(seq=3, d=day + dt.timedelta(days=1), is_new="1")]
+    assert [r.is_new for r in p.handleInputRows(("k",), iter(rows_), None)] == ["1", "1", "0"]
+
+
 def test_first_per_day_and_profile_stream(spark, scratch, stream_in):
     out = with_state(stream_in, ["k", "d"], FirstPerDay(["seq"]), SCHEMA)
     got = run_stream(spark, out, scratch, "sta3").collect()

@@ -42,10 +42,10 @@ def main(argv: list[str] | None = None) -> int:
 
         cores = args.cores or spark.sparkContext.defaultParallelism
         for k, v in cluster_conf(args.input_bytes, cores).items():
-            try:
+            if spark.conf.isModifiable(k):
                 spark.conf.set(k, v)
-            except Exception:  # noqa: BLE001 - static confs must come from spark-submit
-                pass
+            else:  # static settings only count at start-up
+                print(f"pass --conf {k}={v} to spark-submit", file=sys.stderr)
     t0 = time.time()
     df = QUERIES[args.query](spark, args.tables)
     df.write.mode("overwrite").format(args.format).save(args.out)

@@ -136,7 +136,7 @@ def star_sign(d) -> Column:
 
 
 def day_bucket_of(epoch, tz: str = DEFAULT_TZ, error_bucket: str = "error_bucket") -> Column:
-    """S35 file-sink bucket: values < 1e10 are seconds, else ms -> 'yyyyMMdd'; null -> error bucket."""
-    v = as_col(epoch).cast("bigint")
+    """S35 file-sink bucket: values < 1e10 are seconds, else ms -> 'yyyyMMdd'; null or no number -> error bucket."""
+    v = as_col(epoch).try_cast("bigint")
     ms = F.when(v < F.lit(10_000_000_000), v * 1000).otherwise(v)
     return F.coalesce(ms_to_partition_day(ms, tz), F.lit(error_bucket))

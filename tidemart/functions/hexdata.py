@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import sys
 
 from decimal import Context, Decimal
@@ -42,12 +43,20 @@ def hex_words(data) -> Column:
 
 
 def append_to_json_list(json_list, element) -> Column:
-    """S33 ``operateHashList``: parse a JSON string list, append, render as '[a, b]'."""
-    arr = F.coalesce(F.from_json(as_col(json_list), "array<string>"), F.array().cast("array<string>"))
+    """S33 ``operateHashList``: parse a JSON string list, append, render as '[a, b]'.
+
+    A null or blank list counts as empty; a stored list that does not parse gives null, so that it is not
+    silently replaced.
+    """
+    stored = as_col(json_list)
+    blank = F.coalesce(F.trim(stored) == "", F.lit(True))
+    parsed = F.try_variant_get(F.try_parse_json(stored), "$", "array<string>")
+    arr = F.when(blank, F.array().cast("array<string>")).otherwise(parsed)
     return F.concat(F.lit("["), F.array_join(F.array_append(arr, as_col(element)), ", "), F.lit("]"))
 
 
-_CTX = Context(prec=200)
+_HEX = re.compile("0x[0-9a-fA-F]+")
+_DECIMAL = re.compile(r"[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d{1,4})?", re.ASCII)
 
 
 def _plain(x: Decimal) -> str:
@@ -58,16 +67,20 @@ def _convert_one(value, divide: bool) -> str | None:
     if value is None:
         return "0"
     text = str(value)
-    try:
-        num = Decimal(int(text[2:], 16)) if text.startswith("0x") else Decimal(text)
-    except (ValueError, ArithmeticError):
+    if _HEX.fullmatch(text):
+        num = Decimal(int(text[2:], 16))
+    elif _DECIMAL.fullmatch(text):
+        num = Decimal(text)
+    else:
         return None  # not a number: null instead of failing the task
     if not divide:
         return _plain(num)
-    preferred = max(-num.as_tuple().exponent, 0)
-    q = _CTX.divide(num, Decimal(WEI_PER_UNIT)).normalize(_CTX)
+    _, digits, exponent = num.as_tuple()
+    preferred = max(-exponent, 0)
+    exact = Context(prec=len(digits) + abs(exponent) + 40)  # dividing by a power of ten adds 18 places: never rounds
+    q = exact.divide(num, Decimal(WEI_PER_UNIT)).normalize(exact)
     if -q.as_tuple().exponent < preferred:
-        q = q.quantize(Decimal(1).scaleb(-preferred), context=_CTX)
+        q = q.quantize(Decimal(1).scaleb(-preferred), context=exact)
     return _plain(q)
 
 
@@ -84,12 +97,19 @@ def _hex_to_text(s: pd.Series) -> pd.Series:
 def hex_or_decimal_text(value, divide: bool = False) -> Column:
     """S34 ``binaryConvert``: '0x..' hex or decimal text -> exact decimal text, optionally / 1e18.
 
-    Up to 16 hex digits and no division stays a JVM ``conv``; wider values need
-    exact big-integer arithmetic, done per Arrow batch in a pandas UDF.
+    Null gives '0'; text that is no number gives null. Up to 31 hex digits without division are two JVM ``conv``
+    halves in DECIMAL(38, 0); only wider or other values cross to a pandas UDF (a null is passed for all the rest).
     """
     c = as_col(value).cast("string")
     if not divide:
-        short = c.startswith("0x") & (F.length(c) <= 18)
-        return F.when(c.isNull(), F.lit("0")).when(short, F.conv(F.substring(c, 3, 16), 16, 10)) \
-            .otherwise(_hex_to_text(c))
+        digits = F.substring(c, 3, 40)
+        plain_hex = F.coalesce(c.rlike("^0x[0-9a-fA-F]{1,31}$"), F.lit(False))
+        n = F.length(digits)
+        low = F.conv(F.substring(digits, F.greatest(n - 14, F.lit(1)), F.lit(15)), 16, 10).cast("decimal(38,0)")
+        high = F.coalesce(F.conv(F.when(n > 15, F.substring(digits, F.lit(1), n - 15)), 16, 10).cast("decimal(38,0)"),
+                          F.lit(0).cast("decimal(38,0)"))
+        whole = (high * F.lit(16 ** 15).cast("decimal(19,0)") + low).cast("decimal(38,0)").cast("string")
+        other = F.when(~plain_hex & c.isNotNull(), c)
+        return F.when(c.isNull(), F.lit("0")).when(plain_hex, whole).otherwise(
+            F.when(other.isNotNull(), _hex_to_text(other)))
     return _hex_to_text_div(c)

@@ -28,20 +28,23 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 __all__ = ["tokenize", "tokenize_cjk", "register_split_words"]
 
 
-def tokenize(text, pattern: str = "[^a-z0-9]+") -> Column:
+def tokenize(text, pattern: str = r"[^\p{L}\p{N}]+") -> Column:
     """Lower-case, split on ``pattern``, drop empty tokens (JVM-side, inside whole-stage codegen:
     ``array_remove`` rather than a lambda ``filter``)."""
     return F.array_remove(F.split(F.lower(as_col(text)), pattern), "")
 
 
-_CJK_RUN = re.compile(r"[一-鿿]+|[a-z0-9]+")
+# fixed values: the CJK ideograph blocks (extension A, unified, compatibility, supplementary)
+_CJK = "㐀-䶿一-鿿豈-﫿\U00020000-\U000323af"
+_RUN = re.compile(f"[{_CJK}]+|[^\\W_{_CJK}]+")
+_IS_CJK = re.compile(f"[{_CJK}]")
 
 
 def _segment(text: str, words: frozenset, max_len: int) -> list[str]:
     out: list[str] = []
-    for m in _CJK_RUN.finditer(text.lower()):
+    for m in _RUN.finditer(text.lower()):
         run = m.group(0)
-        if not ("一" <= run[0] <= "鿿"):
+        if not _IS_CJK.match(run):
             out.append(run)
             continue
         i = 0
@@ -66,20 +69,21 @@ def tokenize_cjk(text, dictionary: list[str] | None = None) -> Column:
     return _seg(as_col(text))
 
 
-def register_split_words(spark, name: str = "split_words", pattern: str = "[^a-z0-9]+"):
-    """UDF1 for SQL: a table function ``split_words(text)`` -> rows of ``word`` (use with LATERAL)."""
+def register_split_words(spark, name: str = "split_words", dictionary: list[str] | None = None):
+    """UDF1 for SQL: a table function ``split_words(text)`` -> rows of ``word`` (use with LATERAL).
+
+    Splits like :func:`tokenize_cjk`: CJK runs by longest dictionary match, all other scripts at non-letters.
+    """
     from pyspark.sql.functions import udtf
 
-    rx = re.compile(pattern)
+    words = frozenset(dictionary or [])
+    max_len = max((len(w) for w in words), default=1)
 
     @udtf(returnType="word: string")
     class SplitWords:
         def eval(self, text: str):
-            if text is None:
-                return
-            for w in rx.split(text.lower()):
-                if w:
-                    yield (w,)
+            for w in _segment(text or "", words, max_len):
+                yield (w,)
 
     spark.udtf.register(name, SplitWords)
     return SplitWords

@@ -1,39 +1,23 @@
 """Joins (JON1-JON13): dimension enrichment, dictionary lookup, interval joins, weight lookup.
 
-Join strategy is left to Catalyst + AQE: a side is broadcast only when its
-size is known to be bounded (:func:`bounded_broadcast` checks it with a
-capped count), otherwise Spark plans a sort-merge join and AQE may still turn
-it into a broadcast join at run time from real shuffle sizes, or split a
-skewed partition.
+Join strategy is left to Catalyst + AQE: no side carries a hint. Spark
+broadcasts a side whose size in bytes is below its own threshold, known from
+the files or measured at run time from real shuffle sizes; every other join is
+a sort-merge join whose skewed partitions AQE splits.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 __all__ = [
-    "bounded_broadcast", "EnrichSpec", "enrich", "enrich_chain", "dictionary_lookup",
-    "interval_join", "DEFAULT_BROADCAST_ROWS",
+    "EnrichSpec", "enrich", "enrich_chain", "dictionary_lookup", "interval_join",
 ]
 
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast only if it has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows (a ``limit`` then ``count``),
-    so it is cheap for small sides and bounded for large ones. Larger sides
-    are returned unchanged and join by shuffle.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 @dataclass
 class EnrichSpec:
     """One dimension lookup: ``dim`` joined on ``left_key == dim_key``, adding ``columns``.
@@ -46,8 +30,6 @@ class EnrichSpec:
     dim_key: str
     columns: dict[str, str]
     how: str = "inner"
-    broadcast_rows: int | None = None
-    extra: dict = field(default_factory=dict)
 
 
 def enrich(df: DataFrame, spec: EnrichSpec) -> DataFrame:
@@ -58,8 +40,6 @@ def enrich(df: DataFrame, spec: EnrichSpec) -> DataFrame:
     """
     dim = spec.dim.select(F.col(spec.dim_key).alias("_dk"),
                           *[F.col(src).alias(dst) for src, dst in spec.columns.items()])
-    if spec.broadcast_rows is not None:
-        dim = bounded_broadcast(dim, spec.broadcast_rows)
     joined = df.join(dim, df[spec.left_key] == dim["_dk"], spec.how)
     return joined.drop("_dk")
 
@@ -73,14 +53,13 @@ def enrich_chain(df: DataFrame, specs: Sequence[EnrichSpec]) -> DataFrame:
 
 def dictionary_lookup(df: DataFrame, dic: DataFrame, pairs: Sequence[tuple[str, str]],
                       code_col: str = "dic_code", name_path: str = "info.dic_name",
-                      how: str = "inner", broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                      how: str = "inner") -> DataFrame:
     """JON4/SRC8: look codes up in one dictionary under several aliases.
 
-    ``pairs`` lists ``(code column, output name column)``. The dictionary is a
-    bounded side (checked) and broadcast once per query.
+    ``pairs`` lists ``(code column, output name column)``. A code that the
+    dictionary lacks drops the row (``inner``, D8) or gives a null name (``left``).
     """
-    small = bounded_broadcast(dic.select(F.col(code_col).alias("_code"), F.col(name_path).alias("_name")),
-                              broadcast_rows)
+    small = dic.select(F.col(code_col).alias("_code"), F.col(name_path).alias("_name"))
     for i, (code, out) in enumerate(pairs):
         alias = small.select(F.col("_code").alias(f"_code{i}"), F.col("_name").alias(out))
         df = df.join(alias, df[code] == alias[f"_code{i}"], how).drop(f"_code{i}")

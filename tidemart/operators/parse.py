@@ -8,21 +8,17 @@ one parse per record (see the note in :func:`parse_json_records`).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemart.schemas import ddl
 
-__all__ = ["parse_json_records", "split_parsed", "route_pages", "rows_to_json", "json_value"]
+__all__ = ["parse_json_records", "split_parsed", "route_pages", "rows_to_json"]
 
 MODES = ("split", "drop", "null", "fail")
 
 
-def json_value(df: DataFrame, col: str = "value") -> Column:
-    return F.col(col).cast("string")
-
-
 def parse_json_records(df: DataFrame, schema: T.StructType, value_col: str = "value",
                        mode: str = "split", out: str = "data") -> DataFrame:
     """Parse ``value_col`` into ``out`` (a struct of ``schema``) and flag ``is_valid``.
@@ -33,8 +29,16 @@ def parse_json_records(df: DataFrame, schema: T.StructType, value_col: str = "va
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
-    variant = F.try_parse_json(F.col(value_col).cast("string"))
-    typed = F.try_variant_get(variant, "$", f"struct<{ddl(schema)}>")
+    text = F.col(value_col).cast("string")
+    variant = F.try_parse_json(text)
+    # VARIANT refuses an object that repeats a key; such records are valid (the last value counts) and take the
+    # second parser, which only runs for text that the first one refused.
+    corrupt = "_bad_" + value_col
+    loose = F.from_json(text, T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())]),
+                        {"columnNameOfCorruptRecord": corrupt})
+    repeated = F.when(variant.isNull() & text.rlike(r"^\s*\{") & loose[corrupt].isNull(),
+                      F.struct(*[loose[f.name].alias(f.name) for f in schema.fields]))
+    typed = F.coalesce(F.try_variant_get(variant, "$", f"struct<{ddl(schema)}>"), repeated)
     # A one-element generator is an evaluation barrier: the optimizer would otherwise copy the
     # parse into every pushed-down filter and every field reference, parsing each record many times.
     parsed = df.select("*", F.explode(F.array(typed)).alias(out)).withColumn("is_valid", F.col(out).isNotNull())

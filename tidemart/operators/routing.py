@@ -12,16 +12,13 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.operators.joins import bounded_broadcast
 from tidemart.operators.stateful import arrival_struct
 
 __all__ = [
     "build_envelopes", "filter_cdc", "after_fields", "status_transition", "cart_adds",
-    "latest_rules", "route_by_rules", "apply_sink_columns", "MAX_RULES",
+    "latest_rules", "route_by_rules", "apply_sink_columns",
 ]
 
-MAX_RULES = 100_000  # a rule is one source table; far below any broadcast limit
-
 
 def build_envelopes(df: DataFrame, db: str, table: str, op: Column, ts_ms: Column,
                     after: dict[str, Column] | Column | None,
@@ -87,15 +84,13 @@ def latest_rules(rule_changes: DataFrame, order: Sequence[str] = ("ts_ms",)) ->
     return latest.where(F.col("op") != "d").drop("op", *[o for o in order if o != "op"])
 
 
-def route_by_rules(env: DataFrame, rules: DataFrame, max_rules: int = MAX_RULES) -> tuple[DataFrame, DataFrame]:
+def route_by_rules(env: DataFrame, rules: DataFrame) -> tuple[DataFrame, DataFrame]:
     """PRJ6/PRJ7: (dimension rows with their rule, fact rows).
 
-    The rule set is checked to be bounded and broadcast; one left join on
-    ``source['table']`` splits the feed. Deletes keep their ``before`` image
+    One left join on ``source['table']`` splits the feed. Deletes keep their ``before`` image
     (the key of the deleted row, D7), and the record's own op is kept.
     """
-    r = bounded_broadcast(rules, max_rules)
-    joined = env.join(r, env["source"]["table"] == r["source_table"], "left")
+    joined = env.join(rules, env["source"]["table"] == rules["source_table"], "left")
     dims = joined.where(F.col("source_table").isNotNull())
     facts = joined.where(F.col("source_table").isNull() & F.col("after").isNotNull()).select(*env.columns)
     return dims, facts

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,80 +11,64 @@ from tidemart.functions.tags import (AGE_BRACKETS, FACTOR_RATES, WEIGHTS, catego
 
 __all__ = ["weight_table", "read_weight_file", "Weights", "prepare_weights", "attach_weights", "weight_columns",
            "infer_age", "base_tags",
-           "MAX_WEIGHT_ROWS", "FACTOR_ORDER"]
+           "FACTOR_ORDER"]
 
-MAX_WEIGHT_ROWS = 10_000
 # order in which the weighted terms are added (the source's expression order)
 FACTOR_ORDER = ["category", "brand", "time", "price", "device", "keyword"]
 
 
 def weight_table(spark: SparkSession, weights: dict | None = None) -> DataFrame:
-    """The fixed weight dictionaries as rows ``(factor, category, w array<double>)``."""
-    rows = [(factor, cat, [float(x) for x in ws]) for factor, cats in (weights or WEIGHTS).items()
+    """The fixed weight dictionaries as rows ``(factor, category, w array<double>, pos)``."""
+    rows = [(factor, cat, [float(x) for x in ws], 0) for factor, cats in (weights or WEIGHTS).items()
             for cat, ws in cats.items()]
-    return spark.createDataFrame(rows, "factor string, category string, w array<double>")
+    return spark.createDataFrame(rows, "factor string, category string, w array<double>, pos bigint")
 
 
 def read_weight_file(spark: SparkSession, path: str, factor: str) -> DataFrame:
-    """SRC9: JSON lines ``{category: {bracket: weight}}`` -> ``(factor, category, w)``.
+    """SRC9: JSON lines ``{category: {bracket: weight}}`` -> ``(factor, category, w, pos)``.
 
     Weights may be JSON strings or numbers; they are read as text then cast. A
-    missing bracket is 0 (D10). An empty file is an error (D19).
+    missing bracket is 0 (D10). ``pos`` is the order in the file: of a category
+    listed twice the last entry counts. An empty file is an error (D19).
     """
-    lines = spark.read.text(path).where(F.length(F.trim("value")) > 0)
-    parsed = lines.select(F.explode(F.from_json("value", "map<string,map<string,string>>")).alias("category", "m"))
+    lines = spark.read.text(path).select("value", F.monotonically_increasing_id().alias("pos"))
+    parsed = lines.where(F.length(F.trim("value")) > 0).select("pos", F.explode(F.from_json("value", "map<string,map<string,string>>")).alias("category", "m"))
     out = parsed.select(F.lit(factor).alias("factor"), "category",
                         F.array(*[F.coalesce((F.col("m")[b]).try_cast("double"), F.lit(0.0)) for b in AGE_BRACKETS])
-                        .alias("w"))
-    if out.limit(1).count() == 0:
+                        .alias("w"), "pos")
+    if out.isEmpty():
         raise ValueError(f"weight file {path} is empty")
     return out
 
 
-@dataclass
-class Weights:
-    """A weight table checked once: pivoted, broadcast-marked, with its categories per factor."""
-
-    table: DataFrame
-    categories: dict[str, list[str]]
-
+def prepare_weights(weights: DataFrame) -> DataFrame:
+    """Weight rows pivoted to six columns; of a (factor, category) listed twice the last entry (by ``pos``) stays."""
+    order = F.col("pos") if "pos" in weights.columns else F.lit(0)
+    last = weights.groupBy("factor", "category").agg(F.max_by("w", order).alias("w"))
+    return last.select("factor", F.col("category").alias("_k"),
+                       *[F.col("w")[i].alias(f"_w{i}") for i in range(len(AGE_BRACKETS))])
 
-def prepare_weights(weights: DataFrame) -> Weights:
-    """Check the weight table's size once (at most ``MAX_WEIGHT_ROWS`` rows, a bounded read), pivot
-    the arrays to six columns and mark it for broadcast; every factor lookup then reuses it."""
-    n = len(AGE_BRACKETS)
-    keys = weights.select("factor", "category").limit(MAX_WEIGHT_ROWS + 1).collect()
-    if len(keys) > MAX_WEIGHT_ROWS:
-        raise ValueError(f"weight table exceeds {MAX_WEIGHT_ROWS} rows")
-    cats: dict[str, list[str]] = {}
-    for r in keys:
-        cats.setdefault(r.factor, []).append(r.category)
-    pivoted = weights.select("factor", F.col("category").alias("_k"), *[F.col("w")[i].alias(f"_w{i}") for i in range(n)])
-    return Weights(F.broadcast(pivoted), cats)
 
-
-def attach_weights(df: DataFrame, weights: DataFrame | Weights, factor: str, category_col: str,
+def attach_weights(df: DataFrame, weights: DataFrame, factor: str, category_col: str,
                    fallback: str | None = None, out: str | None = None) -> DataFrame:
     """JON13/SCO1: add the bracket weights of ``category_col`` as six DOUBLE columns
-    ``<out>_0 .. <out>_5`` (bracket order), from a bounded, broadcast weight table.
-
-    The weight arrays are pivoted to columns on the small side, so the big side
-    only does primitive arithmetic (no per-row array objects). Unknown
-    categories take the ``fallback`` row, or zeros without one (D10, D11); the
-    fallback is resolved *before* the join (categories not in the table are
-    replaced by the fallback key), so this is one broadcast hash join. Pass a
-    :class:`Weights` (from :func:`prepare_weights`) to check the table once for
-    several factors.
+    ``<out>_0 .. <out>_5`` (bracket order), from a table of :func:`prepare_weights`.
+
+    The weight arrays are columns on the small side, so the big side only does primitive arithmetic. Categories that
+    the table lacks (and null) take the ``fallback`` row through a second left join, or zeros without one (D10, D11).
     """
     out = out or f"{factor}_w"
-    w = weights if isinstance(weights, Weights) else prepare_weights(weights)
-    n = len(AGE_BRACKETS)
-    table = w.table.where(F.col("factor") == factor).drop("factor")
-    key = F.col(category_col)
-    if fallback is not None:
-        key = F.when(key.isin(w.categories.get(factor, [])), key).otherwise(F.lit(fallback))
-    res = df.withColumn("_wk", key).join(table, F.col("_wk") == table["_k"], "left")
-    return res.select(*df.columns, *[F.coalesce(F.col(f"_w{i}"), F.lit(0.0)).alias(f"{out}_{i}") for i in range(n)])
+    n = range(len(AGE_BRACKETS))
+    rows = (prepare_weights(weights) if "w" in weights.columns else weights).where(F.col("factor") == factor)
+    res = df.join(rows.drop("factor"), F.col(category_col) == F.col("_k"), "left")
+    if fallback is None:
+        return res.select(*df.columns, *[F.coalesce(F.col(f"_w{i}"), F.lit(0.0)).alias(f"{out}_{i}") for i in n])
+    other = rows.select(F.col("_k").alias("_fk"), *[F.col(f"_w{i}").alias(f"_f{i}") for i in n])
+    key = F.when(F.col("_k").isNull(), F.lit(fallback))
+    res = res.withColumn("_miss", key).join(other, F.col("_miss") == F.col("_fk"), "left")
+    return res.select(*df.columns, *[
+        F.when(F.col("_k").isNotNull(), F.coalesce(F.col(f"_w{i}"), F.lit(0.0)))
+        .otherwise(F.coalesce(F.col(f"_f{i}"), F.lit(0.0))).alias(f"{out}_{i}") for i in n])
 
 
 def weight_columns(prefix: str) -> list[Column]:

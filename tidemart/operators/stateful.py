@@ -8,10 +8,9 @@ computed without putting a whole key into one task:
 * "first row per key" is a ``min_by`` aggregate (partial aggregation on the
   map side, one row per key after the shuffle), joined back on the key; AQE
   splits a hot key on the big side of that join.
-* "previous row per key" (:func:`keyed_lag`) is a window function per
-  ``(key, split)`` where ``split`` cuts a key into arrival ranges; the first
-  row of each range takes the last row of the preceding range from a small
-  per-range summary. With ``split=None`` it is a plain ``lag``.
+* "previous row per key" (:func:`keyed_lag`) is a ``lag`` per key, or per
+  ``(key, range of the first arrival column)`` for hot keys; the first row of
+  a range takes the last row of the preceding range from a per-range summary.
 
 Arrival order is a list of columns; the rows must be totally ordered by it.
 Streaming forms live in :mod:`tidemart.streaming.processors`.
@@ -47,33 +46,33 @@ def first_row_per_key(df: DataFrame, keys, order, values, prefix: str = "first_"
     return agg.select(*keys, *[F.col(f"_first.{v}").alias(prefix + v) for v in values])
 
 
-def keyed_lag(df: DataFrame, keys, order, values, split: Column | str | None = None,
-              prefix: str = "prev_") -> DataFrame:
-    """Add ``prev_<v>``: the value of the previous row of the same key in arrival order.
+def keyed_lag(df: DataFrame, keys, order, values, range_width: int | None = None, prefix: str = "prev_") -> DataFrame:
+    """Add ``prev_<v>``: the value of the previous row of the same key in arrival order (null keys are one key).
 
-    ``split`` (optional) is a column that is non-decreasing in arrival order
-    inside a key (e.g. ``event_id div 100000``). Rows are then windowed per
-    ``(key, split)`` so that a hot key spreads over many tasks; the first row
-    of each range reads the last row of the previous non-empty range.
+    Without ``range_width``: one window per key, for keys of few rows. With it (the first arrival column must be
+    numeric), a key is cut into ranges of that width of the first arrival column, so the ranges follow arrival by
+    construction; rows are windowed per (key, range), and the first row of a range takes the last row of the range
+    before it from one summary row per (key, range). Choose a width that leaves few ranges per key.
     """
     keys, order, values = _cols(keys), _cols(order), _cols(values)
-    if split is None:
+    if range_width is None:
         w = Window.partitionBy(*keys).orderBy(*order)
         return df.select("*", *[F.lag(v).over(w).alias(prefix + v) for v in values])
 
-    s = F.col(split) if isinstance(split, str) else split
-    base = df.withColumn("_split", s)
-    w = Window.partitionBy(*keys, "_split").orderBy(*order)
+    base = df.withColumn("_range", F.floor(F.col(order[0]) / range_width))
+    w = Window.partitionBy(*keys, "_range").orderBy(*order)
     inner = base.select("*", F.lag(F.lit(1)).over(w).isNull().alias("_first_in_range"),
                         F.lead(F.lit(1)).over(w).isNull().alias("_last_in_range"),
                         *[F.lag(v).over(w).alias("_in_" + v) for v in values])
-    # one row per (key, range): its last row; the previous range's last row is carried forward
-    # (a window over these summary rows only, never over raw rows)
-    wr = Window.partitionBy(*keys).orderBy("_split")
+    wr = Window.partitionBy(*[f"_k{i}" for i in range(len(keys))]).orderBy("_r")
     carry = (inner.where("_last_in_range")
-             .select(*keys, "_split", F.struct(*[F.col(v) for v in values]).alias("_last"))
-             .select(*keys, "_split", F.lag("_last").over(wr).alias("_carry")))
-    joined = inner.join(carry, on=[*keys, "_split"], how="left")
+             .select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_range").alias("_r"),
+                     F.struct(*[F.col(v) for v in values]).alias("_last"))
+             .withColumn("_carry", F.lag("_last").over(wr)).drop("_last"))
+    same = F.col("_range").eqNullSafe(F.col("_r"))
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    joined = inner.join(carry, same, "left")
     return joined.select(
         *df.columns,
         *[F.when(F.col("_first_in_range"), F.col(f"_carry.{v}")).otherwise(F.col("_in_" + v)).alias(prefix + v)
@@ -83,25 +82,19 @@ def keyed_lag(df: DataFrame, keys, order, values, split: Column | str | None = N
 def retract_dedupe(df: DataFrame, key, order, amounts, sign_col: str = "sign", net: bool = False) -> DataFrame:
     """STA4: on a repeated id emit the previous record with its amounts negated, then the new one.
 
-    Batch form. The emitted multiset is: every row with sign +1, and every row
-    that is *not* the last of its id with sign -1 (that row is exactly the
-    "previous record" retracted by its successor). "Last" comes from a
-    ``max_by`` aggregate per id, so no id is sorted inside one task; the
-    sign is attached with ``explode`` so the joined rows are produced once.
-    Amount negation is numeric (null stays null), not the text ``"-" + x``.
-
-    ``net=True`` returns the aggregate-ready form: the retraction rows of an id
-    telescope, so any sum over the stream equals the sum of each id's *last*
-    record. That is one ``max_by`` aggregate per id (map-side combined, no
-    join back, full rows shuffled once), one row per id with sign 1.
+    Batch form. The emitted multiset is: every row with sign +1, and every row that has a successor in its id with
+    sign -1 (the record its successor retracts). One window per id (one shuffle, one sort); exact repeats retract
+    each other, rows of a null id belong to one id. Amount negation is numeric (null stays null).
+
+    ``net=True`` returns the aggregate-ready form: the retractions of an id telescope, so any sum over the stream
+    equals the sum of each id's *last* record: one ``max_by`` aggregate per id, which also takes a hot id.
     """
     keys, order, amounts = _cols(key), _cols(order), _cols(amounts)
     if net:
         return last_per_key(df, keys, order).withColumn(sign_col, F.lit(1))
-    last = df.groupBy(*keys).agg(F.max(arrival_struct(order)).alias("_last_arrival"))
-    tagged = df.join(last, on=keys, how="inner")
-    signs = F.when(arrival_struct(order) < F.col("_last_arrival"), F.array(F.lit(1), F.lit(-1))) \
-        .otherwise(F.array(F.lit(1)))
+    w = Window.partitionBy(*keys).orderBy(*order)
+    signs = F.when(F.col("_is_last"), F.array(F.lit(1))).otherwise(F.array(F.lit(1), F.lit(-1)))
+    tagged = df.withColumn("_is_last", F.lead(F.lit(1)).over(w).isNull())
     exploded = tagged.select(*df.columns, F.explode(signs).alias(sign_col))
     return exploded.select(
         *[(F.col(c) * F.col(sign_col)).cast(df.schema[c].dataType).alias(c) if c in amounts else F.col(c)
@@ -109,7 +102,7 @@ def retract_dedupe(df: DataFrame, key, order, amounts, sign_col: str = "sign", n
 
 
 def retract_dedupe_ttl(df: DataFrame, key, order, amounts, time_col: str, ttl_ms: int,
-                       split=None, sign_col: str = "sign") -> DataFrame:
+                       sign_col: str = "sign") -> DataFrame:
     """STA5: STA4 whose per-id memory expires ``ttl_ms`` after it was last written.
 
     A repeat retracts the previous record only when that record arrived at
@@ -119,7 +112,7 @@ def retract_dedupe_ttl(df: DataFrame, key, order, amounts, time_col: str, ttl_ms
     """
     keys, order, amounts = _cols(key), _cols(order), _cols(amounts)
     others = [c for c in df.columns if c not in keys]
-    lagged = keyed_lag(df, keys, order, others, split=split, prefix="_p_")
+    lagged = keyed_lag(df, keys, order, others, prefix="_p_")
     live = F.col(f"_p_{time_col}").isNotNull() & ((F.col(time_col) - F.col(f"_p_{time_col}")) <= ttl_ms)
     cur = F.struct(F.lit(1).alias("_s"), *[F.col(c).alias(c) for c in others])
     prev = F.struct(F.lit(-1).alias("_s"), *[
@@ -161,11 +154,11 @@ def composite_dedupe(df: DataFrame, a: str, b: str, order) -> DataFrame:
     """STA8 exact form: keep the first record of each ``a + '_' + b`` pair.
 
     The source system uses a Bloom filter (false positives drop good rows);
-    this is the exact answer with the same key. See
+    this is the exact answer: pairs are compared as two columns, null being
+    a value of its own. See
     :class:`tidemart.streaming.processors.BloomDedupe` for the fixed-memory form.
     """
-    keyed = df.withColumn("_pair", F.concat_ws("_", F.col(a).cast("string"), F.col(b).cast("string")))
-    return first_per_key(keyed, ["_pair"], order).drop("_pair")
+    return first_per_key(df, [a, b], order)
 
 
 def new_visitor_fix(df: DataFrame, key: str, order, date_col: str, is_new_col: str = "is_new",
@@ -189,14 +182,20 @@ def new_visitor_fix(df: DataFrame, key: str, order, date_col: str, is_new_col: s
     return joined.select(*cols)
 
 
-def visit_flags(df: DataFrame, key: str, order, date_col: str, last_page_col: str, split=None) -> DataFrame:
+def visit_flags(df: DataFrame, key: str, order, date_col: str, last_page_col: str) -> DataFrame:
     """STA2: ``uv_ct`` = 1 when the date differs from the key's previous record (or none);
-    ``sv_ct`` = 1 when there is no last page; ``pv_ct`` = 1."""
-    lagged = keyed_lag(df, key, order, [date_col], split=split, prefix="_prev_")
-    prev = F.col(f"_prev_{date_col}")
+    ``sv_ct`` = 1 when there is no last page; ``pv_ct`` = 1.
+
+    Arrival starts with the record's time and ``date_col`` is the date of that time, so "the date differs from the
+    previous record's" is "first row of its (key, date)": a partial aggregate joined back on (key, date), where no
+    key is sorted in one task. Rows must be totally ordered by ``order``.
+    """
+    order = _cols(order)
+    arrival = arrival_struct(order)
+    first = df.groupBy(F.col(key).alias("_k"), F.col(date_col).alias("_d")).agg(F.min(arrival).alias("_first"))
+    flagged = df.join(first, F.col(key).eqNullSafe(F.col("_k")) & F.col(date_col).eqNullSafe(F.col("_d")), "left")
     lp = F.col(last_page_col)
-    return lagged.select(
-        *df.columns,
-        F.when(prev.isNull() | (prev != F.col(date_col)), 1).otherwise(0).cast("bigint").alias("uv_ct"),
+    return flagged.select(
+        *df.columns, (arrival == F.col("_first")).cast("bigint").alias("uv_ct"),
         F.when(lp.isNull() | (lp == ""), 1).otherwise(0).cast("bigint").alias("sv_ct"),
         F.lit(1).cast("bigint").alias("pv_ct"))

@@ -101,33 +101,26 @@ def running_profile(df: DataFrame, key: str, time_col: str, size: str, fields: S
     """AGG7 fused with AGG6: per key and window, the running record count and the running
     distinct set of each field (sorted, ``sep``-joined) as of the end of that window.
 
-    Linear plan with one join and one window: the first window of every
-    (key, field, value) and the record count per (key, window) are partial
-    aggregates; the running sum and the running union are computed over the
-    per-key *window* rows (bounded by the time span), never over raw records.
+    The sets are kept as (key, field, value, first window) rows, one per distinct value, and joined to the windows
+    of their key from the first one on; no frame collects values of all rows. Rows per key after the first aggregate
+    are bounded by its windows and distinct values, so a hot key is combined before the shuffle. The running count
+    sums per-window counts. Null values are in no set; null keys are one key.
     """
-    dfw = df.select(key, F.window(time_col, size).alias("window"), *fields)
-    # One pass over the input: a count marker plus one (field, value) pair per field, aggregated
-    # per (key, window, pair). Both branches below start from this same aggregate, so Spark
-    # reuses its exchange and the input is scanned and parsed once.
+    dfw = df.select(F.col(key).alias("_key"), F.window(time_col, size).alias("window"), *fields)
+    # One pass over the input: a count marker plus one (field, value) pair per field, aggregated per
+    # (key, window, pair); both branches start from this aggregate, so Spark reuses its exchange.
     marker = F.struct(F.lit("#").alias("f"), F.lit(None).cast("string").alias("v"))
-    pairs = dfw.select(key, "window", F.explode(F.array(marker, *[
+    pairs = dfw.select("_key", "window", F.explode(F.array(marker, *[
         F.struct(F.lit(f).alias("f"), F.col(f).cast("string").alias("v")) for f in fields])).alias("p"))
-    step = pairs.groupBy(key, "window", "p").agg(F.count(F.lit(1)).alias("_c"))
-    counts = step.where(F.col("p.f") == "#").select(key, "window", F.col("_c").alias("_n"))
+    step = pairs.groupBy("_key", "window", "p").agg(F.count(F.lit(1)).alias("_c"))
+    wk = Window.partitionBy("_key").orderBy("window.start").rowsBetween(Window.unboundedPreceding, 0)
+    counts = (step.where(F.col("p.f") == "#")
+              .select("_key", "window", F.sum("_c").over(wk).cast("bigint").alias("page_count")))
     firsts = (step.where((F.col("p.f") != "#") & F.col("p.v").isNotNull())
-              .groupBy(key, "p").agg(F.min("window.start").alias("_ws"))
-              .groupBy(F.col(key).alias("_fk"), "_ws").agg(F.collect_list("p").alias("_new")))
-    merged = counts.join(firsts, (F.col(key) == F.col("_fk")) & (F.col("window.start") == F.col("_ws")), "left") \
-        .drop("_fk", "_ws")
-    wk = Window.partitionBy(key).orderBy(F.col("window.start")).rowsBetween(Window.unboundedPreceding, 0)
-    empty = F.array().cast("array<struct<f:string,v:string>>")
-    running = merged.select(key, "window", F.sum("_n").over(wk).cast("bigint").alias("page_count"),
-                            F.flatten(F.collect_list(F.coalesce(F.col("_new"), empty)).over(wk)).alias("_seen"))
-
-    def field_set(f: str) -> Column:
-        values = F.transform(F.filter("_seen", lambda p: p["f"] == F.lit(f)), lambda p: p["v"])
-        return F.array_join(F.array_sort(F.array_distinct(values)), sep).alias(f"{f}_set")
-
-    sets = [field_set(f) for f in fields]
-    return with_window_cols(running.select(key, "window", "page_count", *sets), "window", tz)
+              .groupBy(F.col("_key").alias("_fk"), "p").agg(F.min("window.start").alias("_from")))
+    seen = (counts.join(firsts, F.col("_key").eqNullSafe(F.col("_fk")) & (F.col("_from") <= F.col("window.start")), "left")
+            .groupBy("_key", "window")
+            .agg(F.max("page_count").alias("page_count"),
+                 *[F.array_join(F.sort_array(F.collect_set(F.when(F.col("p.f") == f, F.col("p.v")))), sep)
+                   .alias(f"{f}_set") for f in fields]))
+    return with_window_cols(seen.withColumnRenamed("_key", key), "window", tz)

@@ -5,22 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.operators.joins import bounded_broadcast
-
-__all__ = ["flag_words", "keep_flagged", "MAX_WORDS"]
-
-MAX_WORDS = 5_000_000
+__all__ = ["flag_words", "keep_flagged"]
 
 
 def flag_words(df: DataFrame, key: str, tokens_col: str, words: DataFrame, word_col: str = "word") -> DataFrame:
     """Per row: ``is_sensitive`` (any token in the list) and ``hit_count`` (tokens in the list).
 
-    Tokens are exploded and matched against the bounded, broadcast word list;
+    Tokens are exploded and matched against the word list (an equi-join);
     the per-row count is a partial aggregate (one row per key per task before
     the shuffle). Rows with no tokens or no hits get ``False``/0; an empty
     token list is ``False`` as in the source check.
     """
-    w = bounded_broadcast(words.select(F.col(word_col).alias("_w")).where(F.col("_w") != "").distinct(), MAX_WORDS)
+    w = words.select(F.col(word_col).alias("_w")).where(F.col("_w") != "").distinct()
     toks = df.select(key, F.explode_outer(tokens_col).alias("_t"))
     hits = toks.join(w, toks["_t"] == w["_w"], "left")
     return (hits.groupBy(key)
@@ -30,7 +26,7 @@ def flag_words(df: DataFrame, key: str, tokens_col: str, words: DataFrame, word_
 
 def keep_flagged(df: DataFrame, key: str, tokens_col: str, words: DataFrame, word_col: str = "word") -> DataFrame:
     """Rows with at least one listed token (a left-semi join on the exploded tokens)."""
-    w = bounded_broadcast(words.select(F.col(word_col).alias("_w")).distinct(), MAX_WORDS)
+    w = words.select(F.col(word_col).alias("_w")).where(F.col("_w") != "").distinct()
     toks = df.select(key, F.explode(tokens_col).alias("_t"))
     flagged = toks.join(w, toks["_t"] == w["_w"], "left_semi").select(key).distinct()
     return df.join(flagged, key, "left_semi")

@@ -90,12 +90,11 @@ def status_transition_q(spark, sf_dir):
     return after_fields(moved, ["id", "user_id", "order_status"], keep=["ts_ms"])
 
 
-def _cart_envelopes(spark, sf_dir, split=True):
+def _cart_envelopes(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_suppkey", "l_partkey", F.col("l_quantity").cast("int").alias("qty"),
         *[c for c in LINEITEM_ARRIVAL if c not in ("l_partkey", "l_suppkey")])
-    lagged = keyed_lag(li, ["l_orderkey", "l_linenumber"], LINEITEM_ARRIVAL, ["qty"],
-                       split=F.year("l_shipdate") if split else None)
+    lagged = keyed_lag(li, ["l_orderkey", "l_linenumber"], LINEITEM_ARRIVAL, ["qty"])
     op = F.when(F.col("prev_qty").isNull(), "c").otherwise("u")
     after = {"id": detail_id("l_orderkey", "l_linenumber"), "user_id": F.col("l_suppkey"),
              "sku_id": F.col("l_partkey"), "sku_num": F.col("qty")}
@@ -115,23 +114,23 @@ FROM l WHERE prev IS NULL OR qty > prev
 """)
 def cart_add(spark, sf_dir):
     """PRJ8/S18/S20: first sight of an id is an insert, later ones updates from the previous quantity;
-    keep inserts and rises, quantity = new value or the rise. The lag is split by ship year (hot ids)."""
+    keep inserts and rises, quantity = new value or the rise."""
     return cart_adds(_cart_envelopes(spark, sf_dir))
 
 
-def _activity(spark, sf_dir):
-    """Activity and coupon rows per detail key, derived from the line items (one aggregate, two filters)."""
+def _with_activity(spark, sf_dir, details):
+    """``details`` (order_id, line_no) plus activity and coupon columns, both derived from one aggregate of the line
+    items per detail key, joined once (a detail without activity or coupon keeps nulls)."""
     li = table(spark, sf_dir, "lineitem")
-    g = li.groupBy("l_orderkey", "l_linenumber").agg(F.max("l_discount").alias("d"), F.min("l_tax").alias("t"))
+    g = li.groupBy(F.col("l_orderkey").alias("g_order"), F.col("l_linenumber").alias("g_line")).agg(
+        F.max("l_discount").alias("d"), F.min("l_tax").alias("t"))
     pct = lambda c: (F.col(c).cast("decimal(4,2)") * 100).cast("int")
-    act = g.where(F.col("d") >= 0.08).select(
-        F.col("l_orderkey").alias("a_order"), F.col("l_linenumber").alias("a_line"),
-        F.concat(F.lit("act_"), pct("d").cast("string")).alias("activity_id"),
-        F.concat(F.lit("rule_"), (pct("d") % 3).cast("string")).alias("activity_rule_id"))
-    cpn = g.where(F.col("t") <= 0.01).select(
-        F.col("l_orderkey").alias("c_order"), F.col("l_linenumber").alias("c_line"),
-        F.concat(F.lit("cpn_"), pct("t").cast("string")).alias("coupon_id"))
-    return act, cpn
+    active, coupon = F.col("d") >= 0.08, F.col("t") <= 0.01
+    cols = g.select("g_order", "g_line",
+                    F.when(active, F.concat(F.lit("act_"), pct("d").cast("string"))).alias("activity_id"),
+                    F.when(active, F.concat(F.lit("rule_"), (pct("d") % 3).cast("string"))).alias("activity_rule_id"),
+                    F.when(coupon, F.concat(F.lit("cpn_"), pct("t").cast("string"))).alias("coupon_id"))
+    return details.join(cols, (F.col("order_id") == cols.g_order) & (F.col("line_no") == cols.g_line), "left")
 
 
 ORDER_DETAIL_WIDE_SQL = f"""
@@ -165,11 +164,8 @@ def order_detail_wide(spark, sf_dir):
     det = li.select(F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("line_no"),
                     F.col("l_partkey").alias("sku_id"), F.col("l_quantity").alias("qty"), "l_extendedprice")
     head = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    act, cpn = _activity(spark, sf_dir)
     part = table(spark, sf_dir, "part")
-    j = (det.join(head, det.order_id == head.o_orderkey, "inner")
-         .join(act, (F.col("order_id") == act.a_order) & (F.col("line_no") == act.a_line), "left")
-         .join(cpn, (F.col("order_id") == cpn.c_order) & (F.col("line_no") == cpn.c_line), "left"))
+    j = _with_activity(spark, sf_dir, det.join(head, det.order_id == head.o_orderkey, "inner"))
     j = enrich(j, EnrichSpec(part, "sku_id", "p_partkey", {"p_name": "sku_name", "p_retailprice": "_price"}))
     return j.select(detail_id().alias("id"), "order_id", F.col("o_custkey").alias("user_id"), "sku_id", "sku_name",
                     "activity_id", "activity_rule_id", "coupon_id",

@@ -99,9 +99,9 @@ FLAG_WORDS = ["password", "secret", "token", "apikey", "ssn", "credit", "card",
 _FLAG_SQL = ", ".join(f"('{w}')" for w in FLAG_WORDS)
 
 
-@query("word_flag", f"""
+@query("word_flag", rf"""
 WITH w(word) AS (VALUES {_FLAG_SQL}),
-t AS (SELECT doc_id, unnest(string_split_regex(lower(text), '[^a-z0-9]+')) AS tok FROM documents),
+t AS (SELECT doc_id, unnest(string_split_regex(lower(text), '[^\p{{L}}\p{{N}}]+')) AS tok FROM documents),
 h AS (SELECT d.doc_id, count(w.word) AS hit_count
       FROM documents d LEFT JOIN t ON d.doc_id = t.doc_id AND t.tok <> '' LEFT JOIN w ON t.tok = w.word
       GROUP BY d.doc_id)

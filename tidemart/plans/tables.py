@@ -18,7 +18,7 @@ TZ = "UTC"  # driver queries render times in UTC so that DuckDB agrees
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One given table; small files are spread over the cores (a no-op for large inputs)."""
+    """One given table."""
     from tidemart.sources.files import read_parquet
     return read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -85,8 +85,7 @@ def retract_dedupe_q(spark, sf_dir):
     d = order_details(spark, sf_dir).select(*DETAIL_KEY, "split_total_amount", *LINEITEM_ARRIVAL)
     plain = retract_dedupe(d, DETAIL_KEY, LINEITEM_ARRIVAL, ["split_total_amount"])
     d_t = d.withColumn("t_ms", epoch_ms("l_shipdate"))
-    ttl = retract_dedupe_ttl(d_t, DETAIL_KEY, LINEITEM_ARRIVAL, ["split_total_amount"], "t_ms", RETRACT_TTL_MS,
-                             split=F.year("l_shipdate"))
+    ttl = retract_dedupe_ttl(d_t, DETAIL_KEY, LINEITEM_ARRIVAL, ["split_total_amount"], "t_ms", RETRACT_TTL_MS)
     pick = lambda df, v: df.select(F.lit(v).alias("variant"), detail_id().alias("id"), "sign",
                                    from_cents("split_total_amount").alias("split_total_amount"))
     return pick(plain, "plain").unionByName(pick(ttl, "ttl"))
@@ -120,8 +119,7 @@ def sku_window(spark, sf_dir):
     """
     d = order_details(spark, sf_dir).select(*DETAIL_KEY, "sku_id", *DETAIL_AMOUNTS, *LINEITEM_ARRIVAL)
     d = d.withColumn("t_ms", epoch_ms("l_shipdate"))
-    stream = retract_dedupe_ttl(d, DETAIL_KEY, LINEITEM_ARRIVAL, DETAIL_AMOUNTS, "t_ms", RETRACT_TTL_MS,
-                                split=F.year("l_shipdate"))
+    stream = retract_dedupe_ttl(d, DETAIL_KEY, LINEITEM_ARRIVAL, DETAIL_AMOUNTS, "t_ms", RETRACT_TTL_MS)
     per = stream.groupBy("order_id", "sku_id").agg(*[F.sum(a).alias(a) for a in DETAIL_AMOUNTS])
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     facts = per.join(orders, per.order_id == orders.o_orderkey)
@@ -167,8 +165,7 @@ fl AS (SELECT *, CASE WHEN lag(d) OVER (PARTITION BY mid ORDER BY ts, event_id)
 
 def _page_flags(spark, sf_dir):
     pages = page_log(spark, sf_dir).where("has_page").withColumn("d", F.to_date("ts_ntz"))
-    return visit_flags(pages, "mid", ["ts", "event_id"], "d", "last_page_id",
-                       split=(F.col("event_id") / 1000).cast("bigint"))
+    return visit_flags(pages, "mid", ["ts", "event_id"], "d", "last_page_id")
 
 
 @query("uv_sv_pv", _PAGES_SQL + """
@@ -176,7 +173,7 @@ SELECT event_id, mid, CAST(uv_ct AS BIGINT) AS uv_ct, CAST(sv_ct AS BIGINT) AS s
 FROM fl
 """)
 def uv_sv_pv(spark, sf_dir):
-    """STA2: per page record, unique-visitor / session-start / page-view flags (lag split by event-id range)."""
+    """STA2: per page record, unique-visitor / session-start / page-view flags (an aggregate per device and day)."""
     return _page_flags(spark, sf_dir).select("event_id", "mid", "uv_ct", "sv_ct", "pv_ct")
 
 
@@ -193,17 +190,17 @@ def page_view_window(spark, sf_dir):
         F.sum("uv_ct").cast("bigint").alias("uv_ct"), F.sum("sv_ct").cast("bigint").alias("sv_ct")], tz=TZ)
 
 
-@query("keyword_window", f"""
+@query("keyword_window", rf"""
 WITH t AS (SELECT make_timestamp(doc_id * 1000000) AS et,
-                  unnest(string_split_regex(lower(text), '[^a-z]+')) AS keyword
-           FROM documents WHERE lang = 'en')
+                  unnest(string_split_regex(lower(text), '[^\p{{L}}\p{{N}}]+')) AS keyword
+           FROM documents)
 SELECT {window_cols_sql('et', 10)}, keyword, count(*) AS keyword_count FROM t WHERE keyword <> '' GROUP BY ALL
 """)
 def keyword_window(spark, sf_dir):
-    """UDF1/UDF2 -> AGG5: words of English documents (doc id as event seconds) counted per 10 s window."""
-    docs = table(spark, sf_dir, "documents").where(F.col("lang") == "en")
+    """UDF1/UDF2 -> AGG5: words of all documents (doc id as event seconds) counted per 10 s window."""
+    docs = table(spark, sf_dir, "documents")
     words = docs.select(local_from_epoch_ms(F.col("doc_id") * 1000, "UTC").alias("et"),
-                        F.explode(tokenize(F.col("text"), "[^a-z]+")).alias("keyword"))
+                        F.explode(tokenize(F.col("text"))).alias("keyword"))
     return window_aggregate(words, "et", "10 seconds", ["keyword"], [F.count(F.lit(1)).alias("keyword_count")], tz=TZ)
 
 
@@ -252,9 +249,9 @@ def new_visitor_fix_q(spark, sf_dir):
 
 @query("user_running_profile", f"""
 WITH p AS ({PAGE_LOG_SQL}),
-n AS (SELECT uid, {window_sql('ts_ntz', 86400)} AS ws, split_part(os, ' ', 1) AS os, ch, md, ba,
+n AS (SELECT coalesce(nullif(uid, ''), '-1') AS uid, {window_sql('ts_ntz', 86400)} AS ws, split_part(os, ' ', 1) AS os, ch, md, ba,
              CASE WHEN item_type = 'keyword' THEN item ELSE '' END AS keyword
-      FROM p WHERE has_page AND event_type <> 'error' AND uid IS NOT NULL AND uid <> ''),
+      FROM p WHERE has_page AND event_type <> 'error'),
 c AS (SELECT uid, ws, count(*) AS n FROM n GROUP BY ALL),
 run AS (SELECT uid, ws, sum(n) OVER (PARTITION BY uid ORDER BY ws ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS page_count FROM c),
 fv AS (SELECT uid, 'os' AS f, os AS v, min(ws) AS first_ws FROM n GROUP BY ALL
@@ -274,12 +271,12 @@ FROM run r JOIN sets ON r.uid = sets.uid AND r.ws = sets.ws GROUP BY r.uid, r.ws
 """)
 def user_running_profile(spark, sf_dir):
     """AGG7 (fused with AGG6): running page count and running distinct os/ch/md/ba/keyword sets per
-    user as of each daily window. Anonymous rows (uid '-1') are left out of per-user state."""
+    user as of each daily window. The anonymous user '-1' is a key like any other (and a hot one)."""
     logs = parse_json_records(page_log_json(spark, sf_dir), PAGE_LOG, "value", mode="drop")
     flat = logs.select("data.*")
     norm = normalize_logs(flat, default_keyword="", keep=[F.col("common.ch").alias("ch"), F.col("common.md").alias("md"),
                                                           F.col("common.ba").alias("ba")])
-    norm = norm.where(F.col("uid") != "-1").withColumn("et", local_from_epoch_ms(F.col("ts").cast("bigint"), "UTC"))
+    norm = norm.withColumn("et", local_from_epoch_ms(F.col("ts").cast("bigint"), "UTC"))
     out = running_profile(norm, "uid", "et", "1 day", ["os", "ch", "md", "ba", "keyword"], tz=TZ)
     return out
 

@@ -16,23 +16,23 @@ RUNTIME_CONF = {
 }
 
 
-def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 1 << 30) -> dict[str, str]:
     """Settings for a large cluster run, sized from the input volume.
 
-    * shuffle partitions: enough that a partition is about ``target_partition_bytes``
-      before AQE coalescing (at least 3 waves of the cores), so sorts and
-      hash tables fit in executor memory and spill stays small;
-    * scan splits of 512 MB (100 TB -> ~200k scan tasks);
-    * AQE coalescing to the same target size, skew-join splitting above 4x the
-      median (and 256 MB), broadcast of runtime-small sides up to 64 MB;
+    * shuffle partitions: about ``target_partition_bytes`` each (100 TB -> ~100k), at least 3 waves of the cores;
+      fewer, larger partitions keep the number of shuffle blocks (map tasks x partitions) and their seeks down;
+    * scan splits of 1 GB (100 TB -> ~100k scan tasks), push-based shuffle to merge the remaining small blocks;
+    * AQE coalescing to 256 MB, skew-join splitting above 4x the median (and 256 MB), broadcast of sides that are
+      small in bytes at run time, up to 64 MB;
     * RocksDB state store with changelog checkpointing for the streaming jobs.
     """
     shuffle = max(total_cores * 3, int(input_bytes // target_partition_bytes))
     return {
         **RUNTIME_CONF,
         "spark.sql.shuffle.partitions": str(shuffle),
-        "spark.sql.files.maxPartitionBytes": str(512 << 20),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(1 << 30),
+        "spark.shuffle.push.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 << 20),
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
@@ -63,20 +63,17 @@ _LOCAL_DIRS: dict[int, str] = {}
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting must point at shared storage and is only read.
-    When it is unset (tests, local runs) a fresh local folder is made and set.
+    On a cluster this setting must point at shared storage and is only read; without it a cluster run fails. When
+    it is unset in local mode (tests) a fresh local folder is made and set.
     """
     current = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or _LOCAL_DIRS.get(id(spark))
     if current:
         spark.sparkContext.setCheckpointDir(current)
         return current
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="tidemart-ckpt-", dir=os.environ.get("TIDEMART_SCRATCH", "/tmp"))
     _LOCAL_DIRS[id(spark)] = path
     spark.sparkContext.setCheckpointDir(path)
     return path
 
-
-def cut_lineage(df):
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)

@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from tidemart.operators.scoring import read_weight_file
 
-__all__ = ["read_json_lines", "read_weight_file", "read_parquet", "spread_if_few_splits"]
+__all__ = ["read_json_lines", "read_weight_file", "read_parquet"]
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: T.StructType | str,
@@ -23,20 +23,6 @@ def read_json_lines(spark: SparkSession, path: str, schema: T.StructType | str,
     return reader.json(path)
 
 
-def spread_if_few_splits(df: DataFrame) -> DataFrame:
-    """Round-robin the input over the cluster's cores when it has fewer splits than cores.
-
-    A parquet file splits only at row-group boundaries, so a small table can
-    arrive as one or two tasks while the first stage (JSON build/parse,
-    projections) is the heaviest. When the input already has at least as many
-    splits as cores -- always the case for large inputs -- this is a no-op and
-    adds no shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
-def read_parquet(spark: SparkSession, path: str, spread: bool = True) -> DataFrame:
-    """Parquet read (pushdown and pruning by Catalyst) with :func:`spread_if_few_splits`."""
-    df = spark.read.parquet(path)
-    return spread_if_few_splits(df) if spread else df
+def read_parquet(spark: SparkSession, path: str) -> DataFrame:
+    """Parquet read; pushdown and pruning by Catalyst, split sizes by the session (``spark.sql.files.*``)."""
+    return spark.read.parquet(path)

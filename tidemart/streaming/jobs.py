@@ -20,8 +20,9 @@ from tidemart.operators.joins import EnrichSpec, enrich
 from tidemart.operators.parse import parse_json_records, route_pages, split_parsed
 from tidemart.operators.routing import apply_sink_columns, latest_rules, route_by_rules
 from tidemart.operators.windows import with_window_cols
-from tidemart.schemas import ENVELOPE, PAGE_LOG
+from tidemart.schemas import DIM_RULE, ENVELOPE, PAGE_LOG
 from tidemart.streaming.processors import STATE_PROVIDER, NewVisitorFix, RetractDedupe
+from tidemart.streaming.sinks import dim_batch_writer
 
 __all__ = ["enable_state_store", "with_state", "log_cleaning_streams", "retract_stream",
            "province_window_stream", "route_cdc_batch"]
@@ -46,6 +47,8 @@ def log_cleaning_streams(text: DataFrame, tz: str = DEFAULT_TZ) -> tuple[DataFra
     repaired one (write both from one ``foreachBatch``).
     """
     parsed = parse_json_records(text, PAGE_LOG, "value", mode="split")
+    # a record without a usable time has no place in its device's history: it goes to the dirty side
+    parsed = parsed.withColumn("is_valid", F.col("is_valid") & F.col("data.ts").isNotNull())
     good, bad = split_parsed(parsed)
     flat = good.select(F.col("data.common.mid").alias("mid"), F.col("data.common.is_new").alias("is_new"),
                        F.col("data.ts").alias("ts"), F.to_date(ms_to_date(F.col("data.ts"), tz)).alias("visit_date"),
@@ -60,7 +63,7 @@ def retract_stream(details: DataFrame, key: str, order: Sequence[str], amounts:
     """STA4/STA5 on a stream: previous record negated, then the new one (state per id)."""
     schema = T.StructType(details.schema.fields + [T.StructField("sign", T.IntegerType())])
     mode = "ProcessingTime" if ttl_ms else "None"
-    return with_state(details, key, RetractDedupe(order, amounts, ttl_ms), schema, mode)
+    return with_state(details, key, RetractDedupe(order, amounts, details.schema, ttl_ms), schema, mode)
 
 
 def province_window_stream(details: DataFrame, provinces: DataFrame, window: str = "10 seconds",
@@ -80,28 +83,39 @@ def province_window_stream(details: DataFrame, provinces: DataFrame, window: str
                 .agg(F.sum("amount").alias("order_amount"), F.count(F.lit(1)).alias("order_count")))
     decorated = with_window_cols(per_prov, "window", tz)
     return enrich(decorated, EnrichSpec(provinces, "province_id", "id", {"name": "province_name"},
-                                        how="left", broadcast_rows=100_000))
+                                        how="left"))
 
 
 def route_cdc_batch(batch: DataFrame, rules_path: str, dims_out: str, facts_out: str, batch_id: int) -> None:
-    """DIM router micro-batch (PRJ6, PRJ7, STA9, SNK5 input): re-read the rule changes, take the
-    latest, split the batch into dimension rows and fact rows, and write both idempotently.
+    """DIM router micro-batch (PRJ6, PRJ7, STA9, SNK5): take the latest rules, split the batch into dimension rows and
+    fact rows, merge the dimension rows cell by cell into ``dims_out/<sink_table>`` keyed by the rule's
+    ``sink_row_key``, and write the facts; all of it gives the same result when the batch is replayed.
 
     With no rules the batch raises, so its offsets are not committed and the
-    rows are processed again later instead of being lost (D7).
+    rows are processed again later instead of being lost (D7). The rules are
+    the job's configuration: a few rows, one per source table.
     """
     spark = batch.sparkSession
-    changes = spark.read.json(rules_path)
-    rules = latest_rules(changes, order=["ts_ms"])
-    if rules.limit(1).count() == 0:
+    rule_schema = T.StructType([*DIM_RULE.fields, T.StructField("op", T.StringType()),
+                                T.StructField("ts_ms", T.LongType())])
+    rules = latest_rules(spark.read.schema(rule_schema).json(rules_path), order=["ts_ms"])
+    sinks = {r.sink_table: r for r in rules.collect()}
+    if not sinks:
         raise RuntimeError("no dimension rules yet; batch will be retried")
-    env = parse_json_records(batch, ENVELOPE, "value", mode="drop").select("data.*")
-    dims, facts = route_by_rules(env, rules)
-    dims = apply_sink_columns(dims)
-    image = F.when(F.col("op") == "d", F.col("before")).otherwise(F.col("after"))
-    out = dims.select("sink_table", F.col("sink_row_key"), "op", image.alias("cells"), "ts_ms")
-    out.write.mode("overwrite").partitionBy("sink_table").json(f"{dims_out.rstrip('/')}/batch_id={batch_id}")
-    facts.write.mode("overwrite").json(f"{facts_out.rstrip('/')}/batch_id={batch_id}")
+    env = parse_json_records(batch, ENVELOPE, "value", mode="drop").select("data.*").persist()
+    try:
+        dims, facts = route_by_rules(env, rules)
+        image = F.when(F.col("op") == "d", F.col("before")).otherwise(F.col("after"))
+        keyed = dims.withColumn("row_key", F.try_element_at(image, F.col("sink_row_key"))).where("row_key is not null")
+        keyed = apply_sink_columns(keyed)
+        for table, rule in sinks.items():
+            cells = [c.strip() for c in rule.sink_columns.split(",")]
+            rows = keyed.where(F.col("sink_table") == table).select(
+                "row_key", "op", "ts_ms", *[F.try_element_at("after", F.lit(c)).alias(c) for c in cells])
+            dim_batch_writer(f"{dims_out.rstrip('/')}/{table}", "row_key", ["ts_ms"], cells)(rows, batch_id)
+        facts.write.mode("overwrite").json(f"{facts_out.rstrip('/')}/batch_id={batch_id}")
+    finally:
+        env.unpersist()
 
 
 def order_detail_wide_stream(details: DataFrame, headers: DataFrame, activities: DataFrame, coupons: DataFrame,
@@ -152,12 +166,13 @@ def page_view_window_stream(pages: DataFrame, window: str = "10 seconds", delay:
 
 
 def cart_uu_window_stream(adds: DataFrame, window: str = "10 seconds", delay: str = "5 seconds",
-                          tz: str = DEFAULT_TZ) -> DataFrame:
+                          tz: str = DEFAULT_TZ, ttl_ms: int | None = 2 * 86_400_000) -> DataFrame:
     """STA3 -> AGG1 on a stream of cart adds ``(user_id, ts, add_date)``: first add per user and day
-    (one flag per (user, day) in state), then a watermarked global count per window."""
+    (one flag per (user, day) in state, forgotten ``ttl_ms`` after it was set), then a watermarked count per window."""
     from tidemart.streaming.processors import FirstPerDay
 
-    firsts = with_state(adds, ["user_id", "add_date"], FirstPerDay(["ts"]), adds.schema)
+    firsts = with_state(adds, ["user_id", "add_date"], FirstPerDay(["ts"], ttl_ms), adds.schema,
+                        "ProcessingTime" if ttl_ms else "None")
     timed = firsts.withColumn("et", F.timestamp_millis("ts")).withWatermark("et", delay)
     agg = timed.groupBy(F.window("et", window).alias("window")).agg(F.count(F.lit(1)).alias("cart_add_uu_ct"))
     return with_window_cols(agg, "window", tz)

@@ -20,6 +20,7 @@ from datetime import timedelta
 import xxhash
 from pyspark import cloudpickle
 from pyspark.sql import Row
+from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 # Python workers run this module's UDF/processor code: ship it by value so that executors
@@ -33,7 +34,8 @@ STATE_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateSto
 
 
 def _sorted(rows: Iterator[Row], order: Sequence[str]) -> list[Row]:
-    return sorted(rows, key=lambda r: tuple(r[c] for c in order))
+    """Rows of a key in arrival order, nulls first."""
+    return sorted(rows, key=lambda r: tuple((r[c] is not None, r[c]) for c in order))
 
 
 class NewVisitorFix(StatefulProcessor):
@@ -51,6 +53,9 @@ class NewVisitorFix(StatefulProcessor):
         for r in _sorted(rows, self.order):
             d = r[self.date_col]
             rec = r.asDict()
+            if d is None:
+                yield r  # no date: nothing to compare, and no memory of it
+                continue
             if first is None:
                 first = d if rec[self.is_new_col] == "1" else d - timedelta(days=1)
                 self.state.update((first,))
@@ -112,36 +117,33 @@ class RetractDedupe(StatefulProcessor):
     """STA4/STA5: on a repeated id emit the previous record with its amounts negated, then the new one.
 
     With ``ttl_ms`` the memory expires that long after its last write (use
-    ``timeMode="ProcessingTime"``). The previous record is kept as JSON text so
-    the processor works for any input schema. Output = input columns + ``sign``.
+    ``timeMode="ProcessingTime"``). The previous record is kept in columns of the
+    input's own types (``schema``). Output = input columns + ``sign``.
     """
 
-    def __init__(self, order: Sequence[str], amounts: Sequence[str], ttl_ms: int | None = None):
-        self.order, self.amounts, self.ttl_ms = list(order), set(amounts), ttl_ms
+    def __init__(self, order: Sequence[str], amounts: Sequence[str], schema: T.StructType, ttl_ms: int | None = None):
+        self.order, self.amounts, self.schema, self.ttl_ms = list(order), set(amounts), schema, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("prev", "rec string", self.ttl_ms)
+        self.state = handle.getValueState("prev", self.schema, self.ttl_ms)
 
-    def _negate(self, rec: dict) -> dict:
-        return {k: (-v if (k in self.amounts and v is not None) else v) for k, v in rec.items()}
+    def _remembered(self) -> dict | None:
+        if not self.state.exists():
+            return None
+        values = self.state.get()
+        return {f.name: f.dataType.fromInternal(v) if isinstance(v, int) and f.dataType.needConversion() else v
+                for f, v in zip(self.schema.fields, values, strict=True)}
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        prev = json.loads(self.state.get()[0]) if self.state.exists() else None
+        prev = self._remembered()
         for r in _sorted(rows, self.order):
             rec = r.asDict()
             if prev is not None:
-                yield Row(**self._restore(self._negate(prev), rec), sign=-1)
+                yield Row(**{k: (-v if k in self.amounts and v is not None else v) for k, v in prev.items()}, sign=-1)
             yield Row(**rec, sign=1)
             prev = rec
         if prev is not None:
-            self.state.update((json.dumps(prev, default=str),))
-
-    def _restore(self, prev: dict, like: dict) -> dict:
-        out = {}
-        for k, v in prev.items():
-            t = type(like[k]) if like.get(k) is not None else None
-            out[k] = t(v) if (t is not None and v is not None and not isinstance(v, t)) else v
-        return out
+            self.state.update(tuple(prev[f.name] for f in self.schema.fields))
 
     def close(self) -> None:
         pass

@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.functions.dates import DEFAULT_TZ, day_bucket_of
 from tidemart.operators.stateful import last_per_key
 from tidemart.sources.dims import merge_cells
 
-__all__ = ["kafka_sink_options", "to_kafka_value", "write_kafka", "olap_batch_writer", "upsert_batch_writer",
-           "dim_batch_writer", "day_bucket_writer", "query_checkpoint", "start", "console_debug"]
+__all__ = ["kafka_sink_options", "to_kafka_value", "write_kafka", "write_kafka_batch", "olap_batch_writer", "upsert_batch_writer",
+           "dim_batch_writer", "read_dim_table", "read_upserted", "day_bucket_writer", "query_checkpoint", "start", "console_debug"]
 
 
 def kafka_sink_options(servers: str, topic: str, exactly_once: bool = False, extra: dict | None = None) -> dict:
@@ -32,14 +32,24 @@ def to_kafka_value(df: DataFrame, key_cols: Sequence[str] | None = None) -> Data
     return df.select(*cols)
 
 
-def write_kafka(df: DataFrame, servers: str, topic: str, checkpoint: str, exactly_once: bool = False):
-    """SNK1: stream to a topic (at-least-once; Kafka has no transactional Spark sink)."""
-    w = to_kafka_value(df).writeStream.format("kafka").option("checkpointLocation", checkpoint)
+def write_kafka(df: DataFrame, servers: str, topic: str, checkpoint: str, exactly_once: bool = False,
+                key_cols: Sequence[str] | None = None):
+    """SNK1/SNK3: stream to a topic (at-least-once; Kafka has no transactional Spark sink). With ``key_cols`` each
+    record carries its primary key, so a compacted topic keeps the last value per key."""
+    w = to_kafka_value(df, key_cols).writeStream.format("kafka").option("checkpointLocation", checkpoint)
     for k, v in kafka_sink_options(servers, topic, exactly_once).items():
         w = w.option(k, v)
     return w.start()
 
 
+def write_kafka_batch(df: DataFrame, servers: str, topic: str, key_cols: Sequence[str] | None = None) -> None:
+    """SNK2: write the rows of a batch frame to a topic, one record per row."""
+    w = to_kafka_value(df, key_cols).write.format("kafka")
+    for k, v in kafka_sink_options(servers, topic).items():
+        w = w.option(k, v)
+    w.save()
+
+
 def olap_batch_writer(path: str, fmt: str = "json") -> Callable[[DataFrame, int], None]:
     """SNK4: each micro-batch to ``path/batch_id=N`` with overwrite, so a replayed batch replaces itself."""
 
@@ -50,40 +60,86 @@ def olap_batch_writer(path: str, fmt: str = "json") -> Callable[[DataFrame, int]
 
 
 def upsert_batch_writer(path: str, key: Sequence[str], order: Sequence[str]) -> Callable[[DataFrame, int], None]:
-    """SNK3: keyed latest per micro-batch written to ``path/batch_id=N``; readers take the last per key
-    across batches (:func:`tidemart.operators.stateful.last_per_key` with ``batch_id`` first in order)."""
+    """SNK3: keyed latest per micro-batch written to ``path/batch_id=N``; :func:`read_upserted` merges the batches."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        latest = last_per_key(batch, list(key), list(order)).withColumn("batch_id", F.lit(batch_id))
+        latest = last_per_key(batch, list(key), list(order))
         latest.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
 
     return write
 
 
-VERSION_COL = "dim_version"
+def read_upserted(spark: SparkSession, path: str, key: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """SNK3: the keyed table, the last record per key over all batches (later batches win)."""
+    rows = spark.read.parquet(path)
+    return last_per_key(rows, list(key), ["batch_id", *order]).drop("batch_id")
+
+
+DIM_BUCKETS = 64
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def _manifest(spark: SparkSession, table_path: str, before: int | None = None) -> dict[int, str] | None:
+    """``bucket -> folder`` of the newest committed batch (below ``before``), or None if no batch was committed.
+
+    A manifest is a small table written last, so it is the commit marker of its batch; only a missing manifest folder
+    means "no table yet", any other read error is raised.
+    """
+    root = f"{table_path.rstrip('/')}/manifest"
+    if not _exists(spark, root):
+        return None
+    entries = spark.read.schema("bucket int, folder string, batch_id bigint").parquet(root)
+    entries = entries if before is None else entries.where(F.col("batch_id") < before)
+    rows = entries.where(F.col("batch_id") == entries.agg(F.max("batch_id")).first()[0]).collect()  # one per bucket
+    return {r.bucket: r.folder for r in rows} or None
+
+
+def _bucket(key: str, buckets: int):
+    return F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(buckets)).cast("int")
+
+
+def read_dim_table(spark: SparkSession, table_path: str, schema: str, at: dict[int, str] | None = None) -> DataFrame:
+    """The newest committed version of a table of :func:`dim_batch_writer` (``schema``: its key and cells)."""
+    at = _manifest(spark, table_path) if at is None else at
+    folders = [f"{table_path.rstrip('/')}/{f}" for f in sorted(set((at or {}).values()))]
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*folders)
 
 
 def dim_batch_writer(table_path: str, key: str, order: Sequence[str], cells: Sequence[str],
-                     op_col: str = "op") -> Callable[[DataFrame, int], None]:
+                     op_col: str = "op", buckets: int = DIM_BUCKETS) -> Callable[[DataFrame, int], None]:
     """SNK5: merge a micro-batch of dimension changes cell by cell into a parquet table.
 
-    The merged table is written to a new version folder ``dim_version=<batch_id>``
-    (a replayed batch rewrites the same version); readers take the highest version.
+    The table is cut into ``buckets`` by a hash of the key; only the buckets that the batch touches are read and
+    written again, each to a folder of its batch, and a manifest that names every bucket's folder commits the batch.
+    A replayed batch starts from the manifest before it and replaces its own folders, so it gives the same table; a
+    bucket whose last key was deleted stays in the manifest as an empty one.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        base = None
-        try:
-            versions = spark.read.parquet(table_path)
-            prev = versions.where(F.col(VERSION_COL) < batch_id)
-            top = prev.agg(F.max(VERSION_COL)).first()[0]
-            if top is not None:
-                base = prev.where(F.col(VERSION_COL) == top).drop(VERSION_COL)
-        except Exception:  # noqa: BLE001 - first write: no table yet
-            base = None
-        merged = merge_cells(batch, key, order, cells, op_col, base=base)
-        merged.write.mode("overwrite").parquet(f"{table_path.rstrip('/')}/{VERSION_COL}={batch_id}")
+        spark, root = batch.sparkSession, table_path.rstrip("/")
+        schema = ", ".join(f"`{c}` {batch.schema[c].dataType.simpleString()}" for c in [key, *cells])
+        current = _manifest(spark, root, batch_id) or {}
+        keyed = batch.withColumn("_bucket", _bucket(key, buckets))
+        touched = sorted(r[0] for r in keyed.select("_bucket").distinct().collect())  # at most ``buckets`` numbers
+        old = {b: current[b] for b in touched if b in current}
+        base = read_dim_table(spark, root, schema, old) if old else None
+        merged = merge_cells(batch, key, order, cells, op_col, base=base).withColumn("_bucket", _bucket(key, buckets))
+        folder = f"data/batch_id={batch_id}"
+        for b in touched:  # an empty bucket has a folder too
+            current[b] = f"{folder}/_bucket={b}"
+        (merged.repartition("_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(f"{root}/{folder}"))
+        for b in touched:
+            if not _exists(spark, f"{root}/{current[b]}"):
+                spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{root}/{current[b]}")
+        entries = [(b, f) for b, f in sorted(current.items())] or [(-1, "")]
+        (spark.createDataFrame(entries, "bucket int, folder string").where("bucket >= 0").coalesce(1)
+         .write.mode("overwrite").parquet(f"{root}/manifest/batch_id={batch_id}"))
 
     return write
 

@@ -14,11 +14,12 @@ __all__ = ["kafka_options", "read_kafka", "read_text_stream", "read_with_waterma
 
 def kafka_options(servers: str, topic: str, group: str | None = None, offset: str = "earliest",
                   discovery_ms: int = 10_000, extra: dict | None = None) -> dict[str, str]:
-    """SRC2/SRC3 reader options (group defaults to topic + '1'; 10 s partition discovery)."""
+    """SRC2/SRC3 reader options (group defaults to topic + '1'; 10 s partition discovery;
+    lost offsets fail the query instead of giving an incomplete result)."""
     opts = {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": offset,
             "kafka.group.id": group or f"{topic}1", "kafka.metadata.max.age.ms": str(discovery_ms),
-            "failOnDataLoss": "false"}
-    opts.update({k if k.startswith("kafka.") or k in ("maxOffsetsPerTrigger", "minPartitions") else f"kafka.{k}": v
+            "failOnDataLoss": "true"}
+    opts.update({k if k.startswith("kafka.") or k in ("maxOffsetsPerTrigger", "minPartitions", "failOnDataLoss") else f"kafka.{k}": v
                  for k, v in (extra or {}).items()})
     return opts
 
