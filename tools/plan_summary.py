@@ -1,7 +1,7 @@
 """Summarise the physical plan of every driver query: shuffles, broadcasts, join kinds, scans,
 Python stages. Writes a markdown table (static plan before AQE re-optimisation).
 
-usage: python tools/plan_summary.py [sf_dir] > PLANS.md
+usage: python tools/plan_summary.py [sf_dir]  (its two tables go below the text of PLANS.md)
 """
 
 from __future__ import annotations
@@ -16,7 +16,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def summarise(plan: str) -> dict:
     return {
         "shuffles": len(re.findall(r"\bExchange hashpartitioning|\bExchange rangepartitioning|\bExchange SinglePartition", plan)),
-        "spread": len(re.findall(r"\bExchange RoundRobinPartitioning", plan)),
         "broadcasts": plan.count("BroadcastExchange"),
         "smj": plan.count("SortMergeJoin"),
         "bhj": plan.count("BroadcastHashJoin"),
@@ -27,20 +26,30 @@ def summarise(plan: str) -> dict:
     }
 
 
+def table(spark, sf: str, queries: dict) -> None:
+    print("| Query | Key shuffles | Broadcasts | SortMerge joins | Broadcast hash joins | Nested-loop joins | Windows | "
+          "Scans | Python stages |")
+    print("| --- | --- | --- | --- | --- | --- | --- | --- | --- |")
+    for name, fn in queries.items():
+        s = summarise(fn(spark, sf)._jdf.queryExecution().executedPlan().toString())
+        print(f"| {name} | " + " | ".join(str(s[k]) for k in ("shuffles", "broadcasts", "smj", "bhj", "nlj", "windows",
+                                                              "scans", "python")) + " |", flush=True)
+
+
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
-    import __spark_entry__ as e
+    from tidemart.plans import QUERIES
     from tidemart.session import build_session
 
     spark = build_session("local[8]", 16, app="tidemart-plans")
-    print("| Query | Key shuffles | Small-input spreads | Broadcasts | SortMerge joins | Broadcast hash joins | "
-          "Nested-loop joins | Windows | Scans | Python stages |")
-    print("| --- | --- | --- | --- | --- | --- | --- | --- | --- | --- |")
-    for name, fn in e.queries().items():
-        plan = fn(spark, sf)._jdf.queryExecution().executedPlan().toString()
-        s = summarise(plan)
-        print(f"| {name} | {s['shuffles']} | {s['spread']} | {s['broadcasts']} | {s['smj']} | {s['bhj']} | {s['nlj']} | {s['windows']} | "
-              f"{s['scans']} | {s['python']} |", flush=True)
+    print("## Without broadcasts: the plans for tables far above any threshold\n")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    table(spark, sf, QUERIES)
+    print("\n## At sf0.1, with Spark's default threshold\n")
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    table(spark, sf, QUERIES)
 
 
 if __name__ == "__main__":
