@@ -30,13 +30,16 @@ __all__ = ["Settings", "train", "score_documents", "training_sample", "held_out"
 _CLEAN = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 
 
-_GRAM = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F, 0x165667B1, 0xD3A2646D], np.uint32)
+_GRAM = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F, 0x165667B1], np.uint32)
+
+
+_WORDS = 20_000  # distinct words whose grams are handled at once
 
 
 class Settings:
     """Sizes of the model and of its training. ``sample_rows`` bounds the labelled rows that training reads."""
 
-    def __init__(self, window=32, stride=16, hidden=8, dim=16, words=1 << 13, grams=1 << 14, sample_rows=6000,
+    def __init__(self, window=32, stride=16, hidden=8, dim=16, words=1 << 13, grams=1 << 14, sample_rows=4000,
                  epochs=6, batch=256, rate=0.01, threshold=0.7, seed=5):
         self.__dict__.update({k: v for k, v in locals().items() if k != "self"})
 
@@ -59,19 +62,27 @@ class _Text:
         self.first[-1] = len(starts)
         keys, at, self.word = np.unique(hashes, return_index=True, return_inverse=True)
         self.bucket = (keys % np.uint64(s.words)).astype(np.int64)
-        raw = np.frombuffer(data, np.uint8).astype(np.uint32)
+        raw = np.frombuffer(data, np.uint8)
         a, n = starts[at] - 1, ends[at] - starts[at]  # a word's grams start at the border before it
+        def mix(at: np.ndarray, size: int) -> np.ndarray:
+            out = np.zeros(len(at), np.uint32)
+            for k in range(size):
+                out = (out ^ raw[at + k]) * _GRAM[k]
+            return out
+
+        self.gram = np.concatenate([np.zeros(0, np.int32), *(self._grams(a[k:k + _WORDS], n[k:k + _WORDS], mix, s.grams)
+                                                             for k in range(0, len(a), _WORDS))])
+        self.n_grams = n + np.maximum(n - 2, 0)
+        self.gram_at = np.concatenate([[0], np.cumsum(self.n_grams)])
+
+    @staticmethod
+    def _grams(a: np.ndarray, n: np.ndarray, mix, size: int) -> np.ndarray:
+        """Buckets of the 3-grams and 5-grams of some words, word by word."""
         three, owner_3 = _ranges(a, n)
         five, owner_5 = _ranges(a, np.maximum(n - 2, 0))
-        mixed = [raw[three] * _GRAM[0] ^ raw[three + 1] * _GRAM[1] ^ raw[three + 2] * _GRAM[2],
-                 (raw[five] * _GRAM[0] ^ raw[five + 1] * _GRAM[1] ^ raw[five + 2] * _GRAM[2]) * _GRAM[3]
-                 ^ raw[five + 3] * _GRAM[4] ^ raw[five + 4] * _GRAM[5]]
-        owner = np.concatenate([owner_3, owner_5])
-        order = np.argsort(owner, kind="stable")
-        mixed = np.concatenate(mixed)[order]
-        self.gram = ((mixed ^ mixed >> np.uint32(15)) % np.uint32(s.grams)).astype(np.int64)
-        self.n_grams = np.bincount(owner, minlength=len(a))
-        self.gram_at = np.concatenate([[0], np.cumsum(self.n_grams)])
+        order = np.argsort(np.concatenate([owner_3, owner_5]), kind="stable")
+        mixed = np.concatenate([mix(three, 3), mix(five, 5)])[order]
+        return ((mixed ^ mixed >> np.uint32(15)) % np.uint32(size)).astype(np.int32)
 
     def grams_of(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Grams of some distinct words, and for each the place of its word among these."""
@@ -80,11 +91,13 @@ class _Text:
 
     def gram_sums(self, words: np.ndarray | None, table: np.ndarray) -> np.ndarray:
         """Sum of the ``table`` rows of the grams of distinct words (null: all), over the root of their number."""
-        if not len(self.n_grams if words is None else words):
-            return np.zeros((0, table.shape[1]), table.dtype)
-        gram, n = (self.gram, self.n_grams) if words is None else (self.grams_of(words)[0], self.n_grams[words])
-        heads = np.concatenate([[0], np.cumsum(n)[:-1]])
-        return np.add.reduceat(table[gram], heads, axis=0) / np.sqrt(n)[:, None].astype(table.dtype)
+        words = np.arange(len(self.n_grams)) if words is None else words
+        out = np.zeros((len(words), table.shape[1]), table.dtype)
+        for k in range(0, len(words), _WORDS):
+            some = words[k:k + _WORDS]
+            gram, n = self.grams_of(some)[0], self.n_grams[some]
+            out[k:k + _WORDS] = np.add.reduceat(table[gram], np.cumsum(n) - n, axis=0) / np.sqrt(n)[:, None].astype(table.dtype)
+        return out
 
     def windows(self, s: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """``(distinct-word places (n, window), present (n, window), document)`` of all overlapping windows; the
@@ -104,7 +117,8 @@ class _Text:
             return np.zeros((0, s.window), np.int64), np.zeros((0, s.window), bool), np.zeros(0, np.int64)
         at = np.concatenate(starts)[:, None] + np.arange(s.window)
         present = at < np.concatenate(stops)[:, None]
-        return np.where(present, self.word[np.minimum(at, len(self.word) - 1)], -1), present, np.concatenate(docs)
+        places = np.where(present, self.word[np.minimum(at, len(self.word) - 1)], -1).astype(np.int32)
+        return places, present, np.concatenate(docs)
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -228,14 +242,16 @@ def _most(values: np.ndarray, docs: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def _evidence(doc: np.ndarray, bucket: np.ndarray, size: int, y: np.ndarray) -> np.ndarray:
-    """Per bucket: by how much more than 3 standard errors its share of toxic documents exceeds that of clean ones
+def _evidence(parts, size: int, y: np.ndarray) -> np.ndarray:
+    """``parts``: (document, bucket) arrays, each document in one part only. Per bucket: by how much more than 3 standard errors its share of toxic documents exceeds that of clean ones
     (negative the other way round), in units of 3, at most 3. Rare buckets have none."""
-    pairs = np.unique(doc * size + bucket)
-    toxic = y[pairs // size] == 1
+    k1, k0 = np.zeros(size, np.int64), np.zeros(size, np.int64)
+    for doc, bucket in parts:
+        pairs = np.unique(doc * size + bucket)
+        toxic = y[pairs // size] == 1
+        k1 += np.bincount(pairs[toxic] % size, minlength=size)
+        k0 += np.bincount(pairs[~toxic] % size, minlength=size)
     n1, n0 = max(1, int((y == 1).sum())), max(1, int((y == 0).sum()))
-    k1 = np.bincount(pairs[toxic] % size, minlength=size)
-    k0 = np.bincount(pairs[~toxic] % size, minlength=size)
     share = (k1 + k0) / (n1 + n0)
     error = np.sqrt(np.maximum(share * (1 - share), 1e-12) * (1 / n1 + 1 / n0))
     z = (k1 / n1 - k0 / n0) / error
@@ -252,14 +268,23 @@ def train(texts: list[str | None], labels: list[int], s: Settings) -> dict[str,
     fold = np.arange(len(texts)) % 5 == 4
     first_score = np.zeros(len(windows))
     if len(windows):
-        owner = np.repeat(np.arange(len(texts)), np.diff(t.first))
-        pair = np.unique(owner * len(t.bucket) + t.word)  # distinct (document, word)
-        pair = pair[~fold[pair // len(t.bucket)]]
-        in_doc, word = pair // len(t.bucket), pair % len(t.bucket)
         number = np.cumsum(~fold) - 1
-        gram, of = t.grams_of(word)
-        p["word"][:, 0] = _evidence(number[in_doc], t.bucket[word], s.words, y[~fold])
-        p["char"][:, 0] = _evidence(number[in_doc[of]], gram, s.grams, y[~fold])
+
+        def distinct():  # (documents, their distinct words), some documents at a time
+            for at in range(0, len(texts), 100):
+                ids = np.arange(at, min(at + 100, len(texts)))
+                owner = np.repeat(ids, np.diff(t.first)[ids])
+                pair = np.unique(owner * len(t.bucket) + t.word[t.first[at]:t.first[ids[-1] + 1]])
+                pair = pair[~fold[pair // len(t.bucket)]]
+                yield number[pair // len(t.bucket)], pair % len(t.bucket)
+
+        def grams():
+            for doc_, word in distinct():
+                gram, of = t.grams_of(word)
+                yield doc_[of], gram
+
+        p["word"][:, 0] = _evidence(((doc_, t.bucket[word]) for doc_, word in distinct()), s.words, y[~fold])
+        p["char"][:, 0] = _evidence(grams(), s.grams, y[~fold])
         seen = np.append(p["word"][t.bucket, 0] + t.gram_sums(None, p["char"][:, :1])[:, 0], -np.inf)
         first_score = seen[windows].max(axis=1)
     moment = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in p.items()}
