@@ -24,6 +24,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 __all__ = ["embedding_near_dedup", "hyperplanes"]
 
 
+BATCH_ROWS = 10_000  # rows of groups handed to Python together, on average
+
+
 def hyperplanes(tables: int, bits: int, dim: int, seed: int) -> np.ndarray:
     """Normal vectors of shape (dim, tables * bits)."""
     return np.random.default_rng([seed, dim]).standard_normal((dim, tables * bits))
@@ -46,49 +49,64 @@ def _sign_keys(tables: int, bits: int, seed: int):
     return F.pandas_udf(run, "array<bigint>")
 
 
-def _compare(threshold: float):
-    """Links of one group: per vector the number of rows it links to here, and a spanning forest of the links.
-
-    A pair that agrees in an earlier table was counted there and is left out of the counts.
+def _links(x: np.ndarray, keys: np.ndarray, copies: np.ndarray, blk: np.ndarray, table: int, other_blocks: bool,
+           threshold: float) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """Links among the rows of one group (unit vectors ``x``): per row the number of vectors it links to here, and the
+    edges of a spanning forest. A pair that agrees in an earlier table was counted there and is left out of the counts.
     """
-    def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        table, other_blocks = int(key[2]), key[-2] != key[-1]
-        x = np.stack([np.asarray(v, np.float64) for v in frame["vector"]])
-        x /= np.abs(x).max(axis=1)[:, None]  # no square overflows or vanishes
-        x /= np.sqrt((x * x).sum(axis=1))[:, None]
-        keys = np.stack([np.asarray(k, np.int64) for k in frame["sign_keys"]])
-        node, copies, blk = frame["node"].to_numpy(object), frame["copies"].to_numpy(), frame["blk"].to_numpy()
-        n = len(frame)
-
-        def near(rows: np.ndarray, others: np.ndarray) -> np.ndarray:
-            out = (x[rows] @ x[others].T >= threshold) & (rows[:, None] != others[None, :])
-            return out & (blk[rows][:, None] != blk[others][None, :]) if other_blocks else out
-
-        counts, linked, all_ = np.zeros(n, np.int64), np.zeros(n, bool), np.arange(n)
-        for at in range(0, n, 256):
-            rows = all_[at:at + 256]
-            link = near(rows, all_)
-            linked[rows] = link.any(axis=1)
+    n = len(x)
+
+    def near(rows: np.ndarray, others: np.ndarray) -> np.ndarray:
+        out = (x[rows] @ x[others].T >= threshold) & (rows[:, None] != others[None, :])
+        return out & (blk[rows][:, None] != blk[others][None, :]) if other_blocks else out
+
+    counts, linked, all_ = np.zeros(n, np.int64), np.zeros(n, bool), np.arange(n)
+    for at in range(0, n, 256):
+        rows = all_[at:at + 256]
+        link = near(rows, all_)
+        linked[rows] = link.any(axis=1)
+        if linked[rows].any():
             for t in range(table):
                 link &= keys[rows, t][:, None] != keys[None, :, t]
             counts[rows] = link @ copies
-        edges, left = [], np.flatnonzero(linked)
-        while len(left):  # spanning forest: breadth first over what is not reached yet
-            front, left = left[:1], left[1:]
-            while len(front) and len(left):
-                grown, rest = [], left
-                for at in range(0, len(front), 256):
-                    rows = front[at:at + 256]
-                    link = near(rows, rest)
-                    hit = link.any(axis=0)
-                    edges += zip(node[rows[link.argmax(axis=0)[hit]]], node[rest[hit]], strict=True)
-                    grown.append(rest[hit])
-                    rest = rest[~hit]
-                front, left = np.concatenate(grown), rest
-        has = np.flatnonzero(counts)
-        return pd.DataFrame({"a": pd.Series(list(node[has]) + [e[0] for e in edges], dtype=object),
-                             "b": pd.Series([None] * len(has) + [e[1] for e in edges], dtype=object),
-                             "links": [int(c) for c in counts[has]] + [0] * len(edges)})
+    edges, left = [], np.flatnonzero(linked)
+    while len(left):  # breadth first over what is not reached yet
+        front, left = left[:1], left[1:]
+        while len(front) and len(left):
+            grown, rest = [], left
+            for at in range(0, len(front), 256):
+                rows = front[at:at + 256]
+                link = near(rows, rest)
+                hit = link.any(axis=0)
+                edges += zip(rows[link.argmax(axis=0)[hit]].tolist(), rest[hit].tolist(), strict=True)
+                grown.append(rest[hit])
+                rest = rest[~hit]
+            front, left = np.concatenate(grown), rest
+    return counts, edges
+
+
+def _compare(threshold: float):
+    """Links of all groups of a batch of groups."""
+    def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        group = frame.groupby(["label", "dim", "t", "k", "bi", "bj"], sort=False).ngroup().to_numpy()
+        order = np.argsort(group, kind="stable")
+        bounds = [0, *(np.flatnonzero(np.diff(group[order])) + 1).tolist(), len(order)]
+        vectors, sign_keys = frame["vector"].array, np.stack(list(frame["sign_keys"])).astype(np.int64)
+        node, copies, blk = frame["node"].to_numpy(object), frame["copies"].to_numpy(), frame["blk"].to_numpy()
+        table, other_blocks = frame["t"].to_numpy(), frame["bi"].to_numpy() != frame["bj"].to_numpy()
+        a, b, links = [], [], []
+        for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
+            at = order[lo:hi]
+            x = np.array([vectors[i] for i in at], np.float64)
+            x /= np.abs(x).max(axis=1)[:, None]  # no square overflows or vanishes
+            x /= np.sqrt((x * x).sum(axis=1))[:, None]
+            counts, edges = _links(x, sign_keys[at], copies[at], blk[at], table[at[0]], other_blocks[at[0]], threshold)
+            has = np.flatnonzero(counts)
+            a += [*node[at[has]], *(node[at[i]] for i, _ in edges)]
+            b += [*[None] * len(has), *(node[at[j]] for _, j in edges)]
+            links += [*counts[has].tolist(), *[0] * len(edges)]
+        return pd.DataFrame({"a": pd.Series(a, dtype=object), "b": pd.Series(b, dtype=object),
+                             "links": pd.Series(links, dtype=np.int64)})
     return run
 
 
@@ -125,7 +143,10 @@ def embedding_near_dedup(vectors: DataFrame, threshold: float = 0.98, tables: in
                            F.posexplode("sign_keys").alias("t", "k"))
     keys = ["label", "dim", "t", "k"]
     groups = block_pairs(members, keys, F.xxhash64("node", "t"), block_rows)
-    found = scratch.table(groups.groupBy(*keys, "bi", "bj").applyInPandas(
+    # whole groups are handed to Python in batches, since most groups are a few rows
+    batches = max(1, -(-nodes.count() * tables // BATCH_ROWS))
+    groups = groups.withColumn("batch", F.pmod(F.xxhash64(*keys, "bi", "bj"), F.lit(batches)))
+    found = scratch.table(groups.groupBy("batch").applyInPandas(
         _compare(threshold), "a string, b string, links bigint"), "found")
     links = found.where("b is null").groupBy(F.col("a").alias("ln")).agg(F.sum("links").alias("links"))
     comp = connected_components(found.where("b is not null"), "a", "b", scratch)
