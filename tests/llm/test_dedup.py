@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tests.llm.helpers import components, docs_frame, words
-from tidemart.llm.common import Scratch, connected_components
+from tidemart.llm.common import Scratch, connected_components, maybe_in
 from tidemart.llm.embeddings import embedding_near_dedup
 from tidemart.llm.lines import drop_fuzzy_lines, line_dedup
 from tidemart.llm.simhash import covering_masks, drop_near_copies, fingerprint, simhash_near_dedup
@@ -281,3 +281,11 @@ def test_embedding_dedup_matches_brute_force(spark):
                      embedding_near_dedup(df, block_rows=block_rows).collect())
         assert got == want
     assert embedding_near_dedup(df.limit(0)).collect() == []
+
+
+def test_the_bitmap_filter_loses_nothing(spark):
+    rows = spark.range(5000).select(F.xxhash64("id").alias("x"), "id")
+    nodes = rows.where("id % 50 = 0").select("x")
+    kept = {r.id for r in maybe_in(rows, nodes, "x").collect()}
+    assert kept >= set(range(0, 5000, 50)) and len(kept) < 110
+    assert maybe_in(rows, nodes.limit(0), "x").count() == 0

@@ -73,6 +73,27 @@ class Scratch:
             p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+FILTER_BITS = 1 << 24  # a bitmap of 2 MB whatever the input
+
+
+def maybe_in(rows: DataFrame, nodes: DataFrame, col: str) -> DataFrame:
+    """Rows whose hashed BIGINT ``col`` may be in ``nodes``: all that are, and a few others.
+
+    The filter is a bitmap of ``FILTER_BITS`` bits over the lowest bits of the hash: its size is fixed, so it may be
+    broadcast. It keeps wide rows out of the shuffle of the exact join that follows.
+    """
+    def slot(c: Column) -> Column:
+        return F.pmod(c, F.lit(FILTER_BITS))
+
+    bits = nodes.groupBy(F.floor(slot(F.col(col)) / 32768).alias("_block")).agg(
+        F.bitmap_construct_agg(slot(F.col(col)) % 32768).alias("_bits"))
+    place = slot(F.col(col)) % 32768
+    byte = F.conv(F.hex(F.substring(F.col("_bits"), F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    found = rows.withColumn("_row_block", F.floor(slot(F.col(col)) / 32768)).join(
+        F.broadcast(bits), F.col("_row_block") == F.col("_block"))
+    return found.where(F.floor(byte / F.pow(F.lit(2), place % 8)) % 2 == 1).select(*rows.columns)
+
+
 def connected_components(edges: DataFrame, a: str, b: str, scratch: Scratch) -> DataFrame:
     """Distributed connected components: ``(node, component)`` for every node of an edge, component = smallest node.
 
@@ -121,10 +142,12 @@ def bucket_links(members: DataFrame, keys: list[str], node: str, verify, scratch
     """
     mark = F.xxhash64(*keys)  # node XOR mark: an order of the nodes that differs from bucket to bucket
     marked = F.col(node).bitwiseXOR(mark)
+    members = members.repartition(*keys)  # one shuffle for the aggregate and the join
     several = members.groupBy(*keys).agg(F.min(marked).alias("_lo"), F.max(marked).alias("_hi")).where("_lo != _hi")
     several = several.select(*keys, F.col("_lo").bitwiseXOR(mark).alias("p"))
     shared = scratch.table(members.join(several, keys).select(*keys, F.col(node).alias("x"), "p"), "shared")
-    stars = (shared.where("x != p").select(F.least("x", "p").alias("a"), F.greatest("x", "p").alias("b")).distinct())
+    stars = scratch.table(shared.where("x != p").select(F.least("x", "p").alias("a"), F.greatest("x", "p").alias("b"))
+                          .distinct(), "stars")
     links = scratch.table(verify(stars).select("a", "b"), "links")
     comp = scratch.table(connected_components(links, "a", "b", scratch), "components")
     known = shared.join(comp.withColumnRenamed("node", "x"), "x", "left").select(
@@ -134,5 +157,6 @@ def bucket_links(members: DataFrame, keys: list[str], node: str, verify, scratch
     left, right = rest.select(*keys, F.col("x").alias("a"), F.col("c").alias("ca")), rest.select(
         *keys, F.col("x").alias("b"), F.col("c").alias("cb"))
     cross = left.join(right, keys).where("a < b and ca != cb").select("a", "b").distinct()
+    cross = cross.join(stars, ["a", "b"], "left_anti")  # those are checked
     more = scratch.table(verify(cross).select("a", "b"), "cross")
     return connected_components(links.unionByName(more), "a", "b", scratch)
