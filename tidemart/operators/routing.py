@@ -16,6 +16,7 @@ from tidemart.operators.stateful import arrival_struct
 
 __all__ = [
     "build_envelopes", "filter_cdc", "after_fields", "status_transition", "cart_adds",
+    "order_details", "order_headers", "detail_activities", "detail_coupons", "refund_requests", "refunds_moved",
     "latest_rules", "route_by_rules", "apply_sink_columns",
 ]
 
@@ -75,6 +76,51 @@ def cart_adds(env: DataFrame, table: str = "cart_info") -> DataFrame:
                        F.col("after")["sku_id"].alias("sku_id"), qty.alias("sku_num"), F.col("ts_ms"))
 
 
+# Fields of the facts (fixed values: column names of the source's tables).
+DETAIL_FIELDS = ("id", "order_id", "sku_id", "sku_name", "create_time", "source_id", "source_type", "sku_num")
+DETAIL_AMOUNT_FIELDS = ("split_total_amount", "split_activity_amount", "split_coupon_amount")
+REFUND_FIELDS = ("id", "user_id", "order_id", "sku_id", "refund_type", "refund_num", "refund_amount",
+                 "refund_reason_type", "refund_reason_txt", "create_time")
+
+
+def order_details(env: DataFrame, insert_ops: Sequence[str] = ("c",), table: str = "order_detail") -> DataFrame:
+    """PRJ9: order-detail facts of inserted rows. The original amount is quantity x price, a product of two
+    DECIMAL(16,2) as text (null when either is no number). ``insert_ops=("c", "r")`` also takes snapshot rows (D16)."""
+    after = F.col("after")
+    num, price = after["sku_num"].try_cast("decimal(16,2)"), after["order_price"].try_cast("decimal(16,2)")
+    return filter_cdc(env, table=table, ops=insert_ops).select(
+        *[after[f].alias(f) for f in DETAIL_FIELDS], (num * price).cast("string").alias("split_original_amount"),
+        *[after[f].alias(f) for f in DETAIL_AMOUNT_FIELDS], F.col("source")["ts_ms"].alias("ts_ms"))
+
+
+def order_headers(env: DataFrame, insert_ops: Sequence[str] = ("c",), table: str = "order_info") -> DataFrame:
+    """PRJ10: headers of inserted orders."""
+    return after_fields(filter_cdc(env, table=table, ops=insert_ops), ["id", "user_id", "province_id"])
+
+
+def detail_activities(env: DataFrame, insert_ops: Sequence[str] = ("c",),
+                      table: str = "order_detail_activity") -> DataFrame:
+    """PRJ10: activities of order details."""
+    return after_fields(filter_cdc(env, table=table, ops=insert_ops),
+                        ["id", "order_detail_id", "activity_id", "activity_rule_id"])
+
+
+def detail_coupons(env: DataFrame, insert_ops: Sequence[str] = ("c",), table: str = "order_detail_coupon") -> DataFrame:
+    """PRJ10: coupons of order details."""
+    return after_fields(filter_cdc(env, table=table, ops=insert_ops), ["id", "order_detail_id", "coupon_id"])
+
+
+def refund_requests(env: DataFrame, insert_ops: Sequence[str] = ("c",), table: str = "order_refund_info") -> DataFrame:
+    """PRJ12, insert form: refund requests with the change's time."""
+    return after_fields(filter_cdc(env, table=table, ops=insert_ops), REFUND_FIELDS,
+                        keep=[F.col("source")["ts_ms"].alias("ts_ms")])
+
+
+def refunds_moved(env: DataFrame, to_status: str, table: str = "order_refund_info") -> DataFrame:
+    """PRJ12, update form: order, SKU and quantity of refunds whose status moved to ``to_status``."""
+    return after_fields(status_transition(env, table, "refund_status", to_status), ["order_id", "sku_id", "refund_num"])
+
+
 def latest_rules(rule_changes: DataFrame, order: Sequence[str] = ("ts_ms",)) -> DataFrame:
     """PRJ6 config state: the latest change per ``source_table``; deleted rules removed."""
     cols = [c for c in rule_changes.columns if c not in ("source_table",)]
