@@ -159,13 +159,17 @@ def _anchors(length: int, period: int):
             keys, rows, places = [], [], []
             for at, c in _chunks(frame, powers):
                 h = window_hashes(c.words, short)
-                ok = np.flatnonzero(cover[c.place[:len(h)] % period] & c.fits(short)[:len(h)])
+                # a document shorter than a window has no use for anchors
+                size = np.diff(c.first)[c.doc[:len(h)]]
+                ok = np.flatnonzero(cover[c.place[:len(h)] % period] & c.fits(short)[:len(h)] & (size >= length))
                 keys.append(h[ok])
                 rows.append(c.doc[ok] + at)
                 places.append(c.place[ok])
-            if not keys or not sum(map(len, keys)):
+            if not keys:
                 continue
             g, row, place = np.concatenate(keys), np.concatenate(rows), np.concatenate(places)
+            if not len(g):
+                continue
             head, repeated = _first_and_repeated(g)
             own = _mix(rid[row].view(np.uint64) + place.astype(np.uint64) * _ODD[3])
             yield pd.DataFrame({"g": np.where(head, g, own).view(np.int64), "rid": rid[row],
@@ -205,7 +209,7 @@ def _windows(length: int, period: int):
                 continue
             g, chk, row, place = (np.concatenate(x) for x in zip(*parts, strict=True))
             head, repeated = _first_and_repeated(g ^ chk)
-            yield pd.DataFrame({"g": g.view(np.int64)[head], "chk": (chk >> np.uint64(33)).astype(np.int32)[head],
+            yield pd.DataFrame({"g": g.view(np.int64)[head], "chk": (chk >> np.uint64(48)).astype(np.uint16).view(np.int16)[head],
                                 "rid": row[head], "at": 2 * place[head] + repeated[head]})
     return run
 
@@ -259,7 +263,7 @@ def substring_dedup(docs: DataFrame, length: int = 35, period: int = 21, id_col:
     anchors = shared.groupBy("rid").agg(F.collect_set(place).alias("anchors")).withColumnRenamed("rid", "ar")
     marked = d.join(anchors, F.col("rid") == F.col("ar"), "left").drop("ar")
     windows = marked.where("anchors is not null").select("rid", "doc_id", "text", "anchors").mapInPandas(
-        _windows(length, period), "g bigint, chk int, rid bigint, at bigint")
+        _windows(length, period), "g bigint, chk smallint, rid bigint, at bigint")
     lone = windows.withColumn("total", findings.over(Window.partitionBy("g", "chk"))).where("total = 1")
     single = lone.groupBy("rid").agg(F.collect_set(place).alias("single")).withColumnRenamed("rid", "sr")
     out = marked.join(single, F.col("rid") == F.col("sr"), "left").select("doc_id", "text", "anchors", "single")
