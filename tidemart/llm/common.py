@@ -126,7 +126,8 @@ def connected_components(edges: DataFrame, a: str, b: str, scratch: Scratch) ->
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
 
 
-def bucket_links(members: DataFrame, keys: list[str], node: str, verify, scratch: Scratch) -> DataFrame:
+def bucket_links(members: DataFrame, keys: list[str], node: str, verify, scratch: Scratch,
+                 one_shuffle: bool = False) -> DataFrame:
     """Components of nodes that share a bucket and pass ``verify``, without listing all pairs of a bucket.
 
     ``members`` has one row per (bucket ``keys``, BIGINT ``node``); ``verify(pairs)`` takes distinct rows ``(a, b)`` of
@@ -139,10 +140,15 @@ def bucket_links(members: DataFrame, keys: list[str], node: str, verify, scratch
 
     No bucket is capped and no candidate dropped: each pair of a bucket is checked, or both ends are already joined.
     Returns ``(node, component)`` of the nodes with a link.
+
+    The sizes of buckets are partial aggregates joined back, so a hot bucket is combined before the shuffle and its
+    join partition can be split. ``one_shuffle`` deals the members by bucket once for both, which halves the disk but
+    keeps a bucket's members in one task.
     """
     mark = F.xxhash64(*keys)  # node XOR mark: an order of the nodes that differs from bucket to bucket
     marked = F.col(node).bitwiseXOR(mark)
-    members = members.repartition(*keys)  # one shuffle for the aggregate and the join
+    if one_shuffle:
+        members = members.repartition(*keys)
     several = members.groupBy(*keys).agg(F.min(marked).alias("_lo"), F.max(marked).alias("_hi")).where("_lo != _hi")
     several = several.select(*keys, F.col("_lo").bitwiseXOR(mark).alias("p"))
     shared = scratch.table(members.join(several, keys).select(*keys, F.col(node).alias("x"), "p"), "shared")
