@@ -178,6 +178,21 @@ def test_line_dedup_repeated_rows_null_ids_and_empty_table(spark):
     assert line_dedup(docs_frame(spark, [])).collect() == []
 
 
+def test_line_dedup_finds_short_lines_at_the_threshold(spark):
+    rng, rows = random.Random(3), []
+    for t in range(1, 11):  # 12 to 48 characters, and t more: 4t of 5t shingles in common
+        for _ in range(400):
+            first = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(8 + 4 * t))
+            rows.append((len(rows), first + "\n" + first + "".join(rng.choice("0123456789") for _ in range(t))))
+    for _, text in rows:
+        a, b = map(line_sets, text.split("\n"))
+        assert len(a & b) == 0.8 * len(a | b)
+    got = {r.doc_id: r.removed_lines for r in line_dedup(docs_frame(spark, rows)).collect()}
+    missed = [got[i] != "1" for i, _ in rows]
+    print("missed of 400 by size of the union / 5:", [sum(missed[k:k + 400]) for k in range(0, 4000, 400)])
+    assert sum(missed) < 32 and sum(missed[:800]) < 10  # 8 bands of 3 independent rows: 12.8 and 2.6 are expected
+
+
 # ---- substrings ---------------------------------------------------------------------
 def test_difference_covers():
     for p, d in DIFFERENCE_COVERS.items():
