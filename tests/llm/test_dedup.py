@@ -11,6 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tests.llm.helpers import components, docs_frame, words
+from tidemart.llm import embeddings
 from tidemart.llm.common import Scratch, connected_components, maybe_in
 from tidemart.llm.embeddings import embedding_near_dedup
 from tidemart.llm.lines import drop_fuzzy_lines, line_dedup
@@ -298,6 +299,29 @@ def test_embedding_dedup_matches_brute_force(spark):
     assert embedding_near_dedup(df.limit(0)).collect() == []
 
 
+def test_embedding_batches_stay_small_with_a_hot_bucket(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    hot = rng.standard_normal(24)
+    vectors = [hot + rng.standard_normal(24) * 0.002 for _ in range(300)] + list(rng.standard_normal((600, 24)))
+    x = np.stack(vectors) / np.linalg.norm(vectors, axis=1)[:, None]
+    want = {i: int(n) - 1 for i, n in enumerate((x @ x.T >= 0.98).sum(axis=1))}
+    real = embeddings._compare
+
+    def bounded(threshold):
+        run = real(threshold)
+
+        def counted(key: tuple, frame):
+            assert len(frame) <= 20_000, f"{len(frame)} rows in one batch"
+            return run(key, frame)
+        return counted
+
+    monkeypatch.setattr(embeddings, "_compare", bounded)
+    df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(vectors)],
+                               "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: r.n_links for r in embedding_near_dedup(df, block_rows=10).collect()}
+    assert got == want and want[0] == 299
+
+
 def test_the_bitmap_filter_loses_nothing(spark):
     rows = spark.range(5000).select(F.xxhash64("id").alias("x"), "id")
     nodes = rows.where("id % 50 = 0").select("x")

@@ -24,7 +24,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 __all__ = ["embedding_near_dedup", "hyperplanes"]
 
 
-BATCH_ROWS = 10_000  # rows of groups handed to Python together, on average
+BATCH_ROWS = 10_000  # rows of small groups handed to Python together, on average
 
 
 def hyperplanes(tables: int, bits: int, dim: int, seed: int) -> np.ndarray:
@@ -121,8 +121,9 @@ def embedding_near_dedup(vectors: DataFrame, threshold: float = 0.98, tables: in
     A null id is never the smallest of a component that has another id. Empty table: empty result. Vectors of
     different length never link. Extra columns are ignored.
 
-    Scale: a row goes to one bucket per table and label; large buckets are cut into pairs of blocks, so no task gets
-    more than about twice ``block_rows`` rows. Groups return counts per vector and a spanning forest, never all
+    Scale: a row goes to one bucket per table and label; large buckets are cut into pairs of blocks, whose groups
+    reach Python one by one with about twice ``block_rows`` rows at most; smaller buckets come in batches of about
+    ``BATCH_ROWS`` rows, however the rows are spread. Groups return counts per vector and a spanning forest, never all
     pairs. At far larger tables raise ``bits`` and ``tables`` together.
     """
     scratch = Scratch(vectors.sparkSession, "embeddings")
@@ -143,9 +144,12 @@ def embedding_near_dedup(vectors: DataFrame, threshold: float = 0.98, tables: in
                            F.posexplode("sign_keys").alias("t", "k"))
     keys = ["label", "dim", "t", "k"]
     groups = block_pairs(members, keys, F.xxhash64("node", "t"), block_rows)
-    # whole groups are handed to Python in batches, since most groups are a few rows
+    # whole buckets are handed to Python in batches, since most are a few rows; together they have no more rows than
+    # there are members. A bucket that is cut repeats its rows, so its groups, of full blocks, go one by one.
     batches = max(1, -(-nodes.count() * tables // BATCH_ROWS))
-    groups = groups.withColumn("batch", F.pmod(F.xxhash64(*keys, "bi", "bj"), F.lit(batches)))
+    group = F.xxhash64(*keys, "bi", "bj")
+    groups = groups.withColumn("batch", F.when(F.col("blocks") > 1, group).otherwise(F.pmod(group, F.lit(batches))))
+    groups = groups.drop("blocks")
     found = scratch.table(groups.groupBy("batch").applyInPandas(
         _compare(threshold), "a string, b string, links bigint"), "found")
     links = found.where("b is null").groupBy(F.col("a").alias("ln")).agg(F.sum("links").alias("links"))
