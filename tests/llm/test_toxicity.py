@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from tests.llm.helpers import docs_frame
 from tidemart.llm import toxicity as tox
@@ -95,6 +96,13 @@ def test_training_never_sees_held_out_rows(spark):
     assert all(i % 2 == k for i, k in zip(ids, y, strict=True))
 
 
+def test_training_learns_from_6000_rows_by_default(spark):
+    rows = [(i, f"text {i}") for i in range(10_000)]
+    labels = spark.range(10_000).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("toxic"))
+    texts, y = tox.training_sample(docs_frame(spark, rows), labels, tox.Settings())
+    assert len(texts) == 6000 and sum(y) == 3000
+
+
 def test_training_without_labels_or_words():
     s = tox.Settings(epochs=1)
     for texts, labels in (([], []), (["", None], [0, 1]), (["a b"], [1])):
