@@ -2,8 +2,8 @@
 
 A word's input is its word embedding (hashed vocabulary) beside the scaled sum of the embeddings of its byte 3-grams
 and 5-grams, borders included. A window of words runs through a GRU in both directions; attention pools the states; a logistic output
-scores the window. A document's score is that of its most toxic window: all overlapping windows of the whole text are
-scored. Labels exist per document only, so training is by multiple instances: of a toxic document the window that the
+scores the window. A document's score is that of its most toxic window: windows start at every
+``stride``-th word of the whole text, and the last one ends with it. Labels exist per document only, so training is by multiple instances: of a toxic document the window that the
 model finds most toxic counts as toxic, of a clean one its most toxic and some random windows count as clean. The first
 dimension of the embeddings starts from how surely a word or gram is more frequent in toxic training documents, so
 that the first windows are well chosen even with few labels.
@@ -100,8 +100,8 @@ class _Text:
         return out
 
     def windows(self, s: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """``(distinct-word places (n, window), present (n, window), document)`` of all overlapping windows; the
-        last window of a document ends with it."""
+        """``(distinct-word places (n, window), present (n, window), document)`` of the windows at every
+        ``stride``-th word; the last window of a document ends with it."""
         starts, stops, docs = [], [], []
         for d in range(len(self.first) - 1):
             a, b = int(self.first[d]), int(self.first[d + 1])
