@@ -128,7 +128,9 @@ def connected_components(edges: DataFrame, a: str, b: str, scratch: Scratch) ->
 
 def bucket_links(members: DataFrame, keys: list[str], node: str, verify, scratch: Scratch,
                  one_shuffle: bool = False) -> DataFrame:
-    """Components of nodes that share a bucket and pass ``verify``, without listing all pairs of a bucket.
+    """Components of nodes that share a bucket and pass ``verify``, without listing pairs within a component.
+
+    A bucket of n members that do not link still lists about n * n / 2 pairs in step 2.
 
     ``members`` has one row per (bucket ``keys``, BIGINT ``node``); ``verify(pairs)`` takes distinct rows ``(a, b)`` of
     nodes and keeps those that truly link. Two exact steps:
