@@ -135,3 +135,95 @@ SELECT v.vec_id, (SELECT count(*) FROM l WHERE l.a = v.r)::BIGINT AS n_links,
        v.vec_id IS NOT DISTINCT FROM least(v.vec_id, coalesce((SELECT min(w.vec_id) FROM reach JOIN v w ON w.r = reach.o WHERE reach.r = v.r), v.vec_id)) AS kept
 FROM v
 """
+
+_HEX = "coalesce(strlen({0}::VARCHAR)::VARCHAR || ':' || {0}::VARCHAR, '-')"
+_RECORD = " || ".join(_HEX.format(c) for c in ("doc_id", "source", "lang", "n_chars"))
+
+#: CRC-32 (unsigned) of an ASCII or Latin-1 list of byte values, by the usual table.
+_CRC_TABLE = """crc AS (SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+  lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tab)"""
+_CRC = """xor(4294967295::BIGINT, list_reduce(list_concat([4294967295::BIGINT], {}),
+  lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])))"""
+
+OP12 = """
+WITH RECURSIVE """ + _CRC_TABLE + """,
+d AS (
+  SELECT doc_id, source, sha256(""" + _RECORD + " || " + _HEX.format("text") + """) AS leaf,
+         CASE WHEN """ + _CRC.format("list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)") + """ % 5 = 0
+              THEN sha256(""" + _RECORD + " || " + _HEX.format(
+                  "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')") + """) END AS tampered
+  FROM documents, crc),
+leaves AS (
+  SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS g, count(*) OVER (PARTITION BY source) AS n,
+         row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM d),
+lower_tree(k, g, pos, n, node) AS (
+  SELECT 0, g, pos, n, leaf FROM leaves
+  UNION ALL
+  SELECT any_value(k) + 1, g, pos // 16, (any_value(n) + 15) // 16, sha256(string_agg(node, '' ORDER BY pos))
+  FROM lower_tree WHERE n > 1 GROUP BY g, pos // 16),
+subroots AS (SELECT g, k, node FROM lower_tree WHERE n = 1),
+upper_tree(k, g, pos, n, node) AS (
+  SELECT 0, 0, g, (SELECT count(*) FROM subroots), node FROM subroots
+  UNION ALL
+  SELECT any_value(k) + 1, 0, pos // 16, (any_value(n) + 15) // 16, sha256(string_agg(node, '' ORDER BY pos))
+  FROM upper_tree WHERE n > 1 GROUP BY pos // 16),
+tree AS (
+  SELECT 0 AS part, * FROM lower_tree WHERE n > 1 UNION ALL SELECT 1, * FROM upper_tree WHERE n > 1),
+runs AS (
+  SELECT part, k, g, pos // 16 AS run, list(node ORDER BY pos) AS nodes FROM tree GROUP BY part, k, g, pos // 16),
+step AS (
+  SELECT l.g AS doc_g, l.pos AS doc_pos, r.part, r.k, r.nodes, (l.pos // (16 ** r.k)::BIGINT) % 16 + 1 AS slot
+  FROM leaves l JOIN runs r ON r.part = 0 AND r.g = l.g AND r.run = l.pos // (16 ** (r.k + 1))::BIGINT
+  UNION ALL
+  SELECT l.g, l.pos, r.part, r.k, r.nodes, (l.g // (16 ** r.k)::BIGINT) % 16 + 1
+  FROM leaves l JOIN runs r ON r.part = 1 AND r.run = l.g // (16 ** (r.k + 1))::BIGINT),
+path AS (
+  SELECT doc_g, doc_pos, list({'l': array_to_string(nodes[:slot - 1], ''), 'r': array_to_string(nodes[slot + 1:], '')}
+                              ORDER BY part, k) AS p FROM step GROUP BY doc_g, doc_pos),
+fold(doc_g, doc_pos, i, node) AS (
+  SELECT g, pos, 1, coalesce(tampered, leaf) FROM leaves
+  UNION ALL
+  SELECT f.doc_g, f.doc_pos, i + 1, sha256(p[i].l || node || p[i].r)
+  FROM fold f JOIN path USING (doc_g, doc_pos) WHERE i <= len(p)),
+folded AS (SELECT doc_g, doc_pos, arg_max(node, i) AS node FROM fold GROUP BY doc_g, doc_pos),
+top AS (SELECT node AS root FROM upper_tree WHERE n = 1)
+SELECT l.doc_id, l.leaf, s.node AS subroot, top.root,
+       sha256(coalesce(array_to_string(list_transform(p, lambda x: x.l || x.r), ''), '')) AS proof_sha256,
+       f.node AS folded_root, f.node = top.root AS verified
+FROM leaves l JOIN subroots s ON s.g = l.g CROSS JOIN top
+JOIN folded f ON f.doc_g = l.g AND f.doc_pos = l.pos LEFT JOIN path ON path.doc_g = l.g AND path.doc_pos = l.pos
+"""
+
+OP13 = r"""
+WITH RECURSIVE """ + _CRC_TABLE + r""",
+run AS (
+  SELECT doc_id, translate(r, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS r, count(*) AS c
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')) AS r FROM documents)
+  WHERE length(r) >= 5 GROUP BY ALL),
+hashed AS (
+  SELECT r, c, """ + _CRC.format("""list_transform(string_split(coalesce(doc_id::VARCHAR, '') || ':', ''), lambda x: ascii(x)::BIGINT)
+    || flatten(list_transform(string_split(r, ''), lambda x: CASE WHEN unicode(x) < 128 THEN [unicode(x)::BIGINT]
+       ELSE [(192 + (unicode(x) >> 6))::BIGINT, (128 + (unicode(x) & 63))::BIGINT] END))""") + r""" AS h FROM run, crc),
+vocab AS (
+  SELECT CASE WHEN h % 97 = 0 THEN substr(r, 1, h % length(r)) || substr(r, h % length(r) + 2) ELSE r END AS word,
+         sum(c)::BIGINT AS n
+  FROM hashed GROUP BY 1 HAVING length(word) >= 5 AND sum(c) >= 3),
+holes AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM vocab),
+cuts AS (SELECT DISTINCT word, n, substr(word, 1, i - 1) || substr(word, i + 1) AS cut FROM holes),
+masks AS (SELECT word, n, i, substr(word, 1, i - 1) || '?' || substr(word, i + 1) AS mask FROM holes),
+near AS (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM masks a JOIN masks b ON a.mask = b.mask AND a.word <> b.word
+  UNION ALL SELECT c.word, v.word, v.n FROM cuts c JOIN vocab v ON c.cut = v.word
+  UNION ALL SELECT v.word, c.word, c.n FROM cuts c JOIN vocab v ON c.cut = v.word),
+best AS (
+  SELECT word, count(*) AS n_near, min({'o': -other_n, 'w': other}) AS b FROM near GROUP BY word),
+forms AS (
+  SELECT v.word, v.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN -b.o >= 2 * v.n THEN b.w END AS form,
+         CASE WHEN -b.o >= 2 * v.n THEN -b.o END::BIGINT AS form_n
+  FROM vocab v LEFT JOIN best ON best.word = v.word),
+walk(word, spot, i) AS (
+  SELECT word, word, 0 FROM vocab
+  UNION ALL SELECT w.word, f.form, i + 1 FROM walk w JOIN forms f ON f.word = w.spot WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, r.root, f.n, f.n_near, f.form_n
+FROM forms f JOIN (SELECT word, arg_max(spot, i) AS root FROM walk GROUP BY word) r ON r.word = f.word
+"""

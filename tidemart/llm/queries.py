@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import archives, chat, embeddings, lines, mixing, packing, quality, simhash, substrings, toxicity
-from tidemart.llm.oracles import OP2, OP6, OP7, OP8, OP9, OP10
+from tidemart.llm import (archives, bpe, chat, embeddings, lines, merkle, mixing, packing, quality, simhash,
+                          spelling, substrings, toxicity)
+from tidemart.llm.oracles import OP2, OP6, OP7, OP8, OP9, OP10, OP12, OP13
 
 __all__ = ["QUERIES", "ORACLE", "TOKENIZER"]
 
 TOKENIZER = "byte_bpe_50k.json"
+RANKS = "byte_bpe_multi_50k.tiktoken"
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
 
 
@@ -75,6 +77,38 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.embedding_near_dedup(table(spark, sf_dir, "embeddings"))
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks, pattern = public_tokenizers.path(RANKS), public_tokenizers.PATTERN
+    coded = bpe.encode_texts(table(spark, sf_dir, "documents"), ranks, pattern, keep=["doc_id"])
+    both = bpe.decode_ids(coded, ranks, pattern)
+    ids = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return both.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+
+    def leaf(text: Column) -> Column:
+        return merkle.record_digest(F.col("doc_id"), F.col("source"), F.col("lang"), F.col("n_chars"), text)
+
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0,
+                      leaf(F.translate("text", spelling.UPPER, spelling.LOWER)))
+    signed = merkle.merkle_manifest(docs, leaf(F.col("text")), carry={"tampered": tampered})
+    signed = signed.withColumn("folded", merkle.fold_path(F.coalesce("tampered", "leaf"), F.col("path")))
+    signed = signed.withColumn("proof", merkle.path_digest(F.col("path")))
+    return signed.select("doc_id", *[F.lower(F.hex(raw)).alias(name) for name, raw in (
+        ("leaf", "leaf"), ("subroot", "subroot"), ("root", "root"), ("proof_sha256", "proof"),
+        ("folded_root", "folded"))], (F.col("folded") == F.col("root")).alias("verified"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocab = spelling.count_words(table(spark, sf_dir, "documents"), min_length=5, min_count=3, misspell_every=97)
+    return spelling.spelling_groups(vocab)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -83,6 +117,6 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_toxicity, op2_quality_rules, op3_best_fit_packing, op4_simhash, op5_line_dedup, op6_chat, op7_mixing,
-    op8_substring_dedup, op9_warc, op10_embedding_dedup, pipeline)}
+    op8_substring_dedup, op9_warc, op10_embedding_dedup, op11_byte_bpe, op12_merkle, op13_spelling, pipeline)}
 ORACLE: dict[str, str] = {"op2_quality_rules": OP2, "op6_chat": OP6, "op7_mixing": OP7, "op8_substring_dedup": OP8,
-                          "op9_warc": OP9, "op10_embedding_dedup": OP10}
+                          "op9_warc": OP9, "op10_embedding_dedup": OP10, "op12_merkle": OP12, "op13_spelling": OP13}
