@@ -182,20 +182,21 @@ def new_visitor_fix(df: DataFrame, key: str, order, date_col: str, is_new_col: s
     return joined.select(*cols)
 
 
-def visit_flags(df: DataFrame, key: str, order, date_col: str, last_page_col: str) -> DataFrame:
-    """STA2: ``uv_ct`` = 1 when the date differs from the key's previous record (or none);
+def visit_flags(df: DataFrame, key: str, order, date_col: str, last_page_col: str, ranges: int | None = None) -> DataFrame:
+    """STA2: ``uv_ct`` = 1 when the date differs from that of the key's previous record (or there is none);
     ``sv_ct`` = 1 when there is no last page; ``pv_ct`` = 1.
 
-    Arrival starts with the record's time and ``date_col`` is the date of that time, so "the date differs from the
-    previous record's" is "first row of its (key, date)": a partial aggregate joined back on (key, date), where no
-    key is sorted in one task. Rows must be totally ordered by ``order``.
+    "Previous" is by arrival: ``order`` need not follow time, and a date that comes back counts again. Rows of equal
+    arrival follow their other columns, so exactly one of them is the first. A null date is a value of its own.
+    Rows are cut into ranges of key and arrival (:mod:`tidemart.operators.scan`), so a hot device is in no single task.
     """
-    order = _cols(order)
-    arrival = arrival_struct(order)
-    first = df.groupBy(F.col(key).alias("_k"), F.col(date_col).alias("_d")).agg(F.min(arrival).alias("_first"))
-    flagged = df.join(first, F.col(key).eqNullSafe(F.col("_k")) & F.col(date_col).eqNullSafe(F.col("_d")), "left")
+    from tidemart.operators.scan import ordered_rows, previous_row
+
+    last = F.struct(F.col(date_col).alias("d"))  # tells a null date from no record
+    rows = ordered_rows(df.withColumn("_day", last), key, order, ranges)
+    flagged = previous_row(rows, key, ["_day"])
     lp = F.col(last_page_col)
     return flagged.select(
-        *df.columns, (arrival == F.col("_first")).cast("bigint").alias("uv_ct"),
+        *df.columns, (F.col("prev__day").isNull() | ~F.col("prev__day.d").eqNullSafe(F.col(date_col))).cast("bigint").alias("uv_ct"),
         F.when(lp.isNull() | (lp == ""), 1).otherwise(0).cast("bigint").alias("sv_ct"),
         F.lit(1).cast("bigint").alias("pv_ct"))

@@ -9,6 +9,7 @@ from tidemart.functions.tokenize import tokenize, tokenize_cjk
 from tidemart.operators.joins import EnrichSpec, enrich
 from tidemart.operators.logs import normalize_logs, search_keywords
 from tidemart.operators.parse import parse_json_records
+from tidemart.operators.scan import running_profile_records
 from tidemart.operators.stateful import first_per_key, new_visitor_fix, retract_dedupe, retract_dedupe_ttl, visit_flags
 from tidemart.operators.windows import daily_first, last_per_window, running_profile, window_aggregate
 from tidemart.plans.registry import query
@@ -281,6 +282,32 @@ def user_running_profile(spark, sf_dir):
     return out
 
 
+_PROFILE_FIELDS = ("os", "ch", "md", "ba", "keyword")
+
+
+@query("user_profile_records", f"""
+WITH p AS ({PAGE_LOG_SQL}),
+n AS (SELECT event_id, coalesce(nullif(uid, ''), '-1') AS uid, ts, split_part(os, ' ', 1) AS os, ch, md, ba,
+             CASE WHEN item_type = 'keyword' THEN item END AS keyword
+      FROM p WHERE has_page AND event_type <> 'error'),
+r AS (SELECT uid, event_id, row_number() OVER w AS page_count,
+             {", ".join(f"list({f}) FILTER (WHERE {f} IS NOT NULL) OVER w AS {f}" for f in _PROFILE_FIELDS)}
+      FROM n WINDOW w AS (PARTITION BY uid ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+SELECT uid, event_id, CAST(page_count AS BIGINT) AS page_count,
+       {", ".join(f"coalesce(array_to_string(list_sort(list_distinct({f})), ','), '') AS {f}_set" for f in _PROFILE_FIELDS)}
+FROM r
+""")
+def user_profile_records(spark, sf_dir):
+    """AGG7, one row out per row in: running page count and running distinct os/ch/md/ba/keyword sets of every page
+    record of a user in arrival order, by a prefix scan over ranges. The anonymous user '-1' is the hot key."""
+    p = page_log(spark, sf_dir).where("has_page and event_type <> 'error'")
+    flat = p.select("event_id", F.coalesce(F.nullif("uid", F.lit("")), F.lit("-1")).alias("uid"), "ts",
+                    F.split_part("os", F.lit(" "), F.lit(1)).alias("os"), "ch", "md", "ba",
+                    F.when(F.col("item_type") == "keyword", F.col("item")).alias("keyword"))
+    out = running_profile_records(flat, "uid", ["ts", "event_id"], list(_PROFILE_FIELDS))
+    return out.select("uid", "event_id", "page_count", *[f"{f}_set" for f in _PROFILE_FIELDS])
+
+
 # Test-data segmentation dictionary for the search words (config, not source-system values).
 SEARCH_DICTIONARY = ["匡威", "帆布鞋", "衬衫", "心相印", "纸抽", "扫地机器人", "拯救者", "笔记本", "小米", "手机", "联想",
                      "电脑", "维生素"]
