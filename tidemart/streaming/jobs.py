@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,11 +22,13 @@ from tidemart.operators.parse import parse_json_records, route_pages, split_pars
 from tidemart.operators.routing import apply_sink_columns, latest_rules, route_by_rules
 from tidemart.operators.windows import with_window_cols
 from tidemart.schemas import DIM_RULE, ENVELOPE, PAGE_LOG
-from tidemart.streaming.processors import STATE_PROVIDER, NewVisitorFix, RetractDedupe
+from tidemart.streaming.processors import (STATE_PROVIDER, HoldForRules, LastPerProcessingWindow, NewVisitorFix,
+                                           PairDedupe, RetractDedupe, RunningProfile)
 from tidemart.streaming.sinks import dim_batch_writer
 
 __all__ = ["enable_state_store", "with_state", "log_cleaning_streams", "retract_stream",
-           "province_window_stream", "route_cdc_batch"]
+           "province_window_stream", "route_cdc_batch", "route_cdc_stream", "routed_batch_writer", "pair_dedupe_stream",
+           "last_per_processing_window", "running_profile_stream"]
 
 
 def enable_state_store(spark: SparkSession) -> None:
@@ -73,12 +76,14 @@ def province_window_stream(details: DataFrame, provinces: DataFrame, window: str
     The distinct order count is exact and bounded per state row: a first
     windowed aggregate per (window, province, order) feeds a second per
     (window, province) (chained stateful aggregation in append mode), instead
-    of collecting a set of order ids per window.
+    of collecting a set of order ids per window. An order counts where its
+    signs sum to more than zero: one whose lines were all retracted, because
+    they moved to another province or window, is gone from the old one.
     """
     signed = retract_stream(details, "id", ["ts_ms"], ["split_total_amount"])
     timed = signed.withColumn("et", F.timestamp_millis("ts_ms")).withWatermark("et", delay)
     per_order = (timed.groupBy(F.window("et", window).alias("window"), "province_id", "order_id")
-                 .agg(F.sum("split_total_amount").alias("amount")))
+                 .agg(F.sum("split_total_amount").alias("amount"), F.sum("sign").alias("lines")).where("lines > 0"))
     per_prov = (per_order.groupBy("window", "province_id")
                 .agg(F.sum("amount").alias("order_amount"), F.count(F.lit(1)).alias("order_count")))
     decorated = with_window_cols(per_prov, "window", tz)
@@ -118,6 +123,63 @@ def route_cdc_batch(batch: DataFrame, rules_path: str, dims_out: str, facts_out:
         env.unpersist()
 
 
+ROUTED = ("pos bigint, source_table string, value string, sink_table string, sink_family string, "
+          "sink_columns string, sink_row_key string")
+
+
+def route_cdc_stream(envelopes: DataFrame, rule_changes: DataFrame, slots: int = 32, wait_ms: int = 5000) -> DataFrame:
+    """PRJ6/STA9 on streams: every change of the feed with the rule that holds at its position (``ROUTED``; ``value`` is
+    the envelope as JSON, ``sink_table`` is null for facts).
+
+    ``envelopes`` has the envelope's columns, ``rule_changes`` the rule's with ``op`` and ``ts_ms``; positions are
+    ``ts_ms``. The feed is dealt over ``slots`` by table and record id, so the changes of a record stay in order and a hot
+    table spreads; the rules, one per source table, are copied to every slot and folded change by change in its state.
+    Rows that come before any rule wait in the state and leave in order once rules are there. A replayed micro-batch
+    starts from the state of the batch before it and gives the same rows.
+    """
+    rid = F.coalesce(F.col("after")["id"], F.col("before")["id"])
+    feed = envelopes.select(
+        F.pmod(F.xxhash64(F.col("source")["table"], rid), F.lit(slots)).cast("int").alias("slot"), F.lit(False).alias("is_rule"),
+        F.coalesce("ts_ms", F.lit(0)).cast("bigint").alias("pos"), "op", F.col("source")["table"].alias("source_table"),
+        F.to_json(F.struct(*[f.name for f in ENVELOPE.fields])).alias("value"),
+        *[F.lit(None).cast("string").alias(c) for c in HoldForRules.RULE])
+    rules = rule_changes.select(
+        F.explode(F.sequence(F.lit(0), F.lit(slots - 1))).alias("slot"), F.lit(True).alias("is_rule"),
+        F.coalesce("ts_ms", F.lit(0)).cast("bigint").alias("pos"), "op", "source_table", F.lit(None).cast("string").alias("value"),
+        *HoldForRules.RULE)
+    return with_state(feed.unionByName(rules), "slot", HoldForRules(wait_ms), ROUTED, "ProcessingTime")
+
+
+def routed_batch_writer(dims_out: str, facts_out: str):
+    """SNK5 for :func:`route_cdc_stream`: merge a micro-batch's dimension rows cell by cell into
+    ``dims_out/<sink_table>`` keyed by the rule's ``sink_row_key``, write the facts to ``facts_out/batch_id=N``.
+
+    The driver sees the sink tables of the batch, a few names. A replayed batch replaces what it wrote.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        env = batch.withColumn("env", F.from_json("value", ENVELOPE)).select("*", "env.*").persist()
+        try:
+            env.where("sink_table is null and after is not null").select(*ENVELOPE.names).write.mode("overwrite").json(
+                f"{facts_out.rstrip('/')}/batch_id={batch_id}")
+            image = F.when(F.col("op") == "d", F.col("before")).otherwise(F.col("after"))
+            keyed = env.where("sink_table is not null").withColumn(
+                "row_key", F.try_element_at(image, F.col("sink_row_key"))).where("row_key is not null")
+            sinks: dict[str, list[str]] = {}
+            for r in keyed.select("sink_table", "sink_columns").distinct().collect():
+                cells = sinks.setdefault(r.sink_table, [])
+                cells += [c for c in (x.strip() for x in r.sink_columns.split(",")) if c not in cells]
+            for name, cells in sinks.items():
+                wanted = F.split(F.regexp_replace("sink_columns", r"\s", ""), ",")
+                rows = keyed.where(F.col("sink_table") == name).select("row_key", "op", "ts_ms", *[
+                    F.when(F.array_contains(wanted, c), F.try_element_at("after", F.lit(c))).alias(c) for c in sorted(cells)])
+                dim_batch_writer(f"{dims_out.rstrip('/')}/{name}", "row_key", ["ts_ms"], sorted(cells))(rows, batch_id)
+        finally:
+            env.unpersist()
+
+    return write
+
+
 def order_detail_wide_stream(details: DataFrame, headers: DataFrame, activities: DataFrame, coupons: DataFrame,
                              bound: str = "10 seconds", delay: str = "5 seconds") -> DataFrame:
     """JON1/JON2 on streams: detail ⋈ header (inner), ⟕ activity, ⟕ coupon, each side watermarked
@@ -206,14 +268,31 @@ def keyword_window_stream(pages: DataFrame, dictionary: Sequence[str], window: s
     return with_window_cols(agg, "window", tz)
 
 
+def pair_dedupe_stream(df: DataFrame, a: str, b: str, order: Sequence[str], ttl_ms: int | None = None,
+                       slots: int = 200) -> DataFrame:
+    """STA8 on a stream, exact: the first record of each pair ``(a, b)``. State is keyed by the pair inside ``slots`` hash
+    slots, so a hot value of ``a`` or ``b`` spreads; with ``ttl_ms`` a pair may come again that long after it was seen."""
+    dealt = df.withColumn("_slot", F.pmod(F.xxhash64(a, b), F.lit(slots)).cast("int"))
+    out = with_state(dealt, "_slot", PairDedupe(order, a, b, ttl_ms), dealt.schema, "ProcessingTime" if ttl_ms else "None")
+    return out.drop("_slot")
+
+
+def running_profile_stream(df: DataFrame, key: str, order: Sequence[str], fields: Sequence[str], sep: str = ",") -> DataFrame:
+    """AGG7 on a stream: every row with its key's running ``page_count`` and distinct ``<field>_set`` so far."""
+    schema = T.StructType([*df.schema.fields, T.StructField("page_count", T.LongType()),
+                           *[T.StructField(f"{f}_set", T.StringType()) for f in fields]])
+    return with_state(df, key, RunningProfile(order, fields, sep), schema)
+
+
 def last_per_processing_window(df: DataFrame, key: str, size: str = "2 minutes", order: Sequence[str] = ("ts",),
                                tz: str = DEFAULT_TZ) -> DataFrame:
-    """AGG6 on a stream: the newest record per key in each tumbling *processing-time* window
-    (``pt = current_timestamp()`` with a zero-delay watermark)."""
-    from tidemart.operators.windows import last_per_window
-
-    timed = df.withColumn("pt", F.current_timestamp()).withWatermark("pt", "0 seconds")
-    return last_per_window(timed, key, "pt", size, list(order), tz)
+    """AGG6 on a stream: the newest record per key in each tumbling *processing-time* window, with ``stt``, ``edt`` and
+    ``cur_date``. A timer closes the window at its end, without waiting for more input."""
+    schema = T.StructType([*df.schema.fields, T.StructField("window_start", T.LongType()), T.StructField("window_end", T.LongType())])
+    size_ms = int(pd.Timedelta(size) / pd.Timedelta(milliseconds=1))
+    out = with_state(df, key, LastPerProcessingWindow(order, size_ms, df.schema), schema, "ProcessingTime")
+    window = F.struct(F.timestamp_millis("window_start").alias("start"), F.timestamp_millis("window_end").alias("end"))
+    return with_window_cols(out.withColumn("window", window).drop("window_start", "window_end"), "window", tz)
 
 
 def age_inference_stream(order_tags: DataFrame, keyword_tags: DataFrame, bound_ms: int = 50 * 86_400_000,
