@@ -3,6 +3,7 @@ idempotent foreachBatch writers, dimension tables, Kafka option builders."""
 
 import json
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -17,7 +18,9 @@ from tidemart.sources.dims import (create_table_if_absent, drop_namespace, drop_
 from tidemart.sources.files import read_json_lines, read_weight_file
 from tidemart.sources.jdbc import lower_camel
 from tidemart.streaming.jobs import route_cdc_batch
-from tidemart.streaming.sinks import (day_bucket_writer, dim_batch_writer, kafka_sink_options, olap_batch_writer,
+from tidemart.sources.dims import merge_cells
+from tidemart.streaming.changelog import version_of
+from tidemart.streaming.sinks import (compact_dim_table, day_bucket_writer, dim_batch_writer, kafka_sink_options, olap_batch_writer,
                                       read_dim_table, read_upserted, to_kafka_value, upsert_batch_writer)
 from tidemart.streaming.sources import kafka_options
 
@@ -117,15 +120,12 @@ def changes(spark, *rows):
 
 def test_dim_writer_merges_replays_and_empties(spark, scratch):
     path = os.path.join(scratch, "dim")
-    write = dim_batch_writer(path, "k", ["seq"], ["v"], buckets=4)
+    write = dim_batch_writer(path, "k", ["seq"], ["v"])
     assert dim_rows(spark, path) == []
     write(changes(spark, *[(k, 1, "c", f"v{k}") for k in range(5)]), 0)
-    first = {r.bucket: r.folder for r in spark.read.parquet(os.path.join(path, "manifest")).collect()}
     write(changes(spark, (1, 2, "u", ""), (2, 2, "d", None)), 1)
     want = [(0, "v0"), (1, "v1"), (3, "v3"), (4, "v4")]
     assert dim_rows(spark, path) == want
-    second = {r.bucket: r.folder for r in spark.read.parquet(os.path.join(path, "manifest", "batch_id=1")).collect()}
-    assert set(second) >= set(first) and any(second[b] == first[b] for b in first)  # untouched buckets are not rewritten
     write(changes(spark, (1, 2, "u", ""), (2, 2, "d", None)), 1)
     assert dim_rows(spark, path) == want
     write(changes(spark, *[(k, 3, "d", None) for k in range(5)]), 2)
@@ -134,19 +134,68 @@ def test_dim_writer_merges_replays_and_empties(spark, scratch):
     assert dim_rows(spark, path) == [(1, "back")]
 
 
-def test_dim_writer_raises_on_a_corrupt_version(spark, scratch):
+def test_a_dim_batch_writes_its_own_rows_only(spark, scratch):
+    """A batch of 1,000 keys on a table of 20,000 writes 1,000 rows and reads none."""
     path = os.path.join(scratch, "dim")
-    write = dim_batch_writer(path, "k", ["seq"], ["v"], buckets=1)
+    write = dim_batch_writer(path, "k", ["seq"], ["v"])
+    write(spark.range(20_000).selectExpr("id AS k", "1L AS seq", "'c' AS op", "'a' AS v"), 0)
+    compact_dim_table(spark, path, DIM_SCHEMA)
+    write(spark.range(2_000).selectExpr("id % 1000 AS k", "id AS seq", "'u' AS op", "cast(id AS string) AS v"), 1)
+    assert spark.read.parquet(os.path.join(path, "changes", "batch_id=1")).count() == 1000
+    rows = dict(dim_rows(spark, path))
+    assert len(rows) == 20_000 and rows[7] == "1007" and rows[1000] == "a"
+
+
+def test_dim_compaction_replay_and_removal(spark, scratch):
+    rng = random.Random(1)
+    path, plain = os.path.join(scratch, "dim"), os.path.join(scratch, "plain")
+    write, slow = dim_batch_writer(path, "k", ["seq"], ["v"], compact_every=3), dim_batch_writer(plain, "k", ["seq"], ["v"])
+    batches = [changes(spark, *[(rng.randrange(8), rng.randrange(100), rng.choice("ccud"), rng.choice(["", None, f"{b}-{i}"]))
+                                for i in range(6)]) for b in range(10)]
+    so_far = None
+    for b, rows in enumerate(batches):
+        write(rows, b)
+        slow(rows, b)
+        so_far = merge_cells(rows, "k", ["seq"], ["v"], base=so_far)
+    want = sorted((r.k, r.v) for r in so_far.collect())
+    assert dim_rows(spark, path) == dim_rows(spark, plain) == want  # equals merging batch after batch
+    at = version_of(spark, path)
+    assert at.upto == 8 and at.batches == (9,) and at.superseded == ()
+    assert sorted(os.listdir(os.path.join(path, "snapshot"))) == ["upto=5", "upto=8"]  # one snapshot back is kept for readers
+    write(batches[7], 7)  # a replay of a batch that the snapshot covers changes nothing
+    assert dim_rows(spark, path) == want
+    os.unlink(os.path.join(path, "snapshot", "upto=8", "_SUCCESS"))  # a compaction that was stopped half-way
+    assert version_of(spark, path).upto == 5 and dim_rows(spark, path) == want
+
+
+def test_upserts_read_as_much_after_many_batches(spark, scratch):
+    path = os.path.join(scratch, "up")
+    write = upsert_batch_writer(path, ["k"], ["seq"], compact_every=4)
+    for b in range(9):
+        write(spark.createDataFrame([(k, b, f"{b}") for k in (b, b + 1, 100)], "k long, seq long, v string"), b)
+    rows = read_upserted(spark, path, ["k"], ["seq"])
+    assert {r.k: r.v for r in rows.collect()} == {0: "0", **{k: str(k) for k in range(1, 9)}, 9: "8", 100: "8"}
+    at = version_of(spark, path)
+    assert at.upto == 7 and at.batches == (8,)
+    assert spark.read.parquet(os.path.join(path, "snapshot", "upto=7")).count() == 10
+
+
+def test_a_corrupt_batch_is_not_skipped(spark, scratch):
+    path = os.path.join(scratch, "dim")
+    write = dim_batch_writer(path, "k", ["seq"], ["v"])
     write(changes(spark, (1, 1, "c", "a")), 0)
-    for folder, _, files in os.walk(os.path.join(path, "data")):
+    for folder, _, files in os.walk(os.path.join(path, "changes")):
         for f in files:
             if f.endswith(".parquet"):
                 with open(os.path.join(folder, f), "wb") as fh:
                     fh.write(b"not parquet")
                 os.unlink(os.path.join(folder, f".{f}.crc"))
+    write(changes(spark, (1, 2, "c", "b")), 1)
+    with pytest.raises(Exception):
+        dim_rows(spark, path)
     with pytest.raises(Exception):
-        write(changes(spark, (1, 2, "c", "b")), 1)
-    assert not os.path.exists(os.path.join(path, "manifest", "batch_id=1"))
+        compact_dim_table(spark, path, DIM_SCHEMA)
+    assert version_of(spark, path).upto == -1
 
 
 def test_kafka_records(spark):

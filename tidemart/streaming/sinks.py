@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemart.functions.dates import DEFAULT_TZ, day_bucket_of
-from tidemart.operators.stateful import last_per_key
-from tidemart.sources.dims import merge_cells
+from tidemart.operators.stateful import arrival_struct, last_per_key
+from tidemart.streaming.changelog import BATCH, Version, append_changes, compaction_due, read_rows, write_snapshot
 
 __all__ = ["kafka_sink_options", "to_kafka_value", "write_kafka", "write_kafka_batch", "olap_batch_writer", "upsert_batch_writer",
-           "dim_batch_writer", "read_dim_table", "read_upserted", "day_bucket_writer", "query_checkpoint", "start", "console_debug"]
+           "dim_batch_writer", "read_dim_table", "compact_dim_table", "read_upserted", "compact_upserted", "day_bucket_writer", "query_checkpoint", "start", "console_debug"]
 
 
 def kafka_sink_options(servers: str, topic: str, exactly_once: bool = False, extra: dict | None = None) -> dict:
@@ -59,91 +60,83 @@ def olap_batch_writer(path: str, fmt: str = "json") -> Callable[[DataFrame, int]
     return write
 
 
-def upsert_batch_writer(path: str, key: Sequence[str], order: Sequence[str]) -> Callable[[DataFrame, int], None]:
-    """SNK3: keyed latest per micro-batch written to ``path/batch_id=N``; :func:`read_upserted` merges the batches."""
+def upsert_batch_writer(path: str, key: Sequence[str], order: Sequence[str],
+                        compact_every: int = 100) -> Callable[[DataFrame, int], None]:
+    """SNK3: keyed latest per micro-batch appended to the change log of ``path`` (:mod:`tidemart.streaming.changelog`);
+    :func:`read_upserted` merges it with the snapshot, :func:`compact_upserted` folds it in when it is due."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        latest = last_per_key(batch, list(key), list(order))
-        latest.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
+        append_changes(last_per_key(batch, list(key), list(order)), path, batch_id)
+        if compaction_due(batch.sparkSession, path, compact_every):
+            compact_upserted(batch.sparkSession, path, key, order)
 
     return write
 
 
-def read_upserted(spark: SparkSession, path: str, key: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """SNK3: the keyed table, the last record per key over all batches (later batches win)."""
-    rows = spark.read.parquet(path)
-    return last_per_key(rows, list(key), ["batch_id", *order]).drop("batch_id")
+def read_upserted(spark: SparkSession, path: str, key: Sequence[str], order: Sequence[str],
+                  at: Version | None = None) -> DataFrame:
+    """SNK3: the keyed table, the last record per key over snapshot and later batches (later batches win)."""
+    rows = read_rows(spark, path, None, at)
+    return last_per_key(rows, list(key), [BATCH, *order]).drop(BATCH)
 
 
-DIM_BUCKETS = 64
+def compact_upserted(spark: SparkSession, path: str, key: Sequence[str], order: Sequence[str]) -> None:
+    """SNK3: fold the committed batches into a new snapshot of ``path``."""
+    write_snapshot(spark, path, lambda at: read_upserted(spark, path, key, order, at))
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+def _fold_cells(rows: DataFrame, key: str, cells: Sequence[str], place: Column, wipes: Column, lives: Column,
+                wipe_first: bool) -> DataFrame:
+    """One row per key: ``_wiped`` (some row wiped what was before), ``_alive`` (some row lives after the last wipe), and per
+    cell the last non-empty value after it. One aggregate, combined before the shuffle. ``wipe_first``: a row that
+    wipes and lives at one place wipes before it lives."""
+    def after(c: Column) -> Column:
+        return F.col("_w").isNull() | (c >= F.col("_w") if wipe_first else c > F.col("_w"))
 
-
-def _manifest(spark: SparkSession, table_path: str, before: int | None = None) -> dict[int, str] | None:
-    """``bucket -> folder`` of the newest committed batch (below ``before``), or None if no batch was committed.
-
-    A manifest is a small table written last, so it is the commit marker of its batch; only a missing manifest folder
-    means "no table yet", any other read error is raised.
-    """
-    root = f"{table_path.rstrip('/')}/manifest"
-    if not _exists(spark, root):
-        return None
-    entries = spark.read.schema("bucket int, folder string, batch_id bigint").parquet(root)
-    entries = entries if before is None else entries.where(F.col("batch_id") < before)
-    rows = entries.where(F.col("batch_id") == entries.agg(F.max("batch_id")).first()[0]).collect()  # one per bucket
-    return {r.bucket: r.folder for r in rows} or None
-
-
-def _bucket(key: str, buckets: int):
-    return F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(buckets)).cast("int")
-
-
-def read_dim_table(spark: SparkSession, table_path: str, schema: str, at: dict[int, str] | None = None) -> DataFrame:
-    """The newest committed version of a table of :func:`dim_batch_writer` (``schema``: its key and cells)."""
-    at = _manifest(spark, table_path) if at is None else at
-    folders = [f"{table_path.rstrip('/')}/{f}" for f in sorted(set((at or {}).values()))]
-    if not folders:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(*folders)
+    picks = [F.max(F.when(F.col(c).isNotNull() & (F.col(c).cast("string") != ""), F.struct(place.alias("p"), F.col(c).alias("v"))))
+             .alias(f"_m_{i}") for i, c in enumerate(cells)]
+    folded = rows.groupBy(key).agg(F.max(F.when(wipes, place)).alias("_w"), F.max(F.when(lives, place)).alias("_l"), *picks)
+    return folded.select(key, F.col("_w").isNotNull().alias("_wiped"),
+                         (F.col("_l").isNotNull() & after(F.col("_l"))).alias("_alive"),
+                         *[F.when(after(F.col(f"_m_{i}.p")), F.col(f"_m_{i}.v")).alias(c) for i, c in enumerate(cells)])
 
 
 def dim_batch_writer(table_path: str, key: str, order: Sequence[str], cells: Sequence[str],
-                     op_col: str = "op", buckets: int = DIM_BUCKETS) -> Callable[[DataFrame, int], None]:
-    """SNK5: merge a micro-batch of dimension changes cell by cell into a parquet table.
+                     op_col: str = "op", compact_every: int = 100) -> Callable[[DataFrame, int], None]:
+    """SNK5: append a micro-batch of dimension changes, folded to one row per key, to the table's change log.
 
-    The table is cut into ``buckets`` by a hash of the key; only the buckets that the batch touches are read and
-    written again, each to a folder of its batch, and a manifest that names every bucket's folder commits the batch.
-    A replayed batch starts from the manifest before it and replaces its own folders, so it gives the same table; a
-    bucket whose last key was deleted stays in the manifest as an empty one.
+    Semantics are those of :func:`tidemart.sources.dims.merge_cells`, later batches after earlier ones: only changes
+    after a key's last delete count, empty cells do not overwrite. A batch writes as many rows as it has keys and reads
+    nothing of the table; a replayed batch replaces its own folder. When the log is due (:func:`compaction_due`) it is
+    folded into a new snapshot.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark, root = batch.sparkSession, table_path.rstrip("/")
-        schema = ", ".join(f"`{c}` {batch.schema[c].dataType.simpleString()}" for c in [key, *cells])
-        current = _manifest(spark, root, batch_id) or {}
-        keyed = batch.withColumn("_bucket", _bucket(key, buckets))
-        touched = sorted(r[0] for r in keyed.select("_bucket").distinct().collect())  # at most ``buckets`` numbers
-        old = {b: current[b] for b in touched if b in current}
-        base = read_dim_table(spark, root, schema, old) if old else None
-        merged = merge_cells(batch, key, order, cells, op_col, base=base).withColumn("_bucket", _bucket(key, buckets))
-        folder = f"data/batch_id={batch_id}"
-        for b in touched:  # an empty bucket has a folder too
-            current[b] = f"{folder}/_bucket={b}"
-        (merged.repartition("_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(f"{root}/{folder}"))
-        for b in touched:
-            if not _exists(spark, f"{root}/{current[b]}"):
-                spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{root}/{current[b]}")
-        entries = [(b, f) for b, f in sorted(current.items())] or [(-1, "")]
-        (spark.createDataFrame(entries, "bucket int, folder string").where("bucket >= 0").coalesce(1)
-         .write.mode("overwrite").parquet(f"{root}/manifest/batch_id={batch_id}"))
+        gone = F.col(op_col) == "d"
+        folded = _fold_cells(batch.where(F.col(op_col).isNotNull()), key, cells, arrival_struct(list(order)), gone, ~gone, False)
+        append_changes(folded, table_path, batch_id)
+        if compaction_due(batch.sparkSession, table_path, compact_every):
+            schema = ", ".join(f"`{c}` {batch.schema[c].dataType.simpleString()}" for c in [key, *cells])
+            compact_dim_table(batch.sparkSession, table_path, schema)
 
     return write
 
 
+def read_dim_table(spark: SparkSession, table_path: str, schema: str, at: Version | None = None) -> DataFrame:
+    """The committed table of :func:`dim_batch_writer`: snapshot and later batches, merged cell by cell per key
+    (``schema``: its key, then its cells; cells a batch did not have count as empty)."""
+    key, *cells = [f.name for f in T.StructType.fromDDL(schema).fields]
+    rows = read_rows(spark, table_path, f"{schema}, _wiped boolean, _alive boolean", at)
+    folded = _fold_cells(rows, key, cells, F.col(BATCH), F.col("_wiped"), F.coalesce("_alive", F.lit(True)), True)
+    return folded.where("_alive").select(key, *cells)
+
+
+def compact_dim_table(spark: SparkSession, table_path: str, schema: str) -> None:
+    """SNK5: fold the committed batches into a new snapshot. ``schema`` must name every cell that is to stay."""
+    write_snapshot(spark, table_path, lambda at: read_dim_table(spark, table_path, schema, at).withColumn(
+        "_wiped", F.lit(False)).withColumn("_alive", F.lit(True)))
+
+
 def day_bucket_writer(path: str, epoch_col: str, fmt: str = "json", tz: str = DEFAULT_TZ):
     """SNK6: files partitioned by ``day=yyyyMMdd`` from an epoch field (s or ms), bad rows in ``error_bucket``."""
 
