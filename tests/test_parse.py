@@ -24,6 +24,26 @@ def test_modes(spark):
         parse_json_records(df, PAGE_LOG, mode="fail").collect()
 
 
+def test_repeated_keys_and_text_after_the_object(spark):
+    raw = ['{"ts":1,"ts":5,"page":{"page_id":"a","page_id":"b"}}', ' {"ts":2}\n', '{"ts":3} junk', '{"ts":4', '{"ts":"6"}', '{"ts":"x"}', '[{"ts":7}]']
+    got = parse_json_records(spark.createDataFrame([(v,) for v in raw], "value string"), PAGE_LOG, mode="split").collect()
+    assert [(r.is_valid, r.data and r.data.ts) for r in got] == [
+        (True, 5), (True, 2), (False, None), (False, None), (True, 6), (True, None), (False, None)]
+    assert got[0].data.page.page_id == "b"
+
+
+def test_flags_are_per_row(spark):
+    from tidemart.operators.wordlist import flag_words, keep_flagged
+
+    df = spark.createDataFrame([(1, ["a", "b"]), (1, ["c"]), (None, ["a", "a"]), (None, None), (2, []), (1, ["a", "b"])],
+                               "k long, toks array<string>").repartition(3)
+    words = spark.createDataFrame([("a",), ("a",), ("",), (None,)], "word string")
+    got = sorted(map(tuple, flag_words(df, "k", "toks", words).collect()), key=repr)
+    assert got == sorted([(1, True, 1), (1, False, 0), (None, True, 2), (None, False, 0), (2, False, 0), (1, True, 1)], key=repr)
+    kept = sorted(map(tuple, keep_flagged(df, "k", "toks", words).collect()), key=repr)
+    assert kept == sorted([(1, ["a", "b"]), (None, ["a", "a"]), (1, ["a", "b"])], key=repr)
+
+
 def test_rows_to_json(spark):
     df = spark.createDataFrame([(1, None)], "a int, b string")
     assert rows_to_json(df).first().value == '{"a":1}'

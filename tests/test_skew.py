@@ -52,6 +52,20 @@ def test_bucketed_interval_join_spreads_hot_key(spark, no_aqe):
     assert sorted((r.ls, r.rs) for r in plain.collect()) == sorted((r.ls, r.rs) for r in bucketed.collect())
 
 
+def test_grid_interval_join_spreads_a_hot_key_of_one_bucket(spark, no_aqe):
+    """50 days either way on 20 days of data: every pair of a user, all in one or two buckets, dealt over a grid."""
+    day = 86_400_000
+    left = skewed(spark, 3_000).select(F.col("k").alias("lk"), F.col("seq").alias("ls"), (F.col("seq") * 600_000).alias("lt"))
+    right = skewed(spark, 3_000).select(F.col("k").alias("rk"), F.col("seq").alias("rs"), (F.col("seq") * 600_000 + 1).alias("rt"))
+    args = (left, right, "lk", "rk", "lt", "rt", -50 * day, 50 * day)
+    wide = interval_join(*args, bucket_ms=50 * day)
+    grid = interval_join(*args, bucket_ms=50 * day, cell_rows=100)
+    assert hot_share(wide, "lk", ("rs",)) > 0.9
+    assert hot_share(grid, "lk", ("rs",)) < 0.35
+    assert grid.count() == wide.count() and grid.distinct().count() == grid.count()
+    assert grid.columns == wide.columns == [*left.columns, *right.columns]
+
+
 from hypothesis import HealthCheck, given, settings  # noqa: E402
 from hypothesis import strategies as st  # noqa: E402
 
@@ -67,6 +81,6 @@ def test_interval_join_matches_brute_force(spark, lefts, rights, width, bucket):
     rdf = spark.createDataFrame([(k, t, i) for i, (k, t) in enumerate(rights)], "rk long, rt long, ri long")
     want = sorted((i, j) for i, (k1, t1) in enumerate(lefts) for j, (k2, t2) in enumerate(rights)
                   if k1 == k2 and t1 + lo <= t2 <= t1 + hi)
-    for b in (None, bucket):
-        got = sorted((r.li, r.ri) for r in interval_join(ldf, rdf, "lk", "rk", "lt", "rt", lo, hi, bucket_ms=b).collect())
+    for b, cell in ((None, None), (bucket, None), (bucket, 3)):
+        got = sorted((r.li, r.ri) for r in interval_join(ldf, rdf, "lk", "rk", "lt", "rt", lo, hi, bucket_ms=b, cell_rows=cell).collect())
         assert got == want

@@ -6,13 +6,14 @@ from pyspark.sql import functions as F
 
 from tidemart.functions.dates import ms_to_date
 from tidemart.operators.joins import EnrichSpec, dictionary_lookup, enrich, enrich_chain
-from tidemart.operators.routing import (after_fields, apply_sink_columns, build_envelopes, cart_adds, filter_cdc,
-                                        latest_rules, route_by_rules, status_transition)
+from tidemart.operators.routing import (after_fields, apply_sink_columns, build_envelopes, cart_adds, detail_activities,
+                                        detail_coupons, filter_cdc, latest_rules, order_details, order_headers,
+                                        refund_requests, refunds_moved, route_by_rules, status_transition)
 from tidemart.operators.stateful import keyed_lag
 from tidemart.plans.registry import query
 from tidemart.plans.tables import (CUSTOMER_BIRTHDAY_SQL, LINEITEM_ARRIVAL, LINEITEM_ARRIVAL_SQL, ORDER_DATE_MS_SQL,
                                    TZ, cents, customer_birthday_day, customer_envelopes, detail_id, epoch_ms, from_cents,
-                                   money, order_envelopes, table)
+                                   money, order_envelopes, order_feed, refund_envelopes, table)
 
 
 @query("cdc_filter", f"""
@@ -175,16 +176,38 @@ def order_detail_wide(spark, sf_dir):
                     from_cents(cents("l_extendedprice")).alias("split_total_amount"))
 
 
+@query("order_detail_feed", ORDER_DETAIL_WIDE_SQL)
+def order_detail_feed(spark, sf_dir):
+    """PRJ9/PRJ10/JON1/JON2 end to end from the change feed: details, headers, activities and coupons are taken from one
+    feed of inserts by the source's projections and joined. (Each projection prunes the feed to its own table.)"""
+    env = order_feed(spark, sf_dir)
+    det, head = order_details(env), order_headers(env).withColumnRenamed("id", "h_id")
+    act = detail_activities(env).select(F.col("order_detail_id").alias("a_id"), "activity_id", "activity_rule_id")
+    cpn = detail_coupons(env).select(F.col("order_detail_id").alias("c_id"), "coupon_id")
+    j = det.join(head, det.order_id == head.h_id, "inner")
+    j = j.join(act, F.col("id") == act.a_id, "left").join(cpn, F.col("id") == cpn.c_id, "left")
+    created = F.col("create_time").cast("bigint")
+    return j.select("id", *[F.col(c).cast("bigint").alias(c) for c in ("order_id", "user_id", "sku_id")], "sku_name",
+                    "activity_id", "activity_rule_id", "coupon_id", ms_to_date(created, TZ).alias("date_id"),
+                    created.alias("create_time"), F.col("sku_num").cast("bigint").alias("sku_num"), "split_original_amount",
+                    F.col("split_total_amount").cast("double").alias("split_total_amount"))
+
+
+@query("refund_moved", """
+SELECT CAST(l_orderkey AS VARCHAR) AS order_id, CAST(l_partkey AS VARCHAR) AS sku_id,
+       CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) AS refund_num
+FROM lineitem WHERE l_returnflag = 'R' AND l_linestatus = 'F'
+""")
+def refund_moved(spark, sf_dir):
+    """PRJ12, update form: order, SKU and quantity of refunds whose status moved to the paid one."""
+    return refunds_moved(refund_envelopes(spark, sf_dir), "1602")
+
+
 def _refund_requests(spark, sf_dir):
-    li = table(spark, sf_dir, "lineitem").where(F.col("l_returnflag") == "R")
-    return li.select(
-        F.concat_ws("_", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("id"),
-        F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("sku_id"),
-        F.concat(F.lit("type_"), (F.col("l_linenumber") % 3).cast("string")).alias("refund_type"),
-        F.col("l_quantity").cast("int").alias("refund_num"),
-        money("l_extendedprice").cast("string").alias("refund_amount"),
-        F.concat(F.lit("reason_"), (F.col("l_partkey") % 4).cast("string")).alias("refund_reason_type"),
-        "l_linestatus", "l_suppkey")
+    """Refund requests by the source's projection of the feed's inserts, typed."""
+    req = refund_requests(refund_envelopes(spark, sf_dir))
+    return req.select("id", *[F.col(c).cast("bigint").alias(c) for c in ("order_id", "sku_id")], "refund_type",
+                      F.col("refund_num").cast("int").alias("refund_num"), "refund_amount", "refund_reason_type")
 
 
 def _moved_orders(spark, sf_dir):

@@ -226,6 +226,50 @@ def customer_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_envelopes(c, "shop", "user_info", F.lit("r"), F.lit(0).cast("bigint"), after, None)
 
 
+def order_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One feed of inserts of ``order_detail``, ``order_info``, ``order_detail_activity`` and ``order_detail_coupon``.
+
+    A detail is a line item with its part's price; a detail has an activity where its largest discount is 8 % or more
+    and a coupon where its least tax is 1 % or less.
+    """
+    from tidemart.operators.routing import build_envelopes
+    li, orders, part = (table(spark, sf_dir, t) for t in ("lineitem", "orders", "part"))
+    created = epoch_ms_of_ntz(F.col("o_orderdate"))
+    rows = li.join(orders.select("o_orderkey", "o_orderdate"), li.l_orderkey == orders.o_orderkey).join(
+        part.select("p_partkey", "p_name", "p_retailprice"), li.l_partkey == part.p_partkey)
+    line = detail_id("l_orderkey", "l_linenumber")
+    details = build_envelopes(rows, "shop", "order_detail", F.lit("c"), created, {
+        "id": line, "order_id": F.col("l_orderkey"), "sku_id": F.col("l_partkey"), "sku_name": F.col("p_name"),
+        "create_time": created, "sku_num": F.col("l_quantity").cast("bigint"), "order_price": money("p_retailprice"),
+        "split_total_amount": money("l_extendedprice")})
+    headers = build_envelopes(orders, "shop", "order_info", F.lit("c"), created, {
+        "id": F.col("o_orderkey"), "user_id": F.col("o_custkey")})
+    marks = li.groupBy("l_orderkey", "l_linenumber").agg(F.max("l_discount").alias("d"), F.min("l_tax").alias("t"))
+    pct = lambda c: (F.col(c).cast("decimal(4,2)") * 100).cast("int")
+    activities = build_envelopes(marks.where("d >= 0.08"), "shop", "order_detail_activity", F.lit("c"), F.lit(0), {
+        "id": line, "order_detail_id": line, "activity_id": F.concat(F.lit("act_"), pct("d").cast("string")),
+        "activity_rule_id": F.concat(F.lit("rule_"), (pct("d") % 3).cast("string"))})
+    coupons = build_envelopes(marks.where("t <= 0.01"), "shop", "order_detail_coupon", F.lit("c"), F.lit(0), {
+        "id": line, "order_detail_id": line, "coupon_id": F.concat(F.lit("cpn_"), pct("t").cast("string"))})
+    return details.unionByName(headers).unionByName(activities).unionByName(coupons)
+
+
+def refund_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``order_refund_info`` changes: an insert for every returned line item, and an update to the paid status for those
+    whose line status is F."""
+    from tidemart.operators.routing import build_envelopes
+    li = table(spark, sf_dir, "lineitem").where(F.col("l_returnflag") == "R")
+    after = {"id": detail_id("l_orderkey", "l_linenumber"), "order_id": F.col("l_orderkey"), "sku_id": F.col("l_partkey"),
+             "refund_type": F.concat(F.lit("type_"), (F.col("l_linenumber") % 3).cast("string")),
+             "refund_num": F.col("l_quantity").cast("int"), "refund_amount": money("l_extendedprice"),
+             "refund_reason_type": F.concat(F.lit("reason_"), (F.col("l_partkey") % 4).cast("string"))}
+    made = build_envelopes(li, "shop", "order_refund_info", F.lit("c"), epoch_ms_of_ntz(F.col("l_shipdate")), after)
+    paid = build_envelopes(li.where(F.col("l_linestatus") == "F"), "shop", "order_refund_info", F.lit("u"),
+                           epoch_ms_of_ntz(F.col("l_shipdate")), {**after, "refund_status": F.lit("1602")},
+                           {"refund_status": F.lit("0701")})
+    return made.unionByName(paid)
+
+
 ORDER_DATE_MS_SQL = "(epoch_us(o_orderdate) // 1000)"
 
 

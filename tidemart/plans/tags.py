@@ -74,14 +74,14 @@ FROM l JOIN r ON l.user_id = r.user_id AND r.t BETWEEN l.t - {days * DAY_MS} AND
 """
 
 
-def _pairs(spark, sf_dir, days: int):
+def _pairs(spark, sf_dir, days: int, cell_rows: int | None = None):
     ev = table(spark, sf_dir, "events").select("user_id", "event_id", "event_type", epoch_ms("ts").alias("t"))
     left = ev.where(F.col("event_type") == "purchase").select(
         F.col("user_id").alias("l_user"), F.col("event_id").alias("left_event_id"), F.col("t").alias("l_t"))
     right = ev.where(F.col("event_type") == "click").select(
         F.col("user_id").alias("r_user"), F.col("event_id").alias("right_event_id"), F.col("t").alias("r_t"))
     j = interval_join(left, right, "l_user", "r_user", "l_t", "r_t", -days * DAY_MS, days * DAY_MS,
-                      bucket_ms=days * DAY_MS)
+                      bucket_ms=days * DAY_MS, cell_rows=cell_rows)
     return j.select(F.col("l_user").alias("user_id"), "left_event_id", "right_event_id",
                     (F.col("r_t") - F.col("l_t")).alias("gap_ms"))
 
@@ -94,8 +94,14 @@ def interval_join_q(spark, sf_dir):
 
 @query("interval_join_wide", _pairs_sql(50))
 def interval_join_wide(spark, sf_dir):
-    """JON11: the same with a +-50 day bound."""
-    return _pairs(spark, sf_dir, 50)
+    """JON11: the same with a +-50 day bound; a heavy user's buckets are cut into grids of 4,000 x 4,000 rows."""
+    return _pairs(spark, sf_dir, 50, cell_rows=4000)
+
+
+@query("interval_join_grid", _pairs_sql(10))
+def interval_join_grid(spark, sf_dir):
+    """JON11 at a width that leaves pairs out (+-10 days), with small grid cells, so that users are cut here too."""
+    return _pairs(spark, sf_dir, 10, cell_rows=8)
 
 
 # ---- weights as DuckDB rows (same fixed values as tidemart.functions.tags.WEIGHTS) ----

@@ -310,10 +310,12 @@ def user_profile_records(spark, sf_dir):
 
 # Test-data segmentation dictionary for the search words (config, not source-system values).
 SEARCH_DICTIONARY = ["匡威", "帆布鞋", "衬衫", "心相印", "纸抽", "扫地机器人", "拯救者", "笔记本", "小米", "手机", "联想",
-                     "电脑", "维生素"]
+                     "电脑", "维生素",
+                     # words that cross the right borders: longest match from the left would take them
+                     "小米手", "心相", "想电", "匡威帆", "衬", "扫地机", "机器人"]
 
 
-# Expected segmentation of each search word by the dictionary above (longest match), written out by hand
+# Expected segmentation of each search word by the dictionary above (best path), written out by hand
 # for the oracle: DuckDB has no CJK segmenter, and these eight words are the only search items.
 SEARCH_SEGMENTS = [("匡威帆布鞋", "匡威"), ("匡威帆布鞋", "帆布鞋"), ("衬衫", "衬衫"), ("心相印纸抽", "心相印"),
                    ("心相印纸抽", "纸抽"), ("扫地机器人", "扫地机器人"), ("拯救者笔记本", "拯救者"),
@@ -332,7 +334,7 @@ GROUP BY ALL
 """)
 def search_keyword_window(spark, sf_dir):
     """PRJ14 -> UDF2 -> AGG5 (the source's keyword job): search-keyword rows of the page log, split
-    into words by dictionary longest match, counted per 10 s window."""
+    into words by the best path through the dictionary's words, counted per 10 s window."""
     logs = parse_json_records(page_log_json(spark, sf_dir), PAGE_LOG, "value", mode="drop").select("data.*")
     logs = logs.withColumn("et", local_from_epoch_ms(F.col("ts"), "UTC"))
     rows = search_keywords(logs, "et")
