@@ -96,6 +96,13 @@ def test_batches_are_cut_by_tokens(monkeypatch):
     assert [(a, n) for a, n, _ in parts] == [(0, 2), (2, 2), (4, 1)]
 
 
+def test_lists_of_a_column():
+    import pyarrow as pa
+
+    column = pa.array([[1, 2], None, [], [3]], pa.list_(pa.int32()))
+    assert list(bpe._lists(column)) == [[1, 2], [], [], [3]] and list(bpe._lists(column.slice(1, 3))) == [[], [], [3]]
+
+
 def test_query_on_whole_table(spark):
     import hashlib
 

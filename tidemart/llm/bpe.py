@@ -16,7 +16,7 @@ from __future__ import annotations
 import base64
 import re
 import sys
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -87,7 +87,15 @@ class TextEncoder:
         return self.split.decode_bytes(ids)
 
 
-def _batches(column: pa.Array, work, size) -> Iterator[tuple[int, int, list]]:
+def _lists(column: pa.ListArray) -> Iterator[list[int]]:
+    """Values of a list column, null as empty; slices of the flat values, far faster than element by element."""
+    values, offsets = column.values.to_numpy(), column.offsets.to_numpy()
+    valid = column.is_valid().to_numpy(zero_copy_only=False)
+    for i in range(len(column)):
+        yield values[offsets[i]:offsets[i + 1]].tolist() if valid[i] else []
+
+
+def _batches(column: Iterable, work, size) -> Iterator[tuple[int, int, list]]:
     """``(first row, rows, results)`` with about ``FLUSH`` units a batch, so that long rows do not pile up."""
     first, done, held = 0, [], 0
     for i, value in enumerate(column):
@@ -136,7 +144,7 @@ def decode_ids(rows: DataFrame, rank_file: str, pattern: str, ids_col: str = "id
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = TextEncoder(rank_file, pattern)
         for batch in batches:
-            for at, n, found in _batches(batch.column(ids_col), lambda v: encoder.decode(v.as_py() or []), len):
+            for at, n, found in _batches(_lists(batch.column(ids_col)), encoder.decode, len):
                 part = batch.slice(at, n)
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(c) for c in names), pa.array(found, pa.binary())], [*names, bytes_col])
