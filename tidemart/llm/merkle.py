@@ -22,7 +22,7 @@ from tidemart.llm.common import Scratch
 
 __all__ = ["digest", "record_digest", "merkle_manifest", "fold_path", "path_digest"]
 
-CHUNK_RUNS = 64
+CHUNK_RUNS = 16
 _ROW = (1 << 33) - 1  # bits of monotonically_increasing_id that count the rows of a partition
 PATH = "array<struct<left:binary,right:binary>>"
 
