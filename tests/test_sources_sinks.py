@@ -7,6 +7,7 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemart.functions.tags import AGE_BRACKETS
 from tidemart.functions.tokenize import register_split_words, tokenize, tokenize_cjk
@@ -49,8 +50,25 @@ def test_json_lines_and_weights(spark, scratch):
     assert got.x_w_5 == 19999.0  # no limit on the size of a weight table
     empty = os.path.join(scratch, "empty.txt")
     open(empty, "w").close()
-    with pytest.raises(ValueError):
-        read_weight_file(spark, empty, "x")
+    nothing = read_weight_file(spark, empty, "x")  # making the plan reads nothing
+    with pytest.raises(Exception, match="is empty"):
+        attach_weights(rows, nothing, "x", "c").collect()
+
+
+def test_watermarked_records_are_parsed_once(spark, scratch):
+    from tidemart.streaming.sources import read_text_stream, read_with_watermark
+
+    src = os.path.join(scratch, "topic")
+    os.makedirs(src)
+    with open(os.path.join(src, "a.json"), "w") as fh:
+        fh.write('{"k":"a","ts_ms":5000,"ts":1}\n{"k":"b","ts":7000}\n{"k":"c"}\n{bad\n{"k":"d","ts":"8000"}\n')
+    out = read_with_watermark(read_text_stream(spark, src), T.StructType([T.StructField("k", T.StringType())]))
+    assert out.columns == ["value", "data", "et"] and out.schema["data"].dataType.names == ["k"]
+    assert out._jdf.queryExecution().toString().lower().split("== physical plan ==")[0].count("try_parse_json") <= 2
+    q = out.writeStream.format("memory").queryName("once").trigger(availableNow=True).start()
+    q.awaitTermination(120)
+    got = {r.k: r.ms for r in spark.table("once").selectExpr("data.k AS k", "unix_millis(et) AS ms").collect()}
+    assert got == {"a": 5000, "b": 7000, "c": 0, None: 0, "d": 8000}
 
 
 def test_tokenizers(spark):

@@ -29,16 +29,16 @@ def read_weight_file(spark: SparkSession, path: str, factor: str) -> DataFrame:
 
     Weights may be JSON strings or numbers; they are read as text then cast. A
     missing bracket is 0 (D10). ``pos`` is the order in the file: of a category
-    listed twice the last entry counts. An empty file is an error (D19).
+    listed twice the last entry counts. An empty file is an error (D19), raised when the weights are read.
     """
     lines = spark.read.text(path).select("value", F.monotonically_increasing_id().alias("pos"))
     parsed = lines.where(F.length(F.trim("value")) > 0).select("pos", F.explode(F.from_json("value", "map<string,map<string,string>>")).alias("category", "m"))
     out = parsed.select(F.lit(factor).alias("factor"), "category",
                         F.array(*[F.coalesce((F.col("m")[b]).try_cast("double"), F.lit(0.0)) for b in AGE_BRACKETS])
                         .alias("w"), "pos")
-    if out.isEmpty():
-        raise ValueError(f"weight file {path} is empty")
-    return out
+    message = F.raise_error(F.lit(f"weight file {path} is empty"))
+    empty = parsed.agg(F.count(F.lit(1)).alias("n")).where(F.when(F.col("n") == 0, message).isNotNull())
+    return out.unionByName(empty.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in out.schema.fields]))
 
 
 def prepare_weights(weights: DataFrame) -> DataFrame:
