@@ -291,6 +291,34 @@ def test_processing_windows_keep_the_last_record():
     assert [r.seq for r in p.handleExpiredTimer(("a",), clock, clock)] == [1]
 
 
+def test_without_a_watermark_no_row_is_late(spark, scratch):
+    """TIM6: without a watermark a window counts every row, however late it comes (complete mode)."""
+    from tidemart.operators.windows import window_aggregate, with_event_time
+
+    base, src = 1_700_000_000_000, os.path.join(scratch, "in")
+    _write_ordered(src, [[{"k": "a", "seq": base}], [{"k": "a", "seq": base + 86_400_000}], [{"k": "a", "seq": base + 1}]])
+    stream = spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", 1).json(src)
+    agg = window_aggregate(with_event_time(stream, "seq"), "et", "10 seconds", [], [F.count(F.lit(1)).alias("n")], tz="UTC")
+    q = (agg.writeStream.format("memory").queryName("no_watermark").outputMode("complete")
+         .option("checkpointLocation", os.path.join(scratch, "ckpt")).trigger(availableNow=True).start())
+    q.awaitTermination(120)
+    assert sorted(r.n for r in spark.table("no_watermark").collect()) == [1, 2]
+
+
+def test_console_sink_prints_batches(spark, scratch, capfd):
+    """SNK7."""
+    from tidemart.streaming.sinks import console_debug
+
+    src = os.path.join(scratch, "in")
+    _write_ordered(src, [[{"k": "seen on the console", "seq": 1}]])
+    q = console_debug(spark.readStream.schema(EVENTS).json(src), os.path.join(scratch, "ckpt"))
+    try:
+        q.processAllAvailable()
+        assert q.lastProgress is not None and q.exception() is None and "Console" in q.lastProgress["sink"]["description"]
+    finally:
+        q.stop()
+
+
 # ---- retractions ----------------------------------------------------------------------
 @pytest.mark.parametrize("lines", [1, 2])
 def test_an_order_whose_lines_moved_counts_once(spark, scratch, lines):

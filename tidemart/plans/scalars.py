@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemart.functions.dates import (age_on, date_of_epoch_day, date_text_to_ms, datetime_text_to_ms, day_bucket_of,
                                       decade_of, format_date, local_from_epoch_ms, ms_to_date, ms_to_datetime,
-                                      ms_to_partition_day, star_sign, STAR_SIGN_RANGES)
+                                      ms_to_partition_day, star_sign)
 from tidemart.functions.hashing import hash_mod, hash_mod_128, hash_mod_with_overrides
 from tidemart.functions.hexdata import append_to_json_list, day_partition_range, hex_or_decimal_text, hex_words
 from tidemart.functions.strings import (capitalise_first, is_blank, is_empty, join_set, lowercase_first,
@@ -46,10 +46,10 @@ def date_functions(spark, sf_dir):
 
 
 def _star_sql(d):
-    conds = " ".join(
-        f"WHEN (month({d}) = {m1} AND day({d}) >= {d1}) OR (month({d}) = {m2} AND day({d}) <= {d2}) THEN '{name}'"
-        for name, m1, d1, m2, d2 in STAR_SIGN_RANGES)
-    return f"CASE {conds} ELSE '未知' END"
+    """Star sign by the last day of each, as one number month * 100 + day (written apart from the plan's ranges)."""
+    last = ((119, "摩羯座"), (218, "水瓶座"), (320, "双鱼座"), (419, "白羊座"), (520, "金牛座"), (621, "双子座"), (722, "巨蟹座"),
+            (822, "狮子座"), (922, "处女座"), (1023, "天秤座"), (1122, "天蝎座"), (1221, "射手座"))
+    return "CASE " + " ".join(f"WHEN month({d}) * 100 + day({d}) <= {n} THEN '{name}'" for n, name in last) + " ELSE '摩羯座' END"
 
 
 @query("profile_functions", f"""
