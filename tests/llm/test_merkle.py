@@ -76,14 +76,15 @@ def test_equals_a_plain_tree(spark, fanout):
     check(spark, rows, fanout)
 
 
-@pytest.mark.parametrize("n", [1, 2, 16, 17, 256, 257])
-def test_sizes_around_the_fanout(spark, n):
-    check(spark, [(i, f"T{i}", "one") for i in range(n)], 16)
+def test_sizes_around_the_fanout_and_over_many_chunks(spark):
+    """Groups of a leaf, a run, a run of runs, one more of each, and of more leaves than a window chunk holds."""
+    sizes = [1, 2, 16, 17, 256, 257, 3 * 16 * merkle.CHUNK_RUNS + 5]
+    check(spark, [(i, f"T{i}", f"s{n}") for n in sizes for i in range(n)], 16)
 
 
-def test_a_group_over_many_chunks(spark):
-    """More leaves than a window chunk holds (16 * CHUNK_RUNS)."""
-    check(spark, [(i, f"x{i % 7}", "hot" if i % 10 else f"s{i % 40}") for i in range(2300)], 16)
+@pytest.mark.parametrize("n", [1, 17])
+def test_one_group(spark, n):
+    check(spark, [(i, f"T{i}", "one") for i in range(n)], 16)
 
 
 def test_repeated_rows_null_ids_and_many_groups(spark):
