@@ -133,8 +133,9 @@ def embedding_near_dedup(vectors: DataFrame, threshold: float = 0.98, tables: in
             & F.coalesce(F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))), F.lit(False))
             & F.coalesce(F.exists("v", lambda x: x != 0), F.lit(False)))
     base = base.withColumn("usable", fine)
+    name = F.col("label").cast("string")  # with its length, so that no label runs into the components
     base = base.withColumn("node", F.when(F.col("usable"), F.md5(F.concat_ws(
-        ",", F.col("label").cast("string"), F.transform("v", lambda x: (x + 0.0).cast("string"))))))
+        ",", F.length(name).cast("string"), name, F.transform("v", lambda x: (x + 0.0).cast("string"))))))
     base = scratch.table(base, "vectors")
     nodes = base.where("usable").groupBy("node").agg(
         F.count(F.lit(1)).alias("copies"), F.min("vec_id").alias("least"), F.first("label").alias("label"),
