@@ -194,6 +194,25 @@ def test_line_dedup_finds_short_lines_at_the_threshold(spark):
     assert sum(missed) < 32 and sum(missed[:800]) < 10  # 8 bands of 3 independent rows: 12.8 and 2.6 are expected
 
 
+def test_a_stranger_in_a_large_bucket_costs_one_pass(spark):
+    """Of a bucket with n linked nodes and one stranger, n pairs are held against the condition after the pivot step."""
+    from tidemart.llm.common import Scratch, connected_components, link_buckets
+
+    n = 3000
+    members = spark.range(n + 1).select(F.lit(1).alias("k"), F.when(F.col("id") < n, F.col("id")).otherwise(1 << 40).alias("x"),
+                                        F.lit(5).cast("bigint").alias("p"))
+    scratch, asked = Scratch(spark, "t"), []
+
+    def verify(pairs):
+        asked.append(pairs.count())
+        return pairs.where("b < 1000000")
+
+    got = link_buckets(scratch.table(members, "m"), ["k"], lambda a, b: F.lit(True), scratch, verify)
+    assert asked == [n, n - 1]  # every member against the pivot, then the stranger against the others
+    assert {r.component for r in got.collect()} == {0} and got.count() == n
+    assert connected_components(spark.createDataFrame([], "a long, b long"), "a", "b", scratch).collect() == []
+
+
 # ---- substrings ---------------------------------------------------------------------
 def test_difference_covers():
     for p, d in DIFFERENCE_COVERS.items():
@@ -299,6 +318,13 @@ def test_embedding_dedup_matches_brute_force(spark):
     assert embedding_near_dedup(df.limit(0)).collect() == []
 
 
+def test_embedding_labels_do_not_run_into_components(spark):
+    rows = [(1, [1.0, 2.0], "a"), (2, [2.0], "a,1.0"), (3, [1.0, 2.0], "a"), (4, [3.0], ""), (5, [3.0], None)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_near_dedup(df).collect()}
+    assert got == {1: (1, 1), 2: (0, 2), 3: (1, 1), 4: (0, 4), 5: (0, 5)}
+
+
 def test_embedding_batches_stay_small_with_a_hot_bucket(spark, monkeypatch):
     rng = np.random.default_rng(6)
     hot = rng.standard_normal(24)

@@ -126,45 +126,61 @@ def connected_components(edges: DataFrame, a: str, b: str, scratch: Scratch) ->
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
 
 
-def bucket_links(members: DataFrame, keys: list[str], node: str, verify, scratch: Scratch,
-                 one_shuffle: bool = False) -> DataFrame:
-    """Components of nodes that share a bucket and pass ``verify``, without listing pairs within a component.
+def bucket_pivots(members: DataFrame, keys: list[str], node: str) -> DataFrame:
+    """``keys, x, p``: the members (BIGINT ``node``, as ``x``) of buckets with two or more, and the bucket's pivot.
 
-    A bucket of n members that do not link still lists about n * n / 2 pairs in step 2.
-
-    ``members`` has one row per (bucket ``keys``, BIGINT ``node``); ``verify(pairs)`` takes distinct rows ``(a, b)`` of
-    nodes and keeps those that truly link. Two exact steps:
-
-    1. every member of a bucket is checked against one pivot, a hash-chosen member that differs from bucket to
-       bucket; verified pairs are joined into components. Rows: one per member, so a large bucket stays linear;
-    2. only buckets that still hold two or more components are paired, and only across components. Two members
-       of one component need no check, since a further link between them changes nothing.
-
-    No bucket is capped and no candidate dropped: each pair of a bucket is checked, or both ends are already joined.
-    Returns ``(node, component)`` of the nodes with a link.
-
-    The sizes of buckets are partial aggregates joined back, so a hot bucket is combined before the shuffle and its
-    join partition can be split. ``one_shuffle`` deals the members by bucket once for both, which halves the disk but
-    keeps a bucket's members in one task.
+    The pivot is a hash-chosen member that differs from bucket to bucket. Sizes are partial aggregates joined back, so a
+    hot bucket is combined before the shuffle and its join partition can be split.
     """
     mark = F.xxhash64(*keys)  # node XOR mark: an order of the nodes that differs from bucket to bucket
     marked = F.col(node).bitwiseXOR(mark)
-    if one_shuffle:
-        members = members.repartition(*keys)
     several = members.groupBy(*keys).agg(F.min(marked).alias("_lo"), F.max(marked).alias("_hi")).where("_lo != _hi")
     several = several.select(*keys, F.col("_lo").bitwiseXOR(mark).alias("p"))
-    shared = scratch.table(members.join(several, keys).select(*keys, F.col(node).alias("x"), "p"), "shared")
-    stars = scratch.table(shared.where("x != p").select(F.least("x", "p").alias("a"), F.greatest("x", "p").alias("b"))
-                          .distinct(), "stars")
-    links = scratch.table(verify(stars).select("a", "b"), "links")
+    return members.join(several, keys).select(*keys, F.col(node).alias("x"), "p")
+
+
+def link_buckets(shared: DataFrame, keys: list[str], near, scratch: Scratch, verify=None,
+                 info: DataFrame | None = None) -> DataFrame:
+    """``(node, component)`` of the nodes that share a bucket and link, without pairing members of one component.
+
+    ``shared`` is a written table of (bucket ``keys``, node ``x``, pivot ``p``). ``near(a, b)`` is a condition over columns ``a, b``
+    (nodes) and ``a_<c>, b_<c>`` for the columns of ``info`` (one row per node ``x``) that holds for every pair that links;
+    ``verify(pairs)`` keeps of distinct rows ``(a, b)`` those that truly link (None: the condition is exact). Steps:
+
+    1. every member of a bucket is held against its pivot; links are joined into components. Linear in the members;
+    2. buckets that still hold several components: members outside the bucket's largest component are held against the
+       members of other components. A bucket of n linked members and one stranger takes n comparisons; n members
+       that do not link take n * n / 2, inside the join, where only pairs that pass ``near`` become rows. The join's
+       partitions are split when they are skewed.
+
+    No bucket is capped and no candidate dropped: each pair of a bucket is held against ``near``, or both ends are
+    already joined. Returns the nodes with a link.
+    """
+    def described(df: DataFrame, side: str) -> DataFrame:
+        if info is None:
+            return df
+        cols = [c for c in info.columns if c != "x"]
+        return df.join(info.select(F.col("x").alias(f"_{side}"), *[F.col(c).alias(f"{side}_{c}") for c in cols]),
+                       F.col(side) == F.col(f"_{side}")).drop(f"_{side}")
+
+    stars = shared.where("x != p").select(F.least("x", "p").alias("a"), F.greatest("x", "p").alias("b")).distinct()
+    stars = scratch.table(described(described(stars, "a"), "b").where(near("a", "b")).select("a", "b"), "stars")
+    links = stars if verify is None else scratch.table(verify(stars).select("a", "b"), "links")
     comp = scratch.table(connected_components(links, "a", "b", scratch), "components")
-    known = shared.join(comp.withColumnRenamed("node", "x"), "x", "left").select(
+    known = shared.select(*keys, "x").join(comp.withColumnRenamed("node", "x"), "x", "left").select(
         *keys, "x", F.coalesce("component", "x").alias("c"))
-    open_ = known.groupBy(*keys).agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo != hi").select(*keys)
-    rest = scratch.table(known.join(open_, keys), "open")
-    left, right = rest.select(*keys, F.col("x").alias("a"), F.col("c").alias("ca")), rest.select(
-        *keys, F.col("x").alias("b"), F.col("c").alias("cb"))
-    cross = left.join(right, keys).where("a < b and ca != cb").select("a", "b").distinct()
-    cross = cross.join(stars, ["a", "b"], "left_anti")  # those are checked
-    more = scratch.table(verify(cross).select("a", "b"), "cross")
+    parts = scratch.table(known.groupBy(*keys, "c").agg(F.count(F.lit(1)).alias("n")), "parts")
+    open_ = parts.groupBy(*keys).agg(F.count(F.lit(1)).alias("cs"), F.max(F.struct("n", "c")).alias("most")).where("cs > 1")
+    rest = scratch.table(known.join(open_.select(*keys, F.col("most.c").alias("main")), keys), "open")
+    left = described(rest.where("c != main").select(*[F.col(k).alias(f"l_{k}") for k in keys], F.col("x").alias("a"),
+                                                    F.col("c").alias("ca")), "a")
+    right = described(rest.select(*keys, F.col("x").alias("b"), F.col("c").alias("cb"), "main"), "b")
+    same = F.lit(True)
+    for k in keys:
+        same = same & (F.col(f"l_{k}") == F.col(k))
+    cross = left.join(right, same & (F.col("ca") != F.col("cb")) & ((F.col("cb") == F.col("main")) | (F.col("a") < F.col("b")))
+                      & near("a", "b"))
+    cross = cross.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(
+        stars, ["a", "b"], "left_anti")  # those are checked
+    more = scratch.table(cross if verify is None else verify(cross).select("a", "b"), "cross")
     return connected_components(links.unionByName(more), "a", "b", scratch)

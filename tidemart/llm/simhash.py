@@ -19,7 +19,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import Scratch, bucket_links
+from tidemart.llm.common import Scratch, bucket_pivots, link_buckets
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -78,8 +78,8 @@ def simhash_components(fps: DataFrame, radius: int, scratch: Scratch, fp_col: st
     tables = F.array(*[F.struct(F.lit(t).alias("t"), F.col("x").bitwiseAND(F.lit(m)).alias("k"))
                        for t, m in enumerate(covering_masks(radius))])
     members = distinct.select("x", F.explode(tables).alias("e")).select("x", "e.t", "e.k")
-    close = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius
-    return bucket_links(members, ["t", "k"], "x", lambda pairs: pairs.where(close), scratch)
+    shared = scratch.table(bucket_pivots(members, ["t", "k"], "x"), "shared")
+    return link_buckets(shared, ["t", "k"], lambda a, b: F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= radius, scratch)
 
 
 def simhash_near_dedup(docs: DataFrame, shingle_words: int = 4, radius: int = 4, id_col: str = "doc_id",
