@@ -23,21 +23,20 @@ def corpus(rng, n):
 
 
 def test_gradients_match_finite_differences():
-    s = tox.Settings(window=6, stride=3, hidden=3, dim=4, words=32, grams=32)
+    s = tox.Settings(window=4, pad=2, segment=100, hidden=3, dim=4, words=32, grams=32)
     t = tox._Text(["one two three four five six seven eight", "nine"], s, tox._powers())
-    windows, present, _ = t.windows(s)
+    at, doc = t.windows(s)
     p = {k: v.astype(np.float64) for k, v in tox._init(s).items()}
-    y = np.array([1.0, 0, 1.0, 0][:len(windows)])
-    words, place = np.unique(windows, return_inverse=True)
-    place = place.reshape(len(windows), -1)
-    if words[0] < 0:
-        words, place = words[1:], np.where(place == 0, len(words) - 1, place - 1)
+    y = np.array([1.0, 0, 1.0, 0, 1.0, 1.0])[:len(at)]
+    words, place, present, core = tox._batch(t, at, doc, s)
 
     def loss():
-        z = tox._logits(p, tox._project(p, t), windows, present).astype(np.float64)
+        x = tox._project(p, t)[:-1][words]
+        x = np.concatenate([x, p["bin"][None, :]]).astype(np.float32)[place.T]
+        z = tox._pool(p, tox._states(p, x, present.T), core)[0].astype(np.float64)
         return float(np.mean(np.log1p(np.exp(z)) - y * z))
 
-    g = tox._gradients(p, t, words, place, present, y)
+    g = tox._gradients(p, t, words, place, present, core, y)
     rng = np.random.default_rng(1)
     for k in g:
         flat = p[k].reshape(-1)
@@ -52,18 +51,49 @@ def test_gradients_match_finite_differences():
             assert abs((up - down) / (2 * step) - g[k].reshape(-1)[i]) < 3e-3 + 0.05 * abs(g[k].reshape(-1)[i]), k
 
 
-def test_windows_overlap_and_cover_whole_texts():
-    s = tox.Settings(window=8, stride=4)
+def test_every_word_starts_a_window():
+    s = tox.Settings(window=8)
     texts = ["", None, "a", " ".join(map(str, range(8))), " ".join(map(str, range(30))), "!!", "x y"]
     t = tox._Text(texts, s, tox._powers())
-    windows, present, doc = t.windows(s)
-    assert set(doc.tolist()) == {2, 3, 4, 6}
-    for d, n in ((2, 1), (3, 8), (4, 30), (6, 2)):
-        own = t.word[t.first[d]:t.first[d + 1]]
-        assert len(own) == n
-        seen = windows[doc == d]
-        assert set(seen[present[doc == d]].tolist()) == set(own.tolist())
-    assert (doc == 4).sum() == 7
+    at, doc = t.windows(s)
+    own = {d: (at[doc == d] - t.first[d]).tolist() for d in range(len(texts))}
+    assert own == {0: [], 1: [], 2: [0], 3: [0], 4: list(range(23)), 5: [], 6: [0]}
+
+
+def plain_logits(p, x, s):
+    """Window by window, for the projected words ``x`` of one text: states of one pass over the text, then pooling."""
+    def gru(x, u):
+        h, out, state = u.shape[0], [], np.zeros(u.shape[0])
+        for row in x:
+            zr = 1 / (1 + np.exp(-(row[:2 * h] + state @ u[:, :2 * h])))
+            state = state + zr[:h] * (np.tanh(row[2 * h:] + (zr[h:] * state) @ u[:, 2 * h:]) - state)
+            out.append(state)
+        return np.array(out)
+
+    h = p["uf"].shape[0]
+    states = np.concatenate([gru(x[:, :3 * h], p["uf"]), gru(x[::-1, 3 * h:], p["ub"])[::-1]], axis=1)
+    out = []
+    for a in range(max(1, len(x) - s.window + 1)):
+        own = states[a:a + s.window]
+        e = np.exp(np.tanh(own @ p["wa"]) @ p["va"])
+        out.append((e / e.sum()) @ own @ p["wo"] + p["bo"][0])
+    return np.array(out)
+
+
+def test_scores_equal_brute_force_window_by_window():
+    rng = random.Random(1)
+    texts = [" ".join(rng.choice("abcdefghij") * rng.randrange(1, 4) for _ in range(n)) for n in (0, 1, 5, 7, 8, 40, 200)]
+    s = tox.Settings(window=7, pad=300, segment=30, hidden=4, dim=4, words=64, grams=64)
+    t = tox._Text(texts, s, tox._powers())
+    p = tox._init(s)
+    x, got, (_, doc) = tox._project(p, t), None, t.windows(s)
+    got = tox._logits(p, x, t, s)
+    for d in range(1, len(texts)):
+        own = x[t.word[t.first[d]:t.first[d + 1]]]
+        assert np.abs(got[doc == d] - plain_logits(p, own, s)).max() < 1e-4, d
+    for window in (1, 2, 5, 7, 8, 32):
+        v = np.arange(100.0)[:, None] ** 2
+        assert np.allclose(tox._sums(v, window)[:, 0], np.convolve(v[:, 0], np.ones(window), "valid"))
 
 
 def test_held_out_accuracy_and_edges(spark):
@@ -83,6 +113,13 @@ def test_held_out_accuracy_and_edges(spark):
     right = sum(by[i].predicted == y for i, y in enumerate(labels[600:]))
     assert right >= 0.95 * 300
     assert tox.score_documents(docs_frame(spark, []), model, s).collect() == []
+    # a toxic run is found wherever it starts: no verdict depends on words put in front
+    p, powers = model, tox._powers()
+    clean = " ".join(texts[k] for k in range(40) if not labels[k]).split()
+    for offset in range(16):
+        run = tox._Text([" ".join([*clean[:offset], "vrakz", "grublox", "vrakz", *clean[20:300]])], s, powers)
+        best = tox._logits(p, tox._project(p, run), run, s).max() + p["offset"][0]
+        assert best > np.log(0.7 / 0.3), offset
 
 
 def test_training_never_sees_held_out_rows(spark):

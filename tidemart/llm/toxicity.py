@@ -1,9 +1,13 @@
 """Toxicity: a bidirectional GRU with attention pooling over character and word inputs, trained and run in numpy.
 
 A word's input is its word embedding (hashed vocabulary) beside the scaled sum of the embeddings of its byte 3-grams
-and 5-grams, borders included. A window of words runs through a GRU in both directions; attention pools the states; a logistic output
-scores the window. A document's score is that of its most toxic window: windows start at every
-``stride``-th word of the whole text, and the last one ends with it. Labels exist per document only, so training is by multiple instances: of a toxic document the window that the
+and 5-grams, borders included. A GRU reads the text in both directions; attention pools the states of a window of words; a
+logistic output scores the window. A document's score is that of its most toxic window, and every word starts a window
+(the last one ends with the text). Overlapping windows share their words' states: a state is read with at least ``pad``
+words of context on its side of the window, or up to the text's border, so the GRU runs about twice over each word, and
+pooled windows are sliding sums of the attention weights and weighted states.
+
+Labels exist per document only, so training is by multiple instances: of a toxic document the window that the
 model finds most toxic counts as toxic, of a clean one its most toxic and some random windows count as clean. The first
 dimension of the embeddings starts from how surely a word or gram is more frequent in toxic training documents, so
 that the first windows are well chosen even with few labels.
@@ -34,12 +38,14 @@ _GRAM = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F, 0x165667B1], n
 
 
 _WORDS = 20_000  # distinct words whose grams are handled at once
+_BLOCK = 100_000  # words whose windows are scored at once in training
 
 
 class Settings:
-    """Sizes of the model and of its training. ``sample_rows`` bounds the labelled rows that training reads."""
+    """Sizes of the model and of its training. ``sample_rows`` bounds the labelled rows that training reads, ``segment``
+    the words that the GRU reads in one go besides ``pad`` words of context before and after them."""
 
-    def __init__(self, window=32, stride=16, hidden=8, dim=16, words=1 << 13, grams=1 << 14, sample_rows=6000,
+    def __init__(self, window=32, pad=16, segment=240, hidden=8, dim=16, words=1 << 13, grams=1 << 14, sample_rows=6000,
                  epochs=6, batch=256, rate=0.01, threshold=0.7, seed=5):
         self.__dict__.update({k: v for k, v in locals().items() if k != "self"})
 
@@ -99,26 +105,36 @@ class _Text:
             out[k:k + _WORDS] = np.add.reduceat(table[gram], np.cumsum(n) - n, axis=0) / np.sqrt(n)[:, None].astype(table.dtype)
         return out
 
-    def windows(self, s: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """``(distinct-word places (n, window), present (n, window), document)`` of the windows at every
-        ``stride``-th word; the last window of a document ends with it."""
-        starts, stops, docs = [], [], []
-        for d in range(len(self.first) - 1):
-            a, b = int(self.first[d]), int(self.first[d + 1])
-            if a == b:
-                continue
-            own = np.arange(a, max(b - s.window, a) + 1, s.stride)
-            if own[-1] + s.window < b:
-                own = np.append(own, b - s.window)
-            starts.append(own)
-            stops.append(np.full(len(own), b))
-            docs.append(np.full(len(own), d))
-        if not starts:
-            return np.zeros((0, s.window), np.int64), np.zeros((0, s.window), bool), np.zeros(0, np.int64)
-        at = np.concatenate(starts)[:, None] + np.arange(s.window)
-        present = at < np.concatenate(stops)[:, None]
-        places = np.where(present, self.word[np.minimum(at, len(self.word) - 1)], -1).astype(np.int32)
-        return places, present, np.concatenate(docs)
+    def windows(self, s: Settings) -> tuple[np.ndarray, np.ndarray]:
+        """``(first word, document)`` of all windows: one for every word that has ``window - 1`` words after it, and one
+        for a shorter text."""
+        n = np.diff(self.first)
+        at, doc = _ranges(self.first[:-1], np.where(n > 0, np.maximum(n - s.window + 1, 1), 0))
+        return at, doc
+
+    def part(self, a: int, b: int) -> "_Text":
+        """The texts from ``a`` to ``b``, over the same distinct words."""
+        out = object.__new__(_Text)
+        out.__dict__.update(self.__dict__)
+        out.first, out.word = self.first[a:b + 1] - self.first[a], self.word[self.first[a]:self.first[b]]
+        return out
+
+    def blocks(self, words: int) -> Iterator[tuple[int, int]]:
+        """Ranges of texts with about so many words each."""
+        a = 0
+        for b in range(1, len(self.first)):
+            if self.first[b] - self.first[a] >= words or b == len(self.first) - 1:
+                yield a, b
+                a = b
+
+    def spans(self, at: np.ndarray, doc: np.ndarray, length: int, pad: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``(places, present, core)``, each (n, pad + length + pad): the words from ``at`` on, ``length`` of them, with
+        context, inside their document. ``places`` are places among the distinct words, -1 for padding."""
+        where = at[:, None] - pad + np.arange(length + 2 * pad)
+        present = (where >= self.first[doc][:, None]) & (where < self.first[doc + 1][:, None])
+        core = present & (where >= at[:, None]) & (where < at[:, None] + length)
+        places = np.where(present, self.word[np.clip(where, 0, max(0, len(self.word) - 1))], -1).astype(np.int32)
+        return places, present, core
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -138,30 +154,33 @@ def _init(s: Settings) -> dict[str, np.ndarray]:
             "wo": normal(2 * h, scale=(2 * h) ** -0.5), "bo": np.full(1, -2, np.float32)}
 
 
-def _gru(x: np.ndarray, u: np.ndarray, keep: bool):
-    """States (time, n, hidden) of a GRU over inputs (time, n, 3 hidden); with ``keep`` also what its gradient needs."""
+def _gru(x: np.ndarray, u: np.ndarray, keep: bool, present: np.ndarray):
+    """States (time, n, hidden) of a GRU over inputs (time, n, 3 hidden), zero where nothing is ``present`` (time, n); with
+    ``keep`` also what its gradient needs."""
     steps, n, h = x.shape[0], x.shape[1], u.shape[0]
     state, states, saved = np.zeros((n, h), np.float32), np.empty((steps, n, h), np.float32), []
     gates, cand = np.ascontiguousarray(u[:, :2 * h]), np.ascontiguousarray(u[:, 2 * h:])
+    there = present[:, :, None].astype(np.float32)
     for t in range(steps):
         zr = _sigmoid(x[t, :, :2 * h] + state @ gates)
         z, r = zr[:, :h], zr[:, h:]
         c = np.tanh(x[t, :, 2 * h:] + (r * state) @ cand)
         if keep:
             saved.append((state, z, r, c))
-        state = state + z * (c - state)
+        state = (state + z * (c - state)) * there[t]
         states[t] = state
     return states, saved
 
 
-def _gru_gradient(d_states: np.ndarray, saved: list, u: np.ndarray):
+def _gru_gradient(d_states: np.ndarray, saved: list, u: np.ndarray, present: np.ndarray):
     """Gradients of the inputs and of ``u``."""
     steps, n, h = d_states.shape
     gates, cand = u[:, :2 * h], u[:, 2 * h:]
     dx, du, carry = np.empty((steps, n, 3 * h), np.float32), np.zeros_like(u), np.zeros((n, h), np.float32)
+    there = present[:, :, None].astype(np.float32)
     for t in reversed(range(steps)):
         state, z, r, c = saved[t]
-        g = d_states[t] + carry
+        g = (d_states[t] + carry) * there[t]
         dc = g * z * (1 - c * c)
         drs = dc @ cand.T
         dzr = np.concatenate([g * (c - state) * z * (1 - z), drs * state * r * (1 - r)], axis=1)
@@ -182,16 +201,60 @@ def _pool(p: dict, states: np.ndarray, present: np.ndarray):
     return pooled @ p["wo"] + p["bo"][0], (act, a, pooled)
 
 
-def _logits(p: dict, inputs: np.ndarray, windows: np.ndarray, present: np.ndarray) -> np.ndarray:
-    """Window logits for projected inputs of the distinct words (the last row is the padding)."""
-    h, out = p["uf"].shape[0], []
-    for at in range(0, len(windows), 2048):
-        x = inputs[windows[at:at + 2048].T]
-        f, _ = _gru(x[:, :, :3 * h], p["uf"], False)
-        b, _ = _gru(x[::-1, :, 3 * h:], p["ub"], False)
-        states = np.concatenate([f, b[::-1]], axis=2).transpose(1, 0, 2)
-        out.append(_pool(p, states, present[at:at + 2048])[0])
-    return np.concatenate(out) if out else np.zeros(0, np.float32)
+def _states(p: dict, x: np.ndarray, present: np.ndarray) -> np.ndarray:
+    """States of both directions (n, time, 2 hidden) for inputs (time, n, 6 hidden)."""
+    h = p["uf"].shape[0]
+    f, _ = _gru(x[:, :, :3 * h], p["uf"], False, present)
+    b, _ = _gru(x[::-1, :, 3 * h:], p["ub"], False, present[::-1])
+    return np.concatenate([f, b[::-1]], axis=2).transpose(1, 0, 2)
+
+
+def _word_states(p: dict, inputs: np.ndarray, t: _Text, s: Settings) -> np.ndarray:
+    """States (words, 2 hidden) of all words, read in segments with context. ``inputs``: projected distinct words."""
+    n = np.diff(t.first)
+    parts = -(-n // s.segment)
+    start, doc = _ranges(np.zeros(len(n), np.int64), parts)
+    size = -(-n // np.maximum(parts, 1))  # a text is cut into equal segments
+    at, length = t.first[doc] + start * size[doc], size[doc]
+    out = np.zeros((len(t.word), 2 * p["uf"].shape[0]), np.float32)
+    order = np.argsort(length, kind="stable")  # segments of like length together, so that few places are padding
+    for k in range(0, len(order), 512):
+        some = order[k:k + 512]
+        longest = int(length[some].max())
+        places, present, core = t.spans(at[some], doc[some], longest, s.pad)
+        core &= np.arange(longest + 2 * s.pad) < (s.pad + length[some])[:, None]
+        states = _states(p, inputs[places.T], present.T)
+        out[(at[some][:, None] - s.pad + np.arange(longest + 2 * s.pad))[core]] = states[core]
+    return out
+
+
+def _sums(x: np.ndarray, window: int) -> np.ndarray:
+    """Sums of ``window`` consecutive rows, by doubling: only numbers of the window itself are added."""
+    total, done, at, power = None, 0, x, 1
+    while done < window:
+        if window & power:
+            part = at[done:]
+            total = part.copy() if total is None else total[:len(part)] + part[:len(total)]
+            done += power
+        if done < window:
+            at, power = at[:-power] + at[power:], power * 2
+    return total
+
+
+def _logits(p: dict, inputs: np.ndarray, t: _Text, s: Settings) -> np.ndarray:
+    """Logits of all windows of :meth:`_Text.windows`."""
+    at, _ = t.windows(s)
+    if not len(at):
+        return np.zeros(0, np.float32)
+    states = _word_states(p, inputs, t, s)
+    e = np.exp(np.clip(np.tanh(states @ p["wa"]) @ p["va"], -60, 60)).astype(np.float64)
+    # what a window needs of a word: its weight and its weighted share of the output; nothing follows a text's end
+    n = np.diff(t.first)
+    place = np.arange(len(e)) + (np.cumsum(np.full(len(n), s.window)) - s.window)[np.repeat(np.arange(len(n)), n)]
+    spread = np.zeros((len(e) + s.window * (len(n) + 1), 2))
+    spread[place, 0], spread[place, 1] = e, e * (states @ p["wo"])
+    pooled = _sums(spread, s.window)[place[at]]
+    return (pooled[:, 1] / pooled[:, 0] + p["bo"][0]).astype(np.float32)
 
 
 def _project(p: dict, t: _Text) -> np.ndarray:
@@ -200,17 +263,18 @@ def _project(p: dict, t: _Text) -> np.ndarray:
     return np.concatenate([x, p["bin"][None, :]]).astype(np.float32)
 
 
-def _gradients(p: dict, t: _Text, words: np.ndarray, windows: np.ndarray, present: np.ndarray, y: np.ndarray) -> dict:
-    """Gradients of the mean log loss for some windows; ``words``: the distinct words they use, ``windows`` places
-    among these (the place behind the last is padding)."""
+def _gradients(p: dict, t: _Text, words: np.ndarray, windows: np.ndarray, present: np.ndarray, core: np.ndarray,
+               y: np.ndarray) -> dict:
+    """Gradients of the mean log loss for some windows (``core``) with their context; ``words``: the distinct words they use,
+    ``windows`` places among these (the place behind the last is padding)."""
     h, d, n = p["uf"].shape[0], p["word"].shape[1], len(windows)
     emb = np.concatenate([np.concatenate([p["word"][t.bucket[words]], t.gram_sums(words, p["char"])], axis=1),
                           np.zeros((1, 2 * d), np.float32)])
     x = (emb @ p["win"] + p["bin"])[windows.T]
-    f, saved_f = _gru(x[:, :, :3 * h], p["uf"], True)
-    b, saved_b = _gru(x[::-1, :, 3 * h:], p["ub"], True)
+    f, saved_f = _gru(x[:, :, :3 * h], p["uf"], True, present.T)
+    b, saved_b = _gru(x[::-1, :, 3 * h:], p["ub"], True, present.T[::-1])
     states = np.concatenate([f, b[::-1]], axis=2).transpose(1, 0, 2)
-    logit, (act, a, pooled) = _pool(p, states, present)
+    logit, (act, a, pooled) = _pool(p, states, core)
     dl = ((_sigmoid(logit) - y) / n).astype(np.float32)
     g = {"wo": pooled.T @ dl, "bo": np.array([dl.sum()], np.float32)}
     dp = dl[:, None] * p["wo"]
@@ -220,8 +284,8 @@ def _gradients(p: dict, t: _Text, words: np.ndarray, windows: np.ndarray, presen
     g["va"] = np.einsum("nt,nth->h", de, act)
     g["wa"] = states.reshape(-1, 2 * h).T @ dact.reshape(-1, 2 * h)
     ds = (a[:, :, None] * dp[:, None, :] + dact @ p["wa"].T).transpose(1, 0, 2)
-    dxf, g["uf"] = _gru_gradient(ds[:, :, :h], saved_f, p["uf"])
-    dxb, g["ub"] = _gru_gradient(ds[::-1, :, h:], saved_b, p["ub"])
+    dxf, g["uf"] = _gru_gradient(ds[:, :, :h], saved_f, p["uf"], present.T)
+    dxb, g["ub"] = _gru_gradient(ds[::-1, :, h:], saved_b, p["ub"], present.T[::-1])
     dx = np.concatenate([dxf, dxb[::-1]], axis=2).reshape(-1, 6 * h)
     g["bin"] = dx.sum(axis=0)
     demb_in = np.zeros((len(emb), 6 * h), np.float32)
@@ -235,6 +299,16 @@ def _gradients(p: dict, t: _Text, words: np.ndarray, windows: np.ndarray, presen
     return g
 
 
+def _batch(t: _Text, at: np.ndarray, doc: np.ndarray, s: Settings):
+    """``words, windows, present, core`` of some windows for :func:`_gradients`."""
+    places, present, core = t.spans(at, doc, s.window, s.pad)
+    words, place = np.unique(places, return_inverse=True)
+    place = place.reshape(places.shape)
+    if words[0] < 0:  # padding goes behind the last word
+        words, place = words[1:], np.where(place == 0, len(words) - 1, place - 1)
+    return words, place, present, core
+
+
 def _most(values: np.ndarray, docs: np.ndarray, n: int) -> np.ndarray:
     """Largest value per document (minus infinity without any)."""
     out = np.full(n, -np.inf)
@@ -263,11 +337,12 @@ def train(texts: list[str | None], labels: list[int], s: Settings) -> dict[str,
     lies where it separates the classes best."""
     y = np.asarray(labels, np.float32)
     rng, t = np.random.default_rng(s.seed), _Text(texts, s, _powers())
-    windows, present, doc = t.windows(s)
+    n = np.diff(t.first)
+    n_windows = np.where(n > 0, np.maximum(n - s.window + 1, 1), 0)
     p = _init(s)
     fold = np.arange(len(texts)) % 5 == 4
-    first_score = np.zeros(len(windows))
-    if len(windows):
+    seen = np.zeros(0)
+    if len(t.word):
         number = np.cumsum(~fold) - 1
 
         def distinct():  # (documents, their distinct words), some documents at a time
@@ -285,19 +360,41 @@ def train(texts: list[str | None], labels: list[int], s: Settings) -> dict[str,
 
         p["word"][:, 0] = _evidence(((doc_, t.bucket[word]) for doc_, word in distinct()), s.words, y[~fold])
         p["char"][:, 0] = _evidence(grams(), s.grams, y[~fold])
-        seen = np.append(p["word"][t.bucket, 0] + t.gram_sums(None, p["char"][:, :1])[:, 0], -np.inf)
-        first_score = seen[windows].max(axis=1)
+        seen = (p["word"][t.bucket, 0] + t.gram_sums(None, p["char"][:, :1])[:, 0])
+
+    def best(epoch: int) -> tuple[np.ndarray, np.ndarray]:
+        """Per document the first word of its most toxic window (-1 without words), and that window's score. Texts are
+        scored some at a time; the first epoch goes by the evidence of the window's most telling word."""
+        top, value = np.full(len(texts), -1), np.full(len(texts), -np.inf)
+        inputs = _project(p, t) if epoch else None
+        for a, b in t.blocks(_BLOCK):
+            some = t.part(a, b)
+            start, doc = some.windows(s)
+            if not len(start):
+                continue
+            if epoch:
+                score = _logits(p, inputs, some, s)
+            else:
+                word = np.append(seen[some.word], np.full(s.window, -np.inf))
+                ends = np.minimum(start + s.window, some.first[doc + 1])
+                score = np.max([np.where(start + k < ends, word[start + k], -np.inf) for k in range(s.window)], axis=0)
+            order = np.lexsort((-score, doc))
+            order = order[np.concatenate([[True], np.diff(doc[order]) != 0])]
+            top[a + doc[order]], value[a + doc[order]] = t.first[a] + start[order], score[order]
+        return top, value
+
     moment = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in p.items()}
-    train_window = np.flatnonzero(~fold[doc]) if len(doc) else np.zeros(0, np.int64)
+    upto = np.cumsum(np.where(fold, 0, n_windows))  # windows of the training texts, one after another
     step = 0
-    for epoch in range(s.epochs if len(train_window) else 0):
-        score = _logits(p, _project(p, t), windows, present) if epoch else first_score
-        order = np.lexsort((-score, doc))
-        top = order[np.concatenate([[True], np.diff(doc[order]) != 0])]
-        top = top[~fold[doc[top]]]
-        extra = rng.choice(train_window, min(len(train_window), 2 * len(top)), replace=False)
-        extra = extra[y[doc[extra]] == 0]
-        chosen = np.concatenate([top, extra])
+    for epoch in range(s.epochs if len(upto) and upto[-1] else 0):
+        first, _ = best(epoch)
+        own = np.flatnonzero(~fold & (first >= 0))
+        pick = np.unique(rng.integers(0, upto[-1], min(int(upto[-1]), 2 * len(own))))
+        other = np.searchsorted(upto, pick, "right")
+        place = pick - (upto - np.where(fold, 0, n_windows))[other]
+        other, place = other[y[other] == 0], place[y[other] == 0]
+        doc, start = np.concatenate([own, other]), np.concatenate([first[own], t.first[other] + place])
+        chosen = np.arange(len(doc))
         toxic = chosen[y[doc[chosen]] == 1]
         clean = chosen[y[doc[chosen]] == 0]
         if len(toxic) and len(clean) > 2 * len(toxic):  # rare positives are shown more often
@@ -306,11 +403,7 @@ def train(texts: list[str | None], labels: list[int], s: Settings) -> dict[str,
         batch = min(s.batch, max(16, len(chosen) // 40))  # few labels: smaller batches, so that there are enough steps
         for at in range(0, len(chosen), batch):
             some = chosen[at:at + batch]
-            words, place = np.unique(windows[some], return_inverse=True)
-            place = place.reshape(len(some), -1)
-            if words[0] < 0:  # padding goes behind the last word
-                words, place = words[1:], np.where(place == 0, len(words) - 1, place - 1)
-            g = _gradients(p, t, words, place, present[some], y[doc[some]])
+            g = _gradients(p, t, *_batch(t, start[some], doc[some], s), y[doc[some]])
             size = np.sqrt(sum(float((v * v).sum()) for v in g.values()))
             step += 1
             rate = s.rate * np.sqrt(1 - 0.999 ** step) / (1 - 0.9 ** step)
@@ -321,10 +414,10 @@ def train(texts: list[str | None], labels: list[int], s: Settings) -> dict[str,
                 m2 += 0.001 * (v * v - m2)
                 p[k] -= (rate * m1 / (np.sqrt(m2) + 1e-7)).astype(np.float32)
     p["offset"] = np.zeros(1)
-    if len(windows):
-        best = _most(_logits(p, _project(p, t), windows, present), doc, len(texts))
-        use = fold & np.isfinite(best) if len(np.unique(y[fold & np.isfinite(best)])) > 1 else np.isfinite(best)
-        p["offset"][0] = np.log(s.threshold / (1 - s.threshold)) - _cut(best[use], y[use])
+    if len(t.word):
+        _, value = best(1)
+        use = fold & np.isfinite(value) if len(np.unique(y[fold & np.isfinite(value)])) > 1 else np.isfinite(value)
+        p["offset"][0] = np.log(s.threshold / (1 - s.threshold)) - _cut(value[use], y[use])
     return p
 
 
@@ -369,8 +462,7 @@ def score_documents(docs: DataFrame, model: dict[str, np.ndarray], s: Settings,
 
         def scores(texts: list[str | None]) -> np.ndarray:
             t = _Text(texts, s, powers)
-            windows, present, doc = t.windows(s)
-            best = _most(_logits(p, _project(p, t), windows, present), doc, len(texts))
+            best = _most(_logits(p, _project(p, t), t, s), t.windows(s)[1], len(texts))
             return np.where(np.isfinite(best), _sigmoid(best + p["offset"][0]), 0.0)
 
         for frame in frames:
