@@ -34,7 +34,8 @@ def build_envelopes(df: DataFrame, db: str, table: str, op: Column, ts_ms: Colum
             return F.lit(None).cast("map<string,string>")
         if isinstance(cols, Column):
             return cols.cast("map<string,string>")
-        return F.map_from_arrays(F.array(*[F.lit(k) for k in cols]), F.array(*[c.cast("string") for c in cols.values()]))
+        # create_map: the optimizer takes a field read from it for the field's column, so projections make no map
+        return F.create_map(*[x for k, c in cols.items() for x in (F.lit(k), c.cast("string"))])
 
     source = F.create_map(F.lit("db"), F.lit(db), F.lit("table"), F.lit(table), F.lit("ts_ms"), ts_ms.cast("string"))
     return df.select(as_map(before).alias("before"), as_map(after).alias("after"), source.alias("source"),

@@ -181,16 +181,20 @@ def order_detail_feed(spark, sf_dir):
     """PRJ9/PRJ10/JON1/JON2 end to end from the change feed: details, headers, activities and coupons are taken from one
     feed of inserts by the source's projections and joined. (Each projection prunes the feed to its own table.)"""
     env = order_feed(spark, sf_dir)
-    det, head = order_details(env), order_headers(env).withColumnRenamed("id", "h_id")
+    head = order_headers(env).select(F.col("id").alias("h_id"), F.col("user_id").cast("bigint").alias("user_id"))
+    # typed before the joins: numbers are narrower than their text in the shuffles
+    det = order_details(env).select(
+        "id", "order_id", F.col("sku_id").cast("bigint").alias("sku_id"), "sku_name",
+        F.col("create_time").cast("bigint").alias("create_time"), F.col("sku_num").cast("bigint").alias("sku_num"),
+        "split_original_amount", F.col("split_total_amount").cast("double").alias("split_total_amount"))
     act = detail_activities(env).select(F.col("order_detail_id").alias("a_id"), "activity_id", "activity_rule_id")
     cpn = detail_coupons(env).select(F.col("order_detail_id").alias("c_id"), "coupon_id")
-    j = det.join(head, det.order_id == head.h_id, "inner")
+    j = det.join(head, det.order_id == head.h_id, "inner").drop("h_id")
+    j = j.withColumn("order_id", F.col("order_id").cast("bigint"))
     j = j.join(act, F.col("id") == act.a_id, "left").join(cpn, F.col("id") == cpn.c_id, "left")
-    created = F.col("create_time").cast("bigint")
-    return j.select("id", *[F.col(c).cast("bigint").alias(c) for c in ("order_id", "user_id", "sku_id")], "sku_name",
-                    "activity_id", "activity_rule_id", "coupon_id", ms_to_date(created, TZ).alias("date_id"),
-                    created.alias("create_time"), F.col("sku_num").cast("bigint").alias("sku_num"), "split_original_amount",
-                    F.col("split_total_amount").cast("double").alias("split_total_amount"))
+    return j.select("id", "order_id", "user_id", "sku_id", "sku_name",
+                    "activity_id", "activity_rule_id", "coupon_id", ms_to_date(F.col("create_time"), TZ).alias("date_id"),
+                    "create_time", "sku_num", "split_original_amount", "split_total_amount")
 
 
 @query("refund_moved", """
