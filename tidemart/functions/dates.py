@@ -28,16 +28,20 @@ def EPOCH_NTZ() -> Column:  # noqa: N802 - a constant built lazily (needs a sess
     return F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
 
 
+def is_utc(tz: str) -> bool:
+    return tz.upper() in ("UTC", "Z", "+00:00")
+
+
 def local_from_epoch_ms(ms, tz: str = DEFAULT_TZ) -> Column:
     """Epoch milliseconds -> wall-clock TIMESTAMP_NTZ in ``tz``."""
     utc = F.timestamp_add("MILLISECOND", as_col(ms).cast("bigint"), EPOCH_NTZ())
-    return utc if tz.upper() in ("UTC", "Z", "+00:00") else F.convert_timezone(F.lit("UTC"), F.lit(tz), utc)
+    return utc if is_utc(tz) else F.convert_timezone(F.lit("UTC"), F.lit(tz), utc)
 
 
 def epoch_ms_of_local(ts, tz: str = DEFAULT_TZ) -> Column:
     """Wall-clock TIMESTAMP_NTZ in ``tz`` -> epoch milliseconds."""
     c = as_col(ts).cast("timestamp_ntz")
-    utc = c if tz.upper() in ("UTC", "Z", "+00:00") else F.convert_timezone(F.lit(tz), F.lit("UTC"), c)
+    utc = c if is_utc(tz) else F.convert_timezone(F.lit(tz), F.lit("UTC"), c)
     return F.timestamp_diff("MILLISECOND", EPOCH_NTZ(), utc)
 
 

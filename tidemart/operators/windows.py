@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemart.functions.dates import DEFAULT_TZ, epoch_ms_of_ntz, local_from_epoch_ms
+from tidemart.functions.dates import DEFAULT_TZ, EPOCH_NTZ, epoch_ms_of_ntz, is_utc, local_from_epoch_ms
 from tidemart.operators.stateful import arrival_struct
 
 __all__ = [
@@ -49,23 +49,54 @@ def _ms_of(c: Column, dtype) -> Column:
     return F.unix_millis(c)
 
 
+def _clock_text(ms: Column) -> Column:
+    """'yyyy-MM-dd HH:mm:ss' of wall-clock epoch ms by arithmetic and a table of two-digit texts (the formatter outside the
+    years 1000 to 9999)."""
+    table = F.array(*[F.lit(f"{n:02d}") for n in range(100)])
+
+    def two(n: Column) -> Column:
+        return F.get(table, n.cast("int"))
+
+    day = F.date_from_unix_date(F.floor(ms / 86_400_000).cast("int"))
+    second = F.floor(F.pmod(ms, F.lit(86_400_000)) / 1000)
+    text = F.concat(two(F.floor(F.year(day) / 100)), two(F.year(day) % 100), F.lit("-"), two(F.month(day)), F.lit("-"),
+                    two(F.dayofmonth(day)), F.lit(" "), two(F.floor(second / 3600)), F.lit(":"),
+                    two(F.floor(second / 60) % 60), F.lit(":"), two(second % 60))
+    formatted = F.date_format(local_from_epoch_ms(ms, "UTC"), "yyyy-MM-dd HH:mm:ss")
+    return F.when(ms.between(-30_610_224_000_000, 253_402_300_799_999), text).otherwise(formatted)
+
+
+def _window_texts(df: DataFrame, cols: Sequence[str], start_ms: Column, end_ms: Column, tz: str) -> DataFrame:
+    """``cols`` and the window's texts (AGG10) from epoch ms; each step's numbers are made once per row."""
+    def wall(ms: Column) -> Column:
+        return ms if is_utc(tz) else epoch_ms_of_ntz(local_from_epoch_ms(ms, tz))
+
+    clocks = df.select(*cols, start_ms.alias("_w_start"), end_ms.alias("_w_end"))
+    clocks = clocks.select(*cols, wall(F.col("_w_start")).alias("_w_start"), wall(F.col("_w_end")).alias("_w_end"))
+    texts = clocks.select(*cols, _clock_text(F.col("_w_start")).alias("stt"), _clock_text(F.col("_w_end")).alias("edt"))
+    return texts.withColumn("cur_date", F.substring_index("stt", " ", 1))
+
+
 def with_window_cols(df: DataFrame, window_col: str = "window", tz: str = DEFAULT_TZ,
                      drop: bool = True) -> DataFrame:
     """AGG10: window start/end as 'yyyy-MM-dd HH:mm:ss' (``stt``, ``edt``) and the start date (``cur_date``)."""
     dtype = df.schema[window_col].dataType["start"].dataType
-    start = local_from_epoch_ms(_ms_of(F.col(f"{window_col}.start"), dtype), tz)
-    end = local_from_epoch_ms(_ms_of(F.col(f"{window_col}.end"), dtype), tz)
-    res = df.select("*", F.date_format(start, "yyyy-MM-dd HH:mm:ss").alias("stt"),
-                    F.date_format(end, "yyyy-MM-dd HH:mm:ss").alias("edt"),
-                    F.date_format(start, "yyyy-MM-dd").alias("cur_date"))
-    return res.drop(window_col) if drop else res
+    cols = [c for c in df.columns if c != window_col] if drop else df.columns
+    return _window_texts(df, cols, *[_ms_of(F.col(f"{window_col}.{side}"), dtype) for side in ("start", "end")], tz=tz)
 
 
 def window_aggregate(df: DataFrame, time_col: str, size: str, keys: Sequence[str], aggs: Sequence[Column],
                      tz: str = DEFAULT_TZ) -> DataFrame:
     """AGG1-AGG5: tumbling window of ``size`` on ``time_col`` grouped by ``keys``; decorated with AGG10."""
-    grouped = df.groupBy(F.window(time_col, size).alias("window"), *keys).agg(*aggs)
-    return with_window_cols(grouped, "window", tz)
+    window = F.window(time_col, size)
+    if df.isStreaming:  # the watermark closes whole windows
+        return with_window_cols(df.groupBy(window.alias("window"), *keys).agg(*aggs), "window", tz)
+    # the start tells windows of one size apart: a quarter of the struct's bytes in the aggregate and the shuffle
+    grouped = df.groupBy(window.getField("start").alias("window"), *keys).agg(*aggs)
+    length = F.timestamp_diff("MILLISECOND", EPOCH_NTZ(), EPOCH_NTZ() + F.expr(f"interval {size.lower().removeprefix('interval ')}"))
+    cols = [c for c in grouped.columns if c != "window"]
+    start = _ms_of(F.col("window"), grouped.schema["window"].dataType)
+    return _window_texts(grouped.withColumn("window", start), cols, F.col("window"), F.col("window") + length, tz)
 
 
 def last_per_window(df: DataFrame, key, time_col: str, size: str, order, tz: str = DEFAULT_TZ) -> DataFrame:
