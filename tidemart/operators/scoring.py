@@ -36,9 +36,11 @@ def read_weight_file(spark: SparkSession, path: str, factor: str) -> DataFrame:
     out = parsed.select(F.lit(factor).alias("factor"), "category",
                         F.array(*[F.coalesce((F.col("m")[b]).try_cast("double"), F.lit(0.0)) for b in AGE_BRACKETS])
                         .alias("w"), "pos")
-    message = F.raise_error(F.lit(f"weight file {path} is empty"))
-    empty = parsed.agg(F.count(F.lit(1)).alias("n")).where(F.when(F.col("n") == 0, message).isNotNull())
-    return out.unionByName(empty.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in out.schema.fields]))
+    # a row of the factor whose other columns raise: a filter on the factor does not prune it
+    error = F.raise_error(F.lit(f"weight file {path} is empty"))
+    empty = parsed.agg(F.count(F.lit(1)).alias("n")).where("n = 0").select(
+        F.lit(factor).alias("factor"), *[error.cast(out.schema[c].dataType).alias(c) for c in ("category", "w", "pos")])
+    return out.unionByName(empty)
 
 
 def prepare_weights(weights: DataFrame) -> DataFrame:
