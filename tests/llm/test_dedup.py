@@ -14,7 +14,7 @@ from tests.llm.helpers import components, docs_frame, words
 from tidemart.llm import embeddings
 from tidemart.llm.common import Scratch, connected_components, maybe_in
 from tidemart.llm.embeddings import embedding_near_dedup
-from tidemart.llm.lines import drop_fuzzy_lines, line_dedup
+from tidemart.llm.lines import _in_several, drop_fuzzy_lines, line_dedup
 from tidemart.llm.simhash import covering_masks, drop_near_copies, fingerprint, simhash_near_dedup
 from tidemart.llm.substrings import DIFFERENCE_COVERS, substring_dedup, window_hashes
 
@@ -194,6 +194,17 @@ def test_line_dedup_finds_short_lines_at_the_threshold(spark):
     assert sum(missed) < 32 and sum(missed[:800]) < 10  # 8 bands of 3 independent rows: 12.8 and 2.6 are expected
 
 
+def test_band_keys_of_one_line_are_dropped_before_their_rows_are_shuffled(spark):
+    scratch = Scratch(spark, "t")
+    rows = scratch.table(spark.range(4000).select(F.xxhash64("id").alias("k"), F.col("id").alias("h1"), F.lit(1).alias("h2")), "m")
+    several = scratch.table(spark.range(0, 4000, 400).select(F.xxhash64("id").alias("s_k")), "s")
+    got = _in_several(rows, several)
+    assert sorted(r.h1 for r in got.collect()) == list(range(0, 4000, 400)) and got.columns == rows.columns
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" not in plan  # it would be moved below the bitmap
+    assert plan.index("s_k") < plan.index("_row_block")  # the join comes after the bitmap
+
+
 def test_a_stranger_in_a_large_bucket_costs_one_pass(spark):
     """Of a bucket with n linked nodes and one stranger, n pairs are held against the condition after the pivot step."""
     from tidemart.llm.common import Scratch, connected_components, link_buckets
