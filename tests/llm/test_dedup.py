@@ -224,6 +224,46 @@ def test_a_stranger_in_a_large_bucket_costs_one_pass(spark):
     assert connected_components(spark.createDataFrame([], "a long, b long"), "a", "b", scratch).collect() == []
 
 
+def test_a_bucket_of_many_linked_components_is_not_paired(spark):
+    """Each node of a bucket links to a quarter of the others: its pivot joins a few, grouped pivots the rest; nodes that
+    link to nothing stay apart, and a pair that shares several buckets is asked for once."""
+    from tidemart.llm.common import link_buckets
+
+    n = 1600
+    rows = spark.range(n + 5).select(F.explode(F.array(F.lit(1), F.lit(2))).alias("k"), F.when(F.col("id") < n, F.col("id")).otherwise(
+        F.col("id") * 1_000_000).alias("x"), F.lit(5).cast("bigint").alias("p"))
+    scratch, asked = Scratch(spark, "t"), []
+
+    def verify(pairs):
+        asked.append(pairs.count())
+        return pairs
+
+    got = link_buckets(scratch.table(rows, "m"), ["k"], lambda a, b: F.abs(F.col(a) - F.col(b)) <= n // 8, scratch, verify)
+    assert sorted((r.node, r.component) for r in got.collect()) == [(i, 0) for i in range(n)]
+    print("pairs asked for:", asked)
+    assert sum(asked) < 10 * n  # 240,000 if all members outside the pivot's component were paired
+
+
+def test_link_buckets_matches_brute_force(spark):
+    """Several buckets and keys, links through other buckets, near pairs that do not link, and dealt groups."""
+    from tidemart.llm.common import bucket_pivots, link_buckets
+
+    rng = random.Random(4)
+    nodes = rng.sample(range(1 << 20), 600)
+    where = {x: {(t, rng.randrange(3)) for t in range(3)} for x in nodes}
+    near = lambda a, b: abs(a - b) <= 4000
+    links = [(a, b) for a in nodes for b in nodes if a < b and where[a] & where[b] and near(a, b) and (a + b) % 3]
+    want = components(nodes, links)
+    linked = {x for e in links for x in e}
+    scratch = Scratch(spark, "t")
+    members = spark.createDataFrame([(t, k, x) for x, s in where.items() for t, k in s], "t int, k int, x bigint")
+    shared = scratch.table(bucket_pivots(members, ["t", "k"], "x"), "shared")
+    got = link_buckets(shared, ["t", "k"], lambda a, b: F.abs(F.col(a) - F.col(b)) <= 4000, scratch,
+                       lambda pairs: pairs.where("(a + b) % 3 != 0"))
+    got = [(r.node, r.component) for r in got.collect()]
+    assert len(got) == len(linked) and dict(got) == {x: want[x] for x in linked}
+
+
 # ---- substrings ---------------------------------------------------------------------
 def test_difference_covers():
     for p, d in DIFFERENCE_COVERS.items():
